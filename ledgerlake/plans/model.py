@@ -17,6 +17,7 @@ from ledgerlake.plans import intermediate, marts, quality
 from ledgerlake.plans.staging import Staging
 from ledgerlake.sources import seeds
 from ledgerlake.sources.driver_tables import DriverRaw
+from ledgerlake.session import checkpoint_dir
 
 
 class Model:
@@ -29,6 +30,20 @@ class Model:
     def from_driver(cls, spark: SparkSession, sf_dir: str, params: RunParams = DEFAULT) -> "Model":
         return cls(spark, DriverRaw(spark, sf_dir, params), params)
 
+    def materialize(self, *names: str) -> "Model":
+        """Cut the lineage of the named frames: write them once to the shared
+        ``spark.checkpoint.dir`` (reliable checkpoint), so later jobs that read
+        them several times -- e.g. a check suite -- scan the stored rows instead
+        of recomputing the whole plan; a lost executor re-reads the checkpoint.
+        Without a checkpoint folder (not a cluster setup) the frames are
+        persisted to memory and disk instead.
+        """
+        has_dir = checkpoint_dir(self.spark) is not None
+        for n in names:
+            df = getattr(self, n)
+            self.__dict__[n] = df.checkpoint(eager=True) if has_dir else df.persist()
+        return self
+
     # intermediate ---------------------------------------------------------
     @cached_property
     def golden(self) -> DataFrame:

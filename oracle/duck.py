@@ -748,4 +748,8 @@ def sql(final: str) -> str:
     ordered = [n for n in names if n in need]
     if not ordered:
         return final
-    return "WITH " + ",\n".join(f"{n} AS ({CTES[n]})" for n in ordered) + "\n" + final
+    head = "WITH " + ",\n".join(f"{n} AS ({CTES[n]})" for n in ordered)
+    body = final.lstrip()
+    if body[:4].upper() == "WITH":  # merge the final statement's own CTEs
+        return head + ",\n" + body[4:]
+    return head + "\n" + final

@@ -101,3 +101,240 @@ def _ar_summary(m: Model) -> DataFrame:
 def _a9(m: Model) -> DataFrame:
     """A9 step 1 / D23: per date, source and category totals (90 days)."""
     return quality.daily_totals_by_source(m.utx, m.p)
+
+
+# ---------------------------------------------------------------------------
+# 2L checks, G5 tally
+# ---------------------------------------------------------------------------
+from ledgerlake.operators import checks as _checks  # noqa: E402
+from ledgerlake.plans import checks_suite as _suite  # noqa: E402
+from ledgerlake.plans import vault_models as _vm  # noqa: E402
+from ledgerlake.operators import snapshot as _snap  # noqa: E402
+from ledgerlake.sinks import high_watermark as _hwm  # noqa: E402
+from pyspark.sql import functions as _F  # noqa: E402
+import datetime as _dt  # noqa: E402
+
+
+@register("q1_q8_declared_checks", _suite.oracle_suite_sql())
+def _declared(m: Model) -> DataFrame:
+    """Q1-Q8: every declared column/table check, one result row each."""
+    return _suite.run_suite(m)
+
+
+@register("g5_check_tally", f"""SELECT count_if(status = 'pass') AS passed, count_if(status = 'fail') AS failed,
+  count_if(status = 'warn') AS warnings, count_if(status = 'error') AS errors,
+  count_if(status NOT IN ('pass', 'fail', 'warn', 'error') OR status IS NULL) AS skipped
+FROM ({_suite.oracle_suite_sql()}) r""")
+def _tally(m: Model) -> DataFrame:
+    """Pass / fail / warn / error / skip counts over the declared checks."""
+    return _checks.tally(_suite.run_suite(m))
+
+
+@register("q10_balanced_debits_credits", """SELECT transaction_date, sum(total_debits) AS total_debits,
+  sum(total_credits) AS total_credits FROM daily_totals_by_source GROUP BY 1
+  HAVING abs(sum(total_debits) - sum(total_credits)) > 0.01""")
+def _q10(m: Model) -> DataFrame:
+    """Q10 applied to the daily debit/credit totals, grouped by date."""
+    return _checks.balanced_debits_credits(quality.daily_totals_by_source(m.utx, m.p), "total_debits",
+                                           "total_credits", "transaction_date")
+
+
+@register("q11_orphan_rate", """SELECT total_rows, orphan_rows,
+  round(CAST(orphan_rows AS DOUBLE) / nullif(CAST(total_rows AS DOUBLE), 0), 6) AS orphan_rate,
+  coalesce(CAST(orphan_rows AS DOUBLE) / nullif(CAST(total_rows AS DOUBLE), 0) > 0.05, false) AS is_failing
+FROM (SELECT count(*) AS total_rows, count_if(customer_key IS NULL) AS orphan_rows
+      FROM fct_transactions WHERE entity_type = 'customer') s""")
+def _q11(m: Model) -> DataFrame:
+    """Q11: share of customer transactions without a golden customer key."""
+    return _checks.orphan_rate(m.fct_transactions)
+
+
+@register("q12_revenue_reconciliation", """
+WITH rec AS (SELECT revenue_year, revenue_quarter, sum(revenue_amount) AS total_recognized FROM fct_revenue
+             WHERE revenue_stage = 'recognized' AND revenue_year >= 2023 GROUP BY 1, 2),
+     bk AS (SELECT revenue_year, revenue_quarter, sum(revenue_amount) AS total_booked FROM fct_revenue
+            WHERE revenue_stage = 'booked' AND revenue_year >= 2023 GROUP BY 1, 2),
+     comp AS (SELECT coalesce(r.revenue_year, b.revenue_year) AS year,
+                coalesce(r.revenue_quarter, b.revenue_quarter) AS quarter,
+                CAST(coalesce(r.total_recognized, 0) AS DECIMAL(28,9)) AS recognized,
+                CAST(coalesce(b.total_booked, 0) AS DECIMAL(28,9)) AS booked,
+                CAST(abs(coalesce(r.total_recognized, 0) - coalesce(b.total_booked, 0)) AS DECIMAL(28,9)) AS variance
+              FROM rec r FULL OUTER JOIN bk b ON r.revenue_year = b.revenue_year AND r.revenue_quarter = b.revenue_quarter)
+SELECT * FROM comp WHERE booked > 0 AND CAST(variance AS DOUBLE) / CAST(booked AS DOUBLE) > 0.10
+  AND CAST(year AS VARCHAR) || CAST(quarter AS VARCHAR) < CAST(year(DATE '2024-01-31') AS VARCHAR)
+      || CAST(quarter(DATE '2024-01-31') AS VARCHAR)""")
+def _q12(m: Model) -> DataFrame:
+    """Q12: completed quarters since 2023 with recognized revenue > 10 % off booked."""
+    return _checks.revenue_reconciliation(m.fct_revenue, m.p.as_of)
+
+
+# ---------------------------------------------------------------------------
+# Vault M17-M25: two runs -- the target is built from the rows loaded up to a
+# cut-off, then the full batch is applied incrementally (J8/J9 anti-joins).
+# The result must equal a one-shot build (the oracle).
+# ---------------------------------------------------------------------------
+CUTOFF = "2024-01-20 06:00:00"
+
+
+def _two_runs(loader, frames, load_col):
+    first = [f.filter(_F.col(load_col) <= _F.lit(CUTOFF).cast("timestamp")) for f in frames]
+    target = loader(*first)
+    new = loader(*frames, target=target)
+    return target.unionByName(new)
+
+
+_HUB_ORACLE = """SELECT {hk} AS {key}, bk AS {bkname}, record_source, min(load_date) AS load_date FROM ({src}) s
+GROUP BY ALL"""
+
+
+def _hub_sql(key, bkname, parts):
+    src = " UNION ALL ".join(f"SELECT {bk} AS bk, {rs} AS record_source, {ld} AS load_date FROM {t}"
+                             for t, bk, rs, ld in parts)
+    from oracle.duck import sk
+    return _HUB_ORACLE.format(hk=sk("bk", "record_source"), key=key, bkname=bkname, src=src)
+
+
+@register("m17_hub_customer", _hub_sql("hub_customer_hk", "customer_bk", [
+    ("stg_qb_customers", "customer_id", "'quickbooks'", "_loaded_at"),
+    ("stg_stripe_customers", "stripe_customer_id", "'stripe'", "_loaded_at"),
+    ("stg_sf_accounts", "sf_account_id", "'salesforce'", "_loaded_at")]))
+def _m17(m: Model) -> DataFrame:
+    """M17 hub_customer, loaded in two incremental runs."""
+    return _two_runs(_vm.hub_customer, [m.stg.qb_customers(), m.stg.stripe_customers(), m.stg.sf_accounts()],
+                     "_loaded_at")
+
+
+@register("m18_hub_account", _hub_sql("hub_account_hk", "account_bk", [
+    ("stg_qb_accounts", "account_id", "'quickbooks'", "_loaded_at"),
+    ("stg_ns_accounts", "account_id", "'netsuite'", "_loaded_at")]))
+def _m18(m: Model) -> DataFrame:
+    """M18 hub_account, loaded in two incremental runs."""
+    return _two_runs(_vm.hub_account, [m.stg.qb_accounts(), m.stg.ns_accounts()], "_loaded_at")
+
+
+@register("m19_hub_transaction", _hub_sql("hub_transaction_hk", "transaction_bk", [
+    ("unified_transactions", "transaction_unified_id", "source_system", "_unified_at")]))
+def _m19(m: Model) -> DataFrame:
+    """M19 hub_transaction (first run on rows loaded up to the cut-off)."""
+    first = m.utx.filter(_F.col("_loaded_at") <= _F.lit(CUTOFF).cast("timestamp"))
+    target = _vm.hub_transaction(first)
+    return target.unionByName(_vm.hub_transaction(m.utx, target=target))
+
+
+def _link_sql(key, names, src):
+    from oracle.duck import sk
+    return (f"SELECT {sk(*names)} AS {key}, {', '.join(names)}, record_source, min(load_date) AS load_date "
+            f"FROM ({src}) s GROUP BY ALL")
+
+
+def _sk(*a):
+    from oracle.duck import sk
+    return sk(*a)
+
+
+@register("m20_lnk_customer_account", _link_sql(
+    "lnk_customer_account_hk", ["hub_customer_hk", "hub_account_hk"],
+    f"SELECT {_sk('customer_id', chr(39) + 'quickbooks' + chr(39))} AS hub_customer_hk, "
+    f"{_sk(chr(39) + '1100' + chr(39), chr(39) + 'quickbooks' + chr(39))} AS hub_account_hk, "
+    "'quickbooks' AS record_source, _loaded_at AS load_date FROM stg_qb_invoices WHERE customer_id IS NOT NULL"))
+def _m20(m: Model) -> DataFrame:
+    """M20 lnk_customer_account, two incremental runs."""
+    return _two_runs(_vm.lnk_customer_account, [m.stg.qb_invoices()], "_loaded_at")
+
+
+@register("m21_lnk_transaction_account", _link_sql(
+    "lnk_transaction_account_hk", ["hub_transaction_hk", "hub_account_hk"],
+    f"SELECT {_sk('transaction_unified_id', 'source_system')} AS hub_transaction_hk, "
+    f"{_sk('source_entity_id', 'source_system')} AS hub_account_hk, source_system AS record_source, "
+    "_unified_at AS load_date FROM unified_transactions WHERE source_entity_id IS NOT NULL"))
+def _m21(m: Model) -> DataFrame:
+    """M21 lnk_transaction_account, two incremental runs (split on _loaded_at)."""
+    first = m.utx.filter(_F.col("_loaded_at") <= _F.lit(CUTOFF).cast("timestamp"))
+    target = _vm.lnk_transaction_account(first)
+    return target.unionByName(_vm.lnk_transaction_account(m.utx, target=target))
+
+
+def _sat_sql(key, hub_key_expr, hub_key_name, hash_cols, payload, rs, ld, table):
+    from oracle.duck import sk
+    pl = ", ".join(f"{src} AS {dst}" for dst, src in payload)
+    return (f"SELECT {sk(hub_key_name, 'load_date')} AS {key}, * FROM (SELECT {hub_key_expr} AS {hub_key_name}, "
+            f"{sk(*hash_cols)} AS hash_diff, {pl}, {rs} AS record_source, {ld} AS load_date FROM {table}) s")
+
+
+_CD = ["display_name", "company_name", "first_name", "last_name", "email", "phone", "billing_address_line1",
+       "billing_city", "billing_state", "billing_postal_code", "billing_country", "is_active", "outstanding_balance",
+       "currency_code"]
+
+
+@register("m22_sat_customer_details", _sat_sql(
+    "sat_customer_details_hk", _sk("customer_id", "'quickbooks'"), "hub_customer_hk",
+    ["display_name", "company_name", "first_name", "last_name", "email", "phone", "billing_address_line1",
+     "billing_city", "billing_state", "billing_postal_code", "is_active", "outstanding_balance"],
+    [(c, c) for c in _CD], "'quickbooks'", "_loaded_at", "stg_qb_customers"))
+def _m22(m: Model) -> DataFrame:
+    """M22 sat_customer_details, two incremental runs."""
+    return _two_runs(_vm.sat_customer_details, [m.stg.qb_customers()], "_loaded_at")
+
+
+_CS = ["customer_name", "email", "phone", "address_line1", "city", "state", "postal_code", "country",
+       "currency_code", "is_delinquent"]
+
+
+@register("m23_sat_customer_stripe", _sat_sql(
+    "sat_customer_stripe_hk", _sk("stripe_customer_id", "'stripe'"), "hub_customer_hk",
+    ["customer_name", "email", "phone", "city", "state", "is_delinquent", "quickbooks_customer_id",
+     "netsuite_customer_id", "salesforce_account_id"],
+    [(c, c) for c in _CS] + [("xref_quickbooks_id", "quickbooks_customer_id"),
+                             ("xref_netsuite_id", "netsuite_customer_id"),
+                             ("xref_salesforce_id", "salesforce_account_id")],
+    "'stripe'", "_loaded_at", "stg_stripe_customers"))
+def _m23(m: Model) -> DataFrame:
+    """M23 sat_customer_stripe, two incremental runs."""
+    return _two_runs(_vm.sat_customer_stripe, [m.stg.stripe_customers()], "_loaded_at")
+
+
+@register("m24_sat_account_balance", _sat_sql(
+    "sat_account_balance_hk", _sk("account_id", "'quickbooks'"), "hub_account_hk", ["current_balance", "is_active"],
+    [(c, c) for c in ["account_name", "current_balance", "currency_code", "is_active"]],
+    "'quickbooks'", "_loaded_at", "stg_qb_accounts"))
+def _m24(m: Model) -> DataFrame:
+    """M24 sat_account_balance, two incremental runs."""
+    return _two_runs(_vm.sat_account_balance, [m.stg.qb_accounts()], "_loaded_at")
+
+
+@register("m25_sat_transaction_details", _sat_sql(
+    "sat_transaction_details_hk", _sk("transaction_unified_id", "source_system"), "hub_transaction_hk",
+    ["transaction_type", "transaction_category", "amount", "status", "reference_number", "memo"],
+    [(c, c) for c in ["transaction_type", "transaction_category", "amount", "currency_code", "transaction_date",
+                      "status", "reference_number", "memo"]],
+    "source_system", "_unified_at", "unified_transactions"))
+def _m25(m: Model) -> DataFrame:
+    """M25 sat_transaction_details (first run on rows loaded up to the cut-off)."""
+    first = m.utx.filter(_F.col("_loaded_at") <= _F.lit(CUTOFF).cast("timestamp"))
+    target = _vm.sat_transaction_details(first)
+    return target.unionByName(_vm.sat_transaction_details(m.utx, target=target))
+
+
+# ---------------------------------------------------------------------------
+# M37 snapshot: two daily runs of dim_customers; the snapshot's updated_at is
+# the dimension's build time (reference configuration), so the second run
+# versions every customer.
+# ---------------------------------------------------------------------------
+RUN1_TS = "2024-01-30 06:00:00"
+
+
+@register("m37_snap_dim_customers", f"""
+SELECT * EXCLUDE (_v) FROM (
+  SELECT * REPLACE (TIMESTAMP '{RUN1_TS}' AS _dim_updated_at),
+    md5(customer_key || '|' || '{RUN1_TS}') AS dbt_scd_id, TIMESTAMP '{RUN1_TS}' AS dbt_updated_at,
+    TIMESTAMP '{RUN1_TS}' AS dbt_valid_from, TIMESTAMP '2024-01-31 06:00:00' AS dbt_valid_to, 1 AS _v
+  FROM dim_customers
+  UNION ALL
+  SELECT *, md5(customer_key || '|' || '2024-01-31 06:00:00'), _dim_updated_at, _dim_updated_at,
+    CAST(NULL AS TIMESTAMP), 2
+  FROM dim_customers) s""")
+def _m37(m: Model) -> DataFrame:
+    """SCD2 snapshot of dim_customers after two runs (timestamp strategy)."""
+    run1 = m.dim_customers.withColumn("_dim_updated_at", _F.lit(RUN1_TS).cast("timestamp"))
+    snap1 = _snap.snapshot(run1, None, "customer_key", "_dim_updated_at", RUN1_TS)
+    return _snap.snapshot(m.dim_customers, snap1, "customer_key", "_dim_updated_at", m.p.run_ts)
