@@ -91,6 +91,13 @@ def append(df: DataFrame, path: str, partition_by: tuple[str, str] | None = None
     return True
 
 
+def merge_frames(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
+    """S16 as a pure DataFrame op: target rows whose key is not in the batch,
+    plus the batch (new columns allowed, S18)."""
+    return target.join(batch.select(*keys).distinct(), keys, "left_anti").unionByName(
+        batch, allowMissingColumns=True)
+
+
 def upsert(
     batch: DataFrame,
     path: str,

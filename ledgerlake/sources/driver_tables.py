@@ -255,7 +255,8 @@ def netsuite_transactions(lineitem: DataFrame, p: RunParams = DEFAULT) -> DataFr
     d = _shifted("l_shipdate")
     amt = F.col("l_extendedprice").cast(MONEY)
     ok = F.col("l_orderkey")
-    line_id = _cat(_s(ok), "-", _s("l_linenumber"))
+    # (orderkey, linenumber) repeats in the driver data; with part and supplier it is unique
+    line_id = _cat(_s(ok), "-", _s("l_linenumber"), "-", _s("l_partkey"), "-", _s("l_suppkey"))
     out = lineitem.withColumn("_type", ty).select(
         line_id.alias("id"),
         _cat("NS-", line_id).alias("tran_id"),

@@ -168,7 +168,7 @@ SELECT id, 'NS-' || id AS tran_id, _type AS type,
   {iso("CAST(d AS TIMESTAMP) + INTERVAL 8 HOUR")} AS last_modified_date,
   {day_loaded('d')} AS _loaded_at
 FROM (
-  SELECT *, {s('l_orderkey')} || '-' || {s('l_linenumber')} AS id, {shifted('l_shipdate')} AS d,
+  SELECT *, {s('l_orderkey')} || '-' || {s('l_linenumber')} || '-' || {s('l_partkey')} || '-' || {s('l_suppkey')} AS id, {shifted('l_shipdate')} AS d,
     CASE WHEN l_linenumber = 7 THEN 'Deposit'
          WHEN l_returnflag || l_linestatus = 'AF' THEN 'CustInvc'
          WHEN l_returnflag || l_linestatus = 'AO' THEN 'CustPymt'
@@ -753,3 +753,45 @@ def sql(final: str) -> str:
     if body[:4].upper() == "WITH":  # merge the final statement's own CTEs
         return head + ",\n" + body[4:]
     return head + "\n" + final
+
+
+# ---------------------------------------------------------------------------
+# NetSuite system-side tables (for the pulls S9-S11)
+# ---------------------------------------------------------------------------
+cte("ns_system_transactions", f"""
+SELECT id, 'NS-' || id AS tranId, CASE WHEN l_returnflag = 'R' THEN 'Journal' ELSE 'CustInvc' END AS type,
+  l_linestatus AS status, 'NS-' || {s('l_partkey')} AS entity, '1' AS subsidiary, {s('l_suppkey % 5')} AS department,
+  '1' AS currency, CAST(1 + l_tax AS DECIMAL(18,9)) AS exchangeRate, CAST(l_extendedprice AS {M}) AS total,
+  d AS tranDate, d + 30 AS dueDate, l_linenumber <> 2 AS posting, false AS voided,
+  'line ' || {s('l_linenumber')} AS memo, CAST(d AS TIMESTAMP) AS dateCreated, CAST(d AS TIMESTAMP) AS lastModifiedDate
+FROM (SELECT *, {s('l_orderkey')} || '-' || {s('l_linenumber')} || '-' || {s('l_partkey')} || '-' || {s('l_suppkey')} AS id, {shifted('l_shipdate')} AS d FROM lineitem) li""")
+
+cte("ns_system_lines", f"""
+SELECT transaction, seq AS lineSequenceNumber, CASE WHEN seq = 1 THEN '1100' ELSE '4000' END AS account,
+  CAST(CASE WHEN seq = 1 THEN amt ELSE -cr END AS {M}) AS amount,
+  CAST(CASE WHEN seq = 1 THEN amt END AS {M}) AS debit, CAST(CASE WHEN seq = 2 THEN cr END AS {M}) AS credit,
+  department, CAST(NULL AS VARCHAR) AS class, CAST(NULL AS VARCHAR) AS location, 'item ' || acct AS memo
+FROM (SELECT {s('l_orderkey')} || '-' || {s('l_linenumber')} || '-' || {s('l_partkey')} || '-' || {s('l_suppkey')} AS transaction, CAST(l_extendedprice AS {M}) AS amt,
+        CASE WHEN l_orderkey % 97 = 0 THEN CAST(CAST(l_extendedprice AS {M}) - 1 AS {M})
+             ELSE CAST(l_extendedprice AS {M}) END AS cr,
+        {s('l_suppkey % 5')} AS department, {s('l_partkey')} AS acct
+      FROM lineitem) b, (SELECT unnest([1, 2]) AS seq) q""")
+
+cte("ns_system_customers", f"""
+SELECT 'NS-' || {s('c_custkey')} AS id, 'CUST' || {s('c_custkey')} AS entityId, c_name AS companyName,
+  'c' || {s('c_custkey')} || '@ex.com' AS email, CAST(NULL AS VARCHAR) AS phone, c_acctbal < 0 AS isInactive,
+  {epoch_ts('1483228800 + (c_custkey % 10000) * 3600')} AS dateCreated
+FROM customer""")
+
+cte("ns_system_vendors", f"""
+SELECT 'VEND-' || {s('s_suppkey')} AS id, 'VEND' || {s('s_suppkey')} AS entityId, s_name AS companyName,
+  CAST(NULL AS VARCHAR) AS email, CAST(NULL AS VARCHAR) AS phone, s_acctbal < 0 AS isInactive,
+  {epoch_ts('1483228800 + (s_suppkey % 10000) * 3600')} AS dateCreated
+FROM supplier""")
+
+cte("ns_system_subsidiaries", f"""
+SELECT {s('n_nationkey')} AS id, n_name AS name, 'R' || {s('n_regionkey')} AS country, 'USD' AS currency,
+  false AS isInactive FROM nation""")
+
+cte("ns_system_departments", f"""
+SELECT {s('r_regionkey')} AS id, r_name AS name, CAST(NULL AS VARCHAR) AS parent, false AS isInactive FROM region""")

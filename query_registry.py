@@ -338,3 +338,140 @@ def _m37(m: Model) -> DataFrame:
     run1 = m.dim_customers.withColumn("_dim_updated_at", _F.lit(RUN1_TS).cast("timestamp"))
     snap1 = _snap.snapshot(run1, None, "customer_key", "_dim_updated_at", RUN1_TS)
     return _snap.snapshot(m.dim_customers, snap1, "customer_key", "_dim_updated_at", m.p.run_ts)
+
+
+# ---------------------------------------------------------------------------
+# 2A sources: landing, look-back, NetSuite pulls, freshness, incremental merge
+# ---------------------------------------------------------------------------
+from ledgerlake.sources import landing as _land  # noqa: E402
+from ledgerlake.sources import netsuite as _ns  # noqa: E402
+from ledgerlake.sources.driver_tables import MONEY as _MONEY  # noqa: E402
+from ledgerlake.plans import intermediate as _inter  # noqa: E402
+from ledgerlake import sinks as _sinks  # noqa: E402
+
+
+@register("s6_plaid_balance_snapshot", """
+SELECT account_id, current, CAST(current - 25 AS DECIMAL(18,4)) AS available, CAST(NULL AS DECIMAL(18,4)) AS "limit",
+  'usd' AS iso_currency_code, DATE '2024-01-31' AS snapshot_date,
+  TIMESTAMP '2024-01-31 06:00:00' AS _loaded_at, 'plaid' AS _source_system
+FROM (SELECT 'acc_' || CAST(user_id % 10 AS VARCHAR) AS account_id,
+        CAST(CAST(value AS DECIMAL(18,4)) * 100 AS DECIMAL(18,4)) AS current
+      FROM events WHERE event_type IN ('click', 'signup')
+      QUALIFY row_number() OVER (PARTITION BY user_id % 10 ORDER BY ts DESC, event_id DESC) = 1) b""")
+def _s6(m: Model) -> DataFrame:
+    """S6 + S2: flatten the nested balance extract (latest balance per account), stamp the batch."""
+    ev = m.raw.driver("events").filter(_F.col("event_type").isin("click", "signup"))
+    last = ev.groupBy((_F.col("user_id") % 10).alias("_a")).agg(
+        _F.max_by("value", _F.struct("ts", "event_id")).alias("_v"))
+    cur = (_F.col("_v").cast(_MONEY) * 100).cast(_MONEY)
+    nested = last.select(
+        _F.concat(_F.lit("acc_"), _F.col("_a").cast("string")).alias("account_id"),
+        _F.struct(cur.alias("current"), (cur - 25).cast(_MONEY).alias("available"),
+                  _F.lit(None).cast(_MONEY).alias("limit"), _F.lit("usd").alias("iso_currency_code")).alias("balances"),
+    )
+    return _land.stamp(_land.flatten_balances(nested, m.p.run_ts), m.p.run_ts, "plaid")
+
+
+@register("s8_plaid_lookback", """SELECT *, 'plaid' AS _source_system FROM raw_plaid_transactions
+WHERE date BETWEEN DATE '2024-01-31' - 30 AND DATE '2024-01-31'""")
+def _s8(m: Model) -> DataFrame:
+    """Plaid transactions within the 30-day look-back of the run date."""
+    return _land.lookback(m.raw("plaid.transactions"), "date", m.p.as_of, 30)
+
+
+@register("s9_netsuite_transactions_pull", """
+SELECT id, tranId AS tran_id, type, status, entity, subsidiary, department, currency, exchangeRate AS exchange_rate,
+  total, tranDate AS tran_date, dueDate AS due_date, posting, voided, memo, dateCreated AS date_created,
+  lastModifiedDate AS last_modified_date
+FROM ns_system_transactions WHERE tranDate >= DATE '2020-01-01'""")
+def _s9(m: Model) -> DataFrame:
+    """NetSuite transaction pull (renames, tranDate >= 2020-01-01)."""
+    return _ns.pull_transactions(_ns.system_transactions(m.raw.driver("lineitem")), m.p.min_transaction_date)
+
+
+@register("s10_netsuite_lines_pull", """
+SELECT tl.* FROM ns_system_lines tl JOIN ns_system_transactions t ON tl.transaction = t.id
+WHERE t.tranDate >= DATE '2020-01-01'""")
+def _s10(m: Model) -> DataFrame:
+    """Transaction lines scoped by their parent's date."""
+    li = m.raw.driver("lineitem")
+    return _ns.pull_transaction_lines(_ns.system_transaction_lines(li), _ns.system_transactions(li),
+                                      m.p.min_transaction_date)
+
+
+@register("s11_netsuite_customers_pull", """SELECT id, entityId AS entity_id, companyName AS company_name, email,
+  phone, isInactive AS is_inactive, dateCreated AS date_created FROM ns_system_customers""")
+def _s11c(m: Model) -> DataFrame:
+    """NetSuite customer master pull."""
+    return _ns.pull_entities(_ns.system_customers(m.raw.driver("customer")))
+
+
+@register("s11_netsuite_vendors_pull", """SELECT id, entityId AS entity_id, companyName AS company_name, email,
+  phone, isInactive AS is_inactive, dateCreated AS date_created FROM ns_system_vendors""")
+def _s11v(m: Model) -> DataFrame:
+    """NetSuite vendor master pull."""
+    return _ns.pull_entities(_ns.system_vendors(m.raw.driver("supplier")))
+
+
+@register("s11_netsuite_subsidiaries_pull", """SELECT id, name, country, currency, isInactive AS is_inactive
+FROM ns_system_subsidiaries""")
+def _s11s(m: Model) -> DataFrame:
+    """NetSuite subsidiaries pull."""
+    return _ns.pull_subsidiaries(_ns.system_subsidiaries(m.raw.driver("nation")))
+
+
+@register("s11_netsuite_departments_pull", """SELECT id, name, parent, isInactive AS is_inactive
+FROM ns_system_departments""")
+def _s11d(m: Model) -> DataFrame:
+    """NetSuite departments pull."""
+    return _ns.pull_departments(_ns.system_departments(m.raw.driver("region")))
+
+
+@register("q10_balanced_transaction_lines", """
+SELECT transaction, sum(debit) AS total_debits, sum(credit) AS total_credits FROM (
+  SELECT tl.* FROM ns_system_lines tl JOIN ns_system_transactions t ON tl.transaction = t.id
+  WHERE t.tranDate >= DATE '2020-01-01') l
+GROUP BY 1 HAVING abs(sum(debit) - sum(credit)) > 0.01""")
+def _q10l(m: Model) -> DataFrame:
+    """Q10 on the pulled NetSuite lines: transactions whose debits and credits differ."""
+    return _checks.balanced_debits_credits(_s10(m), "debit", "credit", "transaction")
+
+
+_RAW_ALL = ["quickbooks.customers", "quickbooks.invoices", "quickbooks.payments", "quickbooks.accounts",
+            "netsuite.accounts", "netsuite.transactions", "stripe.customers", "stripe.charges",
+            "stripe.balance_transactions", "plaid.transactions", "plaid.balances", "salesforce.accounts",
+            "salesforce.opportunities"]
+
+
+def _q9_sql():
+    parts = {"quickbooks": ["raw_qb_customers", "raw_qb_invoices", "raw_qb_payments", "raw_qb_accounts"],
+             "netsuite": ["raw_ns_accounts", "raw_ns_transactions"],
+             "stripe": ["raw_stripe_customers", "raw_stripe_charges", "raw_stripe_balance_transactions"],
+             "plaid": ["raw_plaid_transactions", "raw_plaid_balances"],
+             "salesforce": ["raw_sf_accounts", "raw_sf_opportunities"]}
+    thr = {"quickbooks": (12, 24), "stripe": (6, 12), "netsuite": (12, 24), "plaid": (24, 48), "salesforce": (12, 24)}
+    u = " UNION ALL ".join(f"SELECT '{s}' AS source, _loaded_at FROM {t}" for s, ts in parts.items() for t in ts)
+    warn = "CASE source " + " ".join(f"WHEN '{s}' THEN {w}" for s, (w, e) in thr.items()) + " END"
+    err = "CASE source " + " ".join(f"WHEN '{s}' THEN {e}" for s, (w, e) in thr.items()) + " END"
+    h = "date_sub('hour', max_loaded_at, TIMESTAMP '2024-01-31 06:00:00')"
+    return (f"SELECT source, max_loaded_at, {h} AS hours_since_load, {warn} AS warn_after_hours, "
+            f"{err} AS error_after_hours, CASE WHEN {h} IS NULL OR {h} > {err} THEN 'error' WHEN {h} > {warn} "
+            f"THEN 'warn' ELSE 'pass' END AS status FROM (SELECT source, max(_loaded_at) AS max_loaded_at "
+            f"FROM ({u}) u GROUP BY 1) m")
+
+
+@register("q9_source_freshness", _q9_sql())
+def _q9(m: Model) -> DataFrame:
+    """Q9: per source, hours since the newest _loaded_at against warn/error thresholds."""
+    return _land.source_freshness(m.raw, _RAW_ALL, m.p.run_ts)
+
+
+@register("s16_utx_incremental_merge", "SELECT * FROM unified_transactions")
+def _s16(m: Model) -> DataFrame:
+    """S16-S18 + F11: first run builds the spine from rows loaded up to a cut-off;
+    the second run re-reads each source from its watermark minus the 3-day
+    look-back and merges on transaction_unified_id. Equals a one-shot build."""
+    first = _inter.unified_transactions(m.stg, m.p).filter(_F.col("_loaded_at") <= _F.lit(CUTOFF).cast("timestamp"))
+    wm = _sinks.high_watermark(first, "_loaded_at", by="source_system")
+    batch = _inter.unified_transactions(m.stg, m.p, watermarks=wm)
+    return _sinks.merge_frames(first, batch, ["transaction_unified_id"])
