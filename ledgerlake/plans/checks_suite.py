@@ -129,7 +129,7 @@ def run_suite(m, models: list[str] | None = None, materialize: bool = True) -> D
     """Evaluate the suite. With ``materialize`` the shared upstream frames are
     checkpointed once first, so every check scans stored rows."""
     if materialize:
-        m.materialize(*MATERIALIZE)
+        m = m.materialize(*MATERIALIZE)
     frames = model_frames(m)
     s = suite(m.p)
     parts = [run_model_checks(m.spark, name, frames[name], s[name], frames) for name in (models or list(s))]

@@ -8,6 +8,7 @@ and Spark can reuse its exchange. Nothing here triggers an action.
 
 from __future__ import annotations
 
+import copy
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,9 @@ from ledgerlake.sources.driver_tables import DriverRaw
 from ledgerlake.session import checkpoint_dir
 
 
+_MODELS: dict = {}
+
+
 class Model:
     def __init__(self, spark: SparkSession, raw, params: RunParams = DEFAULT, watermarks: dict | None = None):
         self.spark, self.raw, self.p = spark, raw, params
@@ -27,8 +31,17 @@ class Model:
         self.watermarks = watermarks
 
     @classmethod
-    def from_driver(cls, spark: SparkSession, sf_dir: str, params: RunParams = DEFAULT) -> "Model":
-        return cls(spark, DriverRaw(spark, sf_dir, params), params)
+    def from_driver(cls, spark: SparkSession, sf_dir: str, params: RunParams = DEFAULT, fresh: bool = False) -> "Model":
+        """Model over the driver tables of ``sf_dir``.
+
+        One Model per (session, directory, parameters) is kept, like views
+        defined once per session: plans are analysed once and shared by every
+        query of the session (only plans are cached, never data).
+        """
+        key = (id(spark), sf_dir, params)
+        if fresh or key not in _MODELS:
+            _MODELS[key] = cls(spark, DriverRaw(spark, sf_dir, params), params)
+        return _MODELS[key]
 
     def materialize(self, *names: str) -> "Model":
         """Cut the lineage of the named frames: write them once to the shared
@@ -36,13 +49,15 @@ class Model:
         them several times -- e.g. a check suite -- scan the stored rows instead
         of recomputing the whole plan; a lost executor re-reads the checkpoint.
         Without a checkpoint folder (not a cluster setup) the frames are
-        persisted to memory and disk instead.
+        persisted to memory and disk instead. Returns a copy; ``self`` keeps
+        its lazy plans.
         """
         has_dir = checkpoint_dir(self.spark) is not None
+        clone = copy.copy(self)  # the shared per-session Model keeps its lazy plans
         for n in names:
-            df = getattr(self, n)
-            self.__dict__[n] = df.checkpoint(eager=True) if has_dir else df.persist()
-        return self
+            df = getattr(clone, n)
+            clone.__dict__[n] = df.checkpoint(eager=True) if has_dir else df.persist()
+        return clone
 
     # intermediate ---------------------------------------------------------
     @cached_property

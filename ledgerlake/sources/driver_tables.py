@@ -65,6 +65,31 @@ NS_ACCOUNT_TYPES = [
 DRIVER_TABLES = ("customer", "orders", "lineitem", "part", "supplier", "events")
 
 
+# key columns of the driver tables (hash fan-out keys)
+DRIVER_KEYS = {
+    "customer": ["c_custkey"], "orders": ["o_orderkey"], "lineitem": ["l_orderkey", "l_linenumber"],
+    "part": ["p_partkey"], "supplier": ["s_suppkey"], "events": ["event_id"],
+    "nation": ["n_nationkey"], "region": ["r_regionkey"],
+}
+
+
+def fan_out(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Spread an input that yields fewer splits than the cluster has cores.
+
+    A single-row-group parquet file is one task; everything row-local on top
+    of it (hashing, JSON, casts) would run on one core. Only in that case the
+    rows are hash-partitioned on the table's key columns -- deterministic, so
+    a retried task receives the same rows, and cheaper than a round-robin
+    repartition, which sorts every row first to be deterministic. A large
+    input already has at least as many splits as cores and is left alone.
+    Filters and column pruning still pass below the repartition to the scan.
+    """
+    want = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want, *keys)
+    return df
+
+
 def read_driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one driver table; timestamp_ntz columns become UTC timestamps."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -73,7 +98,8 @@ def read_driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         for f in df.schema.fields
         if isinstance(f.dataType, TimestampNTZType)
     }
-    return df.withColumns(casts) if casts else df
+    df = df.withColumns(casts) if casts else df
+    return fan_out(df, DRIVER_KEYS.get(name, df.columns[:1]))
 
 
 def _s(c) -> Column:
