@@ -267,6 +267,13 @@ def netsuite_accounts(supplier: DataFrame, p: RunParams = DEFAULT) -> DataFrame:
     return _stamp(out, "netsuite")
 
 
+def netsuite_line_id() -> Column:
+    """Unique id of a lineitem row: (orderkey, linenumber) repeats in the driver
+    data; with part, supplier and ship date it is unique at every scale."""
+    return _cat(_s("l_orderkey"), "-", _s("l_linenumber"), "-", _s("l_partkey"), "-", _s("l_suppkey"), "-",
+                F.date_format("l_shipdate", "yyyyMMdd"))
+
+
 def netsuite_transactions(lineitem: DataFrame, p: RunParams = DEFAULT) -> DataFrame:
     rl = F.concat(F.col("l_returnflag"), F.col("l_linestatus"))
     ty = (
@@ -281,8 +288,7 @@ def netsuite_transactions(lineitem: DataFrame, p: RunParams = DEFAULT) -> DataFr
     d = _shifted("l_shipdate")
     amt = F.col("l_extendedprice").cast(MONEY)
     ok = F.col("l_orderkey")
-    # (orderkey, linenumber) repeats in the driver data; with part and supplier it is unique
-    line_id = _cat(_s(ok), "-", _s("l_linenumber"), "-", _s("l_partkey"), "-", _s("l_suppkey"))
+    line_id = netsuite_line_id()
     out = lineitem.withColumn("_type", ty).select(
         line_id.alias("id"),
         _cat("NS-", line_id).alias("tran_id"),

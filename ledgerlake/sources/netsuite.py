@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.functions import MONEY, RATE
-from ledgerlake.sources.driver_tables import SHIFT_DAYS
+from ledgerlake.sources.driver_tables import SHIFT_DAYS, netsuite_line_id
 
 DEFAULT_MIN_DATE = dt.date(2020, 1, 1)
 
@@ -76,8 +76,7 @@ def _s(c):
 
 def system_transactions(lineitem: DataFrame) -> DataFrame:
     d = F.date_add(F.to_date("l_shipdate"), SHIFT_DAYS)
-    lid = F.concat(_s("l_orderkey"), F.lit("-"), _s("l_linenumber"), F.lit("-"), _s("l_partkey"), F.lit("-"),
-                   _s("l_suppkey"))
+    lid = netsuite_line_id()
     amt = F.col("l_extendedprice").cast(MONEY)
     return lineitem.select(
         lid.alias("id"), F.concat(F.lit("NS-"), lid).alias("tranId"),
@@ -94,8 +93,7 @@ def system_transactions(lineitem: DataFrame) -> DataFrame:
 def system_transaction_lines(lineitem: DataFrame) -> DataFrame:
     """Two lines per transaction (debit, credit); entries of orders whose key
     is a multiple of 97 are off by one unit on the credit side."""
-    lid = F.concat(_s("l_orderkey"), F.lit("-"), _s("l_linenumber"), F.lit("-"), _s("l_partkey"), F.lit("-"),
-                   _s("l_suppkey"))
+    lid = netsuite_line_id()
     amt = F.col("l_extendedprice").cast(MONEY)
     credit = F.when(F.col("l_orderkey") % 97 == 0, (amt - 1).cast(MONEY)).otherwise(amt)
     seq = F.explode(F.array(F.lit(1), F.lit(2))).alias("lineSequenceNumber")

@@ -168,7 +168,7 @@ SELECT id, 'NS-' || id AS tran_id, _type AS type,
   {iso("CAST(d AS TIMESTAMP) + INTERVAL 8 HOUR")} AS last_modified_date,
   {day_loaded('d')} AS _loaded_at
 FROM (
-  SELECT *, {s('l_orderkey')} || '-' || {s('l_linenumber')} || '-' || {s('l_partkey')} || '-' || {s('l_suppkey')} AS id, {shifted('l_shipdate')} AS d,
+  SELECT *, {s('l_orderkey')} || '-' || {s('l_linenumber')} || '-' || {s('l_partkey')} || '-' || {s('l_suppkey')} || '-' || strftime(l_shipdate, '%Y%m%d') AS id, {shifted('l_shipdate')} AS d,
     CASE WHEN l_linenumber = 7 THEN 'Deposit'
          WHEN l_returnflag || l_linestatus = 'AF' THEN 'CustInvc'
          WHEN l_returnflag || l_linestatus = 'AO' THEN 'CustPymt'
@@ -764,14 +764,14 @@ SELECT id, 'NS-' || id AS tranId, CASE WHEN l_returnflag = 'R' THEN 'Journal' EL
   '1' AS currency, CAST(1 + l_tax AS DECIMAL(18,9)) AS exchangeRate, CAST(l_extendedprice AS {M}) AS total,
   d AS tranDate, d + 30 AS dueDate, l_linenumber <> 2 AS posting, false AS voided,
   'line ' || {s('l_linenumber')} AS memo, CAST(d AS TIMESTAMP) AS dateCreated, CAST(d AS TIMESTAMP) AS lastModifiedDate
-FROM (SELECT *, {s('l_orderkey')} || '-' || {s('l_linenumber')} || '-' || {s('l_partkey')} || '-' || {s('l_suppkey')} AS id, {shifted('l_shipdate')} AS d FROM lineitem) li""")
+FROM (SELECT *, {s('l_orderkey')} || '-' || {s('l_linenumber')} || '-' || {s('l_partkey')} || '-' || {s('l_suppkey')} || '-' || strftime(l_shipdate, '%Y%m%d') AS id, {shifted('l_shipdate')} AS d FROM lineitem) li""")
 
 cte("ns_system_lines", f"""
 SELECT transaction, seq AS lineSequenceNumber, CASE WHEN seq = 1 THEN '1100' ELSE '4000' END AS account,
   CAST(CASE WHEN seq = 1 THEN amt ELSE -cr END AS {M}) AS amount,
   CAST(CASE WHEN seq = 1 THEN amt END AS {M}) AS debit, CAST(CASE WHEN seq = 2 THEN cr END AS {M}) AS credit,
   department, CAST(NULL AS VARCHAR) AS class, CAST(NULL AS VARCHAR) AS location, 'item ' || acct AS memo
-FROM (SELECT {s('l_orderkey')} || '-' || {s('l_linenumber')} || '-' || {s('l_partkey')} || '-' || {s('l_suppkey')} AS transaction, CAST(l_extendedprice AS {M}) AS amt,
+FROM (SELECT {s('l_orderkey')} || '-' || {s('l_linenumber')} || '-' || {s('l_partkey')} || '-' || {s('l_suppkey')} || '-' || strftime(l_shipdate, '%Y%m%d') AS transaction, CAST(l_extendedprice AS {M}) AS amt,
         CASE WHEN l_orderkey % 97 = 0 THEN CAST(CAST(l_extendedprice AS {M}) - 1 AS {M})
              ELSE CAST(l_extendedprice AS {M}) END AS cr,
         {s('l_suppkey % 5')} AS department, {s('l_partkey')} AS acct
