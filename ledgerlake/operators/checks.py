@@ -73,9 +73,11 @@ def orphan_rate(fct: DataFrame, threshold: float = 0.05) -> DataFrame:  # Q11 (s
     return s.select("*", F.round(rate, 6).alias("orphan_rate"), F.coalesce(rate > threshold, F.lit(False)).alias("is_failing"))
 
 
-def revenue_reconciliation(revenue: DataFrame, as_of, since_year: int = 2023, threshold: float = 0.10) -> DataFrame:
+def revenue_reconciliation(revenue: DataFrame, as_of, since_year: int = 2023, threshold: float = 0.10,
+                           completed_only: bool = True) -> DataFrame:
     """Q12: completed quarters since ``since_year`` whose recognized revenue is
-    more than ``threshold`` off the booked revenue (full outer join, J6)."""
+    more than ``threshold`` off the booked revenue (full outer join, J6).
+    ``threshold < 0`` and ``completed_only=False`` return the whole comparison."""
     def total(stage, name):
         return (revenue.filter((F.col("revenue_stage") == stage) & (F.col("revenue_year") >= since_year))
                 .groupBy("revenue_year", "revenue_quarter").agg(F.sum("revenue_amount").alias(name)))
@@ -93,8 +95,13 @@ def revenue_reconciliation(revenue: DataFrame, as_of, since_year: int = 2023, th
     # string comparison of year||quarter, exactly as declared
     this_q = F.concat(F.year(d).cast("string"), F.quarter(d).cast("string"))
     period = F.concat(F.col("year").cast("string"), F.col("quarter").cast("string"))
+    if threshold < 0 and not completed_only:
+        return comp
     ratio = F.col("variance").cast("double") / F.col("booked").cast("double")
-    return comp.filter((F.col("booked") > 0) & (ratio > threshold) & (period < this_q))
+    cond = (F.col("booked") > 0) & (ratio > threshold)
+    if completed_only:
+        cond = cond & (period < this_q)
+    return comp.filter(cond)
 
 
 def source_freshness_check(loaded: DataFrame, now, warn_after_h: int, error_after_h: int) -> DataFrame:

@@ -5,7 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.functions import BASE, count_present, hour_diff, lit_date, lit_ts, pct_variance
+from ledgerlake.functions import (
+    BASE,
+    classify_amount,
+    count_present,
+    hour_diff,
+    lit_date,
+    lit_ts,
+    pct_variance,
+    safe_divide,
+)
 from ledgerlake.operators.windows import rolling_zscore
 from ledgerlake.params import DEFAULT, RunParams
 
@@ -19,14 +28,15 @@ def daily_totals_by_source(utx: DataFrame, p: RunParams = DEFAULT, days: int = 9
     """A9 step 1: per (date, source, category) counts, totals, debits, credits."""
     a = F.col("amount")
     zero = F.lit(0).cast(AMT)
+    side = classify_amount(a)  # G3: debit (> 0) / credit (< 0) / zero
     return (
         utx.filter(F.col("transaction_date") >= F.date_sub(lit_date(p.as_of), days))
         .groupBy("transaction_date", "source_system", "transaction_category")
         .agg(
             F.count(F.lit(1)).alias("transaction_count"),
             F.sum(a).cast(AMT).alias("total_amount"),
-            F.sum(F.when(a > 0, a).otherwise(zero)).cast(AMT).alias("total_debits"),
-            F.sum(F.when(a < 0, F.abs(a)).otherwise(zero)).cast(AMT).alias("total_credits"),
+            F.sum(F.when(side == "debit", a).otherwise(zero)).cast(AMT).alias("total_debits"),
+            F.sum(F.when(side == "credit", F.abs(a)).otherwise(zero)).cast(AMT).alias("total_credits"),
         )
     )
 
@@ -94,7 +104,7 @@ def golden_record_completeness(dim: DataFrame, p: RunParams = DEFAULT) -> DataFr
         grade = grade.when(fp >= lo, g)
     return scored.select(
         "*",
-        F.round(fp / F.col("total_fields") * 100, 1).alias("completeness_pct"),
+        F.round(safe_divide(fp, F.col("total_fields")) * 100, 1).alias("completeness_pct"),  # G2
         grade.otherwise("poor").alias("completeness_grade"),
         lit_ts(p.run_ts).alias("_checked_at"),
     ).orderBy(F.col("completeness_pct").asc())

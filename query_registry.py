@@ -475,3 +475,121 @@ def _s16(m: Model) -> DataFrame:
     wm = _sinks.high_watermark(first, "_loaded_at", by="source_system")
     batch = _inter.unified_transactions(m.stg, m.p, watermarks=wm)
     return _sinks.merge_frames(first, batch, ["transaction_unified_id"])
+
+
+# ---------------------------------------------------------------------------
+# Operator-level queries (2C-2J) over the same derived tables
+# ---------------------------------------------------------------------------
+from ledgerlake.operators import joins as _joins  # noqa: E402
+from ledgerlake.functions import classify_amount as _classify  # noqa: E402
+
+RUN1 = "2024-01-30 06:00:00"
+
+
+def _utx_two_runs(m: Model):
+    """The spine as an incremental table after two daily runs: rows loaded by
+    the cut-off carry run 1's _unified_at, rows re-read by run 2 carry run 2's."""
+    from dataclasses import replace
+    p1 = replace(m.p, run_ts=_dt.datetime.fromisoformat(RUN1))
+    first = _inter.unified_transactions(m.stg, p1).filter(_F.col("_loaded_at") <= _F.lit(CUTOFF).cast("timestamp"))
+    wm = _sinks.high_watermark(first, "_loaded_at", by="source_system")
+    batch = _inter.unified_transactions(m.stg, m.p, watermarks=wm)
+    return first, _sinks.merge_frames(first, batch, ["transaction_unified_id"])
+
+
+_UTX2 = f"""
+WITH wm AS (SELECT source_system, max(_loaded_at) AS wm FROM unified_transactions
+            WHERE _loaded_at <= TIMESTAMP '{CUTOFF}' GROUP BY 1),
+     utx2 AS (SELECT u.transaction_unified_id,
+                CASE WHEN u._loaded_at > w.wm - INTERVAL 3 DAY THEN TIMESTAMP '2024-01-31 06:00:00'
+                     ELSE TIMESTAMP '{RUN1}' END AS _unified_at2
+              FROM unified_transactions u JOIN wm w USING (source_system))
+SELECT f.* REPLACE (u2._unified_at2 AS _unified_at)
+FROM fct_transactions f JOIN utx2 u2 ON f.transaction_key = u2.transaction_unified_id"""
+
+
+@register("f10_fct_transactions_incremental", _UTX2)
+def _f10(m: Model) -> DataFrame:
+    """F10 + A7 + S16: fct_transactions built on run 1, then loaded incrementally
+    with `_unified_at > max(_unified_at)` of the target and merged on transaction_key."""
+    first_utx, utx_table = _utx_two_runs(m)
+    fct1 = marts.fct_transactions(first_utx, m.golden)
+    # fct passes _unified_at through from the spine and keeps every spine row
+    # (left join), so max over the first run's spine = max over fct1
+    hwm = _sinks.high_watermark(first_utx, "_unified_at")
+    new_rows = utx_table if hwm is None else utx_table.filter(_F.col("_unified_at") > _F.lit(hwm))
+    fct_batch = marts.fct_transactions(new_rows, m.golden)
+    return _sinks.merge_frames(fct1, fct_batch, ["transaction_key"])
+
+
+@register("j6_a11_revenue_comparison", """
+SELECT coalesce(r.revenue_year, b.revenue_year) AS year, coalesce(r.revenue_quarter, b.revenue_quarter) AS quarter,
+  CAST(coalesce(r.total_recognized, 0) AS DECIMAL(28,9)) AS recognized,
+  CAST(coalesce(b.total_booked, 0) AS DECIMAL(28,9)) AS booked,
+  CAST(abs(coalesce(r.total_recognized, 0) - coalesce(b.total_booked, 0)) AS DECIMAL(28,9)) AS variance
+FROM (SELECT revenue_year, revenue_quarter, sum(revenue_amount) AS total_recognized FROM fct_revenue
+      WHERE revenue_stage = 'recognized' AND revenue_year >= 2023 GROUP BY 1, 2) r
+FULL OUTER JOIN (SELECT revenue_year, revenue_quarter, sum(revenue_amount) AS total_booked FROM fct_revenue
+      WHERE revenue_stage = 'booked' AND revenue_year >= 2023 GROUP BY 1, 2) b
+ON r.revenue_year = b.revenue_year AND r.revenue_quarter = b.revenue_quarter""")
+def _j6(m: Model) -> DataFrame:
+    """J6 + A11: recognized vs booked revenue per year and quarter (full outer join, all quarters)."""
+    return _checks.revenue_reconciliation(m.fct_revenue, m.p.as_of, threshold=-1.0, completed_only=False)
+
+
+@register("j10_customer_lookup", """
+SELECT customer_golden_id, stripe_customer_id AS source_id, 'stripe' AS sys FROM golden_customers
+  WHERE stripe_customer_id IS NOT NULL
+UNION ALL SELECT customer_golden_id, quickbooks_customer_id, 'quickbooks' FROM golden_customers
+  WHERE quickbooks_customer_id IS NOT NULL
+UNION ALL SELECT customer_golden_id, netsuite_customer_id, 'netsuite' FROM golden_customers
+  WHERE netsuite_customer_id IS NOT NULL""")
+def _j10(m: Model) -> DataFrame:
+    """One-pass unpivot of the golden id columns into (owner, source_id, system)."""
+    return marts.customer_lookup(m.golden)
+
+
+@register("j7_unreferenced_qb_customers", """
+SELECT customer_id, email FROM stg_qb_customers
+WHERE email IS NOT NULL AND customer_id NOT IN (
+  SELECT quickbooks_customer_id FROM stg_stripe_customers
+  WHERE stripe_customer_id IS NOT NULL AND quickbooks_customer_id IS NOT NULL)""")
+def _j7(m: Model) -> DataFrame:
+    """QuickBooks customers that no Stripe metadata references (NULL-safe NOT IN as left_anti)."""
+    qb = m.stg.qb_customers().filter(_F.col("email").isNotNull()).select("customer_id", "email")
+    st = m.stg.stripe_customers().filter(_F.col("stripe_customer_id").isNotNull())
+    return _joins.not_in(qb, "customer_id", st, "quickbooks_customer_id")
+
+
+@register("a2_a3_customer_metrics", """
+SELECT customer_key, count(DISTINCT transaction_key) AS lifetime_transaction_count,
+  CAST(sum(amount) AS DECIMAL(28,9)) AS lifetime_transaction_value,
+  CAST(sum(revenue_amount) AS DECIMAL(28,9)) AS lifetime_revenue,
+  min(transaction_date) AS first_transaction_date, max(transaction_date) AS last_transaction_date,
+  count(DISTINCT source_system) AS source_system_count
+FROM fct_transactions WHERE customer_key IS NOT NULL GROUP BY 1""")
+def _a3(m: Model) -> DataFrame:
+    """A2 + A3: per-customer lifetime metrics with two exact distinct counts."""
+    return marts.customer_metrics(m.fct_transactions)
+
+
+@register("w1_w4_rolling_stats", "SELECT * FROM anomalies_all")
+def _w(m: Model) -> DataFrame:
+    """Trailing 30-row mean / stddev, guarded z-scores and 2-sigma flags, every day."""
+    return quality.transaction_anomalies(m.utx, m.p, flagged_only=False)
+
+
+@register("a4_accounting_vs_bank_all_days", "SELECT * FROM reconciliation_all")
+def _a4(m: Model) -> DataFrame:
+    """A4 + X24: accounting vs bank vs Stripe per day and category, matches kept."""
+    return quality.cross_source_reconciliation(m.utx, m.p, keep_matches=True)
+
+
+@register("g3_amount_classes", """
+SELECT source_system, CASE WHEN amount > 0 THEN 'debit' WHEN amount < 0 THEN 'credit' ELSE 'zero' END AS amount_class,
+  count(*) AS n, CAST(sum(amount) AS DECIMAL(28,9)) AS total
+FROM unified_transactions GROUP BY 1, 2""")
+def _g3(m: Model) -> DataFrame:
+    """Debit / credit / zero classification of every spine amount, per source."""
+    return m.utx.groupBy("source_system", _classify("amount").alias("amount_class")).agg(
+        _F.count(_F.lit(1)).alias("n"), _F.sum("amount").cast("decimal(28,9)").alias("total"))
