@@ -102,15 +102,29 @@ def split_part(c, delim: str, index: int) -> Column:
     return F.get(F.split(_c(c), delim), index)
 
 
-def json_scalar(c, path: str) -> Column:
-    """JSON scalar at ``path``; NULL for objects/arrays and malformed JSON.
+def _scalar_only(v: Column) -> Column:
+    """NULL for the text of a nested object or array (a scalar extractor gives
+    NULL there); the extra parse only runs for values starting with { or [."""
+    first = F.substring(v, 1, 1)
+    nested = F.when(
+        first.isin("{", "["), F.json_object_keys(v).isNotNull() | F.json_array_length(v).isNotNull()
+    ).otherwise(F.lit(False))
+    return F.when(nested, F.lit(None).cast("string")).otherwise(v)
 
-    ``get_json_object`` returns the text of a nested object or array, whereas a
-    scalar extractor must give NULL, so those values are nulled out.
-    """
-    v = F.get_json_object(_c(c), path)
-    nested = F.json_object_keys(v).isNotNull() | F.json_array_length(v).isNotNull()
-    return F.when(v.isNull() | nested, F.lit(None).cast("string")).otherwise(v)
+
+def json_scalar(c, path: str) -> Column:
+    """JSON scalar at ``path``; NULL for objects/arrays and malformed JSON."""
+    return _scalar_only(F.get_json_object(_c(c), path))
+
+
+def json_scalars(c, fields: list[str]) -> dict[str, Column]:
+    """X8 for several top-level fields: the document is parsed once per row
+    (``from_json`` into a struct of strings) instead of once per field.
+    Nested values come back as their JSON text and are nulled like ``json_scalar``;
+    malformed documents give NULL for every field."""
+    schema = "struct<" + ", ".join(f"`{f}`: string" for f in fields) + ">"
+    parsed = F.from_json(_c(c), schema)
+    return {f: _scalar_only(parsed.getField(f)) for f in fields}
 
 
 def json_string_array_path(c, sep: str) -> Column:

@@ -22,25 +22,42 @@ from ledgerlake.session import checkpoint_dir
 
 
 _MODELS: dict = {}
+_PLANS: dict = {}
 
 
 class Model:
-    def __init__(self, spark: SparkSession, raw, params: RunParams = DEFAULT, watermarks: dict | None = None):
+    def __init__(self, spark: SparkSession, raw, params: RunParams = DEFAULT, watermarks: dict | None = None,
+                 materialize_tables: bool = True, plans: dict | None = None):
         self.spark, self.raw, self.p = spark, raw, params
-        self.stg = Staging(raw, params)
+        self.plans = plans if plans is not None and watermarks is None else {}
+        if "stg" not in self.plans:
+            self.plans["stg"] = Staging(raw, params)
+        self.stg = self.plans["stg"]
         self.watermarks = watermarks
+        self.materialize_tables = materialize_tables
+
+    def _plan(self, name: str, build):
+        """Lazy plan shared by every run of this session (analysed once)."""
+        if name not in self.plans:
+            self.plans[name] = build()
+        return self.plans[name]
 
     @classmethod
     def from_driver(cls, spark: SparkSession, sf_dir: str, params: RunParams = DEFAULT, fresh: bool = False) -> "Model":
         """Model over the driver tables of ``sf_dir``.
 
         One Model per (session, directory, parameters) is kept, like views
-        defined once per session: plans are analysed once and shared by every
-        query of the session (only plans are cached, never data).
+        defined once per session, so the jobs of one run share its tables.
+        ``fresh=True`` (or clearing ``_MODELS``) starts a new run: tables are
+        built again, while the lazy plans (raw, staging, golden, spine) stay
+        analysed in ``_PLANS`` -- plans only, never data.
         """
         key = (id(spark), sf_dir, params)
         if fresh or key not in _MODELS:
-            _MODELS[key] = cls(spark, DriverRaw(spark, sf_dir, params), params)
+            if key not in _PLANS:
+                _PLANS[key] = {"raw": DriverRaw(spark, sf_dir, params)}
+            shared = _PLANS[key]
+            _MODELS[key] = cls(spark, shared["raw"], params, plans=shared)
         return _MODELS[key]
 
     def materialize(self, *names: str) -> "Model":
@@ -50,7 +67,7 @@ class Model:
         of recomputing the whole plan; a lost executor re-reads the checkpoint.
         Without a checkpoint folder (not a cluster setup) the frames are
         persisted to memory and disk instead. Returns a copy; ``self`` keeps
-        its lazy plans.
+        its frames. Frames that are already tables are left as they are.
         """
         has_dir = checkpoint_dir(self.spark) is not None
         clone = copy.copy(self)  # the shared per-session Model keeps its lazy plans
@@ -59,16 +76,28 @@ class Model:
             clone.__dict__[n] = df.checkpoint(eager=True) if has_dir else df.persist()
         return clone
 
+    def _table(self, df: DataFrame) -> DataFrame:
+        """A model the reference materializes as a table and several jobs read:
+        build it once per run (reliable checkpoint into spark.checkpoint.dir,
+        or persist when no checkpoint folder is configured)."""
+        if not self.materialize_tables:
+            return df
+        # a new Dataset over the shared (already analysed) plan: fresh physical
+        # plan and shuffles, so a new run never reuses an earlier run's output
+        df = df.select("*")
+        return df.checkpoint(eager=True) if checkpoint_dir(self.spark) is not None else df.persist()
+
     # intermediate ---------------------------------------------------------
     @cached_property
     def golden(self) -> DataFrame:
-        return intermediate.golden_customers(
+        return self._table(self._plan("golden", lambda: intermediate.golden_customers(
             self.stg.stripe_customers(), self.stg.qb_customers(), self.stg.sf_accounts(), self.p
-        )
+        )))
 
     @cached_property
     def utx(self) -> DataFrame:
-        return intermediate.unified_transactions(self.stg, self.p, self.watermarks)
+        return self._table(self._plan("utx", lambda: intermediate.unified_transactions(
+            self.stg, self.p, self.watermarks)))
 
     @cached_property
     def chart_of_accounts(self) -> DataFrame:
@@ -79,7 +108,8 @@ class Model:
     # marts ----------------------------------------------------------------
     @cached_property
     def fct_transactions(self) -> DataFrame:
-        return marts.fct_transactions(self.utx, self.golden)
+        return self._table(marts.fct_transactions(self.utx, self.golden,
+                                                  size_checked_broadcast=self.materialize_tables))
 
     @cached_property
     def fct_revenue(self) -> DataFrame:
@@ -97,7 +127,7 @@ class Model:
 
     @cached_property
     def dim_customers(self) -> DataFrame:
-        return marts.dim_customers(self.golden, self.fct_transactions, self.p)
+        return self._table(marts.dim_customers(self.golden, self.fct_transactions, self.p))
 
     @cached_property
     def dim_accounts(self) -> DataFrame:

@@ -18,6 +18,7 @@ from ledgerlake.functions import (
     cents_to_dollars,
     currency_code,
     json_scalar,
+    json_scalars,
     json_string_array_path,
     lit_date,
 )
@@ -120,6 +121,7 @@ def stg_quickbooks_payments(raw: DataFrame) -> DataFrame:  # M4
 # Stripe
 # ---------------------------------------------------------------------------
 def stg_stripe_charges(raw: DataFrame) -> DataFrame:  # M5
+    meta = json_scalars("metadata", ["order_id", "customer_email"])
     return raw.select(
         F.col("id").cast(S).alias("charge_id"),
         F.col("customer").cast(S).alias("stripe_customer_id"),
@@ -134,8 +136,8 @@ def stg_stripe_charges(raw: DataFrame) -> DataFrame:  # M5
         json_scalar("payment_method_details", "$.type").alias("payment_method_type"),
         F.col("description").cast(S).alias("description"),
         F.col("invoice").cast(S).alias("stripe_invoice_id"),
-        json_scalar("metadata", "$.order_id").alias("external_order_id"),
-        json_scalar("metadata", "$.customer_email").alias("customer_email"),
+        meta["order_id"].alias("external_order_id"),
+        meta["customer_email"].alias("customer_email"),
         F.timestamp_seconds(F.col("created").cast("bigint")).alias("created_at"),
         "_loaded_at",
         F.lit("stripe").alias("source_system"),
@@ -143,21 +145,23 @@ def stg_stripe_charges(raw: DataFrame) -> DataFrame:  # M5
 
 
 def stg_stripe_customers(raw: DataFrame) -> DataFrame:  # M6
+    addr = json_scalars("address", ["line1", "city", "state", "postal_code", "country"])
+    meta = json_scalars("metadata", ["qb_customer_id", "ns_customer_id", "sf_account_id"])
     return raw.select(
         F.col("id").cast(S).alias("stripe_customer_id"),
         F.col("name").cast(S).alias("customer_name"),
         F.col("email").cast(S).alias("email"),
         F.col("phone").cast(S).alias("phone"),
-        json_scalar("address", "$.line1").alias("address_line1"),
-        json_scalar("address", "$.city").alias("city"),
-        json_scalar("address", "$.state").alias("state"),
-        json_scalar("address", "$.postal_code").alias("postal_code"),
-        json_scalar("address", "$.country").alias("country"),
+        addr["line1"].alias("address_line1"),
+        addr["city"].alias("city"),
+        addr["state"].alias("state"),
+        addr["postal_code"].alias("postal_code"),
+        addr["country"].alias("country"),
         F.upper(F.coalesce(F.col("currency"), F.lit("USD"))).alias("currency_code"),
         F.col("delinquent").cast("boolean").alias("is_delinquent"),
-        json_scalar("metadata", "$.qb_customer_id").alias("quickbooks_customer_id"),
-        json_scalar("metadata", "$.ns_customer_id").alias("netsuite_customer_id"),
-        json_scalar("metadata", "$.sf_account_id").alias("salesforce_account_id"),
+        meta["qb_customer_id"].alias("quickbooks_customer_id"),
+        meta["ns_customer_id"].alias("netsuite_customer_id"),
+        meta["sf_account_id"].alias("salesforce_account_id"),
         F.timestamp_seconds(F.col("created").cast("bigint")).alias("created_at"),
         "_loaded_at",
         F.lit("stripe").alias("source_system"),
@@ -258,6 +262,7 @@ def stg_netsuite_accounts(raw: DataFrame) -> DataFrame:  # M9
 # ---------------------------------------------------------------------------
 def stg_plaid_transactions(raw: DataFrame) -> DataFrame:  # M10
     amt = F.col("amount").cast(MONEY)
+    pfc = json_scalars("personal_finance_category", ["primary", "detailed"])
     return raw.filter(F.col("pending") == F.lit(False)).select(
         F.col("transaction_id").cast(S).alias("plaid_transaction_id"),
         F.col("account_id").cast(S).alias("plaid_account_id"),
@@ -272,8 +277,8 @@ def stg_plaid_transactions(raw: DataFrame) -> DataFrame:  # M10
         F.col("pending").cast("boolean").alias("is_pending"),
         F.col("category_id").cast(S).alias("plaid_category_id"),
         json_string_array_path("category", " > ").alias("category_hierarchy"),
-        json_scalar("personal_finance_category", "$.primary").alias("pfc_primary"),
-        json_scalar("personal_finance_category", "$.detailed").alias("pfc_detailed"),
+        pfc["primary"].alias("pfc_primary"),
+        pfc["detailed"].alias("pfc_detailed"),
         # direction from the raw (un-flipped) sign
         F.when(amt > 0, "outflow").when(amt < 0, "inflow").otherwise("zero").alias("flow_direction"),
         "_loaded_at",
@@ -343,47 +348,75 @@ def stg_salesforce_opportunities(raw: DataFrame) -> DataFrame:  # M13
     )
 
 
+def _memo(fn):
+    """Build a staged frame once per Staging object (lazy plan, no data)."""
+    name = fn.__name__
+
+    def wrapper(self):
+        if name not in self._frames:
+            self._frames[name] = fn(self)
+        return self._frames[name]
+
+    wrapper.__name__ = name
+    wrapper.__doc__ = fn.__doc__
+    return wrapper
+
+
 class Staging:
     """Staged views over a raw-table accessor ``raw(name) -> DataFrame``."""
 
     def __init__(self, raw, params: RunParams = DEFAULT):
         self.raw, self.params = raw, params
+        self._frames: dict[str, DataFrame] = {}
 
+    @_memo
     def qb_accounts(self):
         return stg_quickbooks_accounts(self.raw("quickbooks.accounts"))
 
+    @_memo
     def qb_customers(self):
         return stg_quickbooks_customers(self.raw("quickbooks.customers"))
 
+    @_memo
     def qb_invoices(self):
         return stg_quickbooks_invoices(self.raw("quickbooks.invoices"), self.params)
 
+    @_memo
     def qb_payments(self):
         return stg_quickbooks_payments(self.raw("quickbooks.payments"))
 
+    @_memo
     def stripe_charges(self):
         return stg_stripe_charges(self.raw("stripe.charges"))
 
+    @_memo
     def stripe_customers(self):
         return stg_stripe_customers(self.raw("stripe.customers"))
 
+    @_memo
     def stripe_balance_transactions(self):
         return stg_stripe_balance_transactions(self.raw("stripe.balance_transactions"))
 
+    @_memo
     def ns_transactions(self):
         return stg_netsuite_transactions(self.raw("netsuite.transactions"))
 
+    @_memo
     def ns_accounts(self):
         return stg_netsuite_accounts(self.raw("netsuite.accounts"))
 
+    @_memo
     def plaid_transactions(self):
         return stg_plaid_transactions(self.raw("plaid.transactions"))
 
+    @_memo
     def plaid_balances(self):
         return stg_plaid_balances(self.raw("plaid.balances"))
 
+    @_memo
     def sf_accounts(self):
         return stg_salesforce_accounts(self.raw("salesforce.accounts"))
 
+    @_memo
     def sf_opportunities(self):
         return stg_salesforce_opportunities(self.raw("salesforce.opportunities"))

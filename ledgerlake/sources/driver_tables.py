@@ -85,11 +85,22 @@ def fan_out(df: DataFrame, keys: list[str]) -> DataFrame:
     Filters and column pruning still pass below the repartition to the scan.
     """
     want = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
+    if _input_splits(df) < want:
         return df.repartition(want, *keys)
     return df
 
 
+_SPLITS: dict = {}
+
+
+def _input_splits(df: DataFrame) -> int:
+    """Number of scan partitions of ``df`` (remembered per input file set)."""
+    key = tuple(sorted(df.inputFiles()))
+    if key not in _SPLITS:
+        _SPLITS[key] = df.rdd.getNumPartitions()
+    return _SPLITS[key]
+
+
 def read_driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one driver table; timestamp_ntz columns become UTC timestamps."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
