@@ -104,13 +104,18 @@ def upsert(
     unique_key: str | list[str],
     partition_by: tuple[str, str] | None = None,
     cluster_by: list[str] | None = None,
+    keys_may_move: bool = True,
 ) -> str:
     """S16 merge on ``unique_key``; returns 'created', 'merged' or 'noop'.
 
     Partitioned targets: the touched partitions are the batch's partitions
     plus the partitions where a batch key currently lives (a key whose date
     moved to another month must leave its old month). Only those are
-    rewritten (dynamic overwrite).
+    rewritten (dynamic overwrite). Finding the old partitions reads the key
+    and partition columns of the whole target (column-pruned, semi-joined
+    with the batch keys, which AQE broadcasts when small); a table whose
+    partition value never changes for a key can pass ``keys_may_move=False``
+    and only the batch's partitions are read.
     """
     spark = _spark(batch)
     keys = [unique_key] if isinstance(unique_key, str) else list(unique_key)
@@ -127,11 +132,11 @@ def upsert(
         col, grain = partition_by
         pcol = f"{col}_{grain}"
         batch_p, _ = partition_column(batch, col, grain)
-        touched = (
-            batch_p.select(pcol)
-            .union(target.join(bkeys, keys, "left_semi").select(pcol))
-            .distinct()
-        )
+        touched = batch_p.select(pcol)
+        if keys_may_move:
+            touched = touched.union(target.join(bkeys, keys, "left_semi").select(pcol))
+        # one row per partition value (months): a bounded broadcast
+        touched = touched.distinct()
         kept = target.join(F.broadcast(touched), pcol, "left_semi").join(bkeys, keys, "left_anti")
         new = kept.unionByName(batch_p, allowMissingColumns=True).checkpoint(eager=True)
         out = new.repartition(F.col(pcol)).sortWithinPartitions(*(cluster_by or [pcol]))

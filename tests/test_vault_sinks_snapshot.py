@@ -119,3 +119,30 @@ def test_checkpoint_dir_is_read_from_session(spark):
     from ledgerlake.session import checkpoint_dir
     assert checkpoint_dir(spark) is not None
     assert F is not None
+
+
+def test_null_and_unmatchable_keys_do_not_pile_on_one_reducer(spark):
+    """A third of the rows have no key (like every Plaid row in the customer
+    lookup): after the shuffle join no partition holds them all."""
+    from ledgerlake.operators.joins import left_join_spread
+
+    n = 30000
+    left = spark.range(n).select(
+        F.col("id").cast("string").alias("row_id"),
+        F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise((F.col("id") % 1000).cast("string")).alias("k"))
+    right = spark.range(1000).select(F.col("id").cast("string").alias("rk"), F.lit("v").alias("val"))
+    prev = {k: spark.conf.get(k) for k in ["spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold"]}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = left_join_spread(left, right, [("k", "rk")], spread_col="row_id")
+        sizes = [r["c"] for r in out.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("c")).collect()]
+        assert sum(sizes) == n
+        assert max(sizes) < n / 3 / 2  # the 10,000 keyless rows are spread over the partitions
+        assert out.filter("val is null").count() == n // 3
+        plain = left.join(right, left.k == right.rk, "left")
+        psizes = [r["c"] for r in plain.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("c")).collect()]
+        assert max(psizes) >= n / 3  # without spreading one reducer receives every NULL key
+    finally:
+        for k, v in prev.items():
+            spark.conf.set(k, v)
