@@ -88,6 +88,8 @@ def satellite(df: DataFrame, key_name: str, hub_key: Column, hub_key_name: str,
     if compare == "any":
         return out.join(target.select(hub_key_name, "hash_diff").distinct(), [hub_key_name, "hash_diff"], "left_anti")
     if compare == "latest":
-        latest = target.groupBy(hub_key_name).agg(F.max_by("hash_diff", "load_date").alias("hash_diff"))
+        # ties on load_date are broken by the hash itself, so a retried task picks the same row
+        latest = target.groupBy(hub_key_name).agg(
+            F.max_by("hash_diff", F.struct("load_date", "hash_diff")).alias("hash_diff"))
         return out.join(latest, [hub_key_name, "hash_diff"], "left_anti")
     raise ValueError(compare)

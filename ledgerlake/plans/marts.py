@@ -78,7 +78,8 @@ REVENUE_COLUMNS = ["transaction_key", "customer_key", "revenue_date", "revenue_a
                    "revenue_stage", "source_system", "reference_number"]
 
 
-def fct_revenue(fct: DataFrame, opportunities: DataFrame, golden: DataFrame, p: RunParams = DEFAULT) -> DataFrame:
+def fct_revenue(fct: DataFrame, opportunities: DataFrame, golden: DataFrame, p: RunParams = DEFAULT,
+                size_checked_broadcast: bool = False) -> DataFrame:
     invoiced = fct.filter((F.col("transaction_category") == "accounts_receivable") & (F.col("amount") > 0)).select(
         "transaction_key", "customer_key",
         F.col("transaction_date").alias("revenue_date"),
@@ -90,6 +91,8 @@ def fct_revenue(fct: DataFrame, opportunities: DataFrame, golden: DataFrame, p:
     gc = golden.filter(F.col("salesforce_account_id").isNotNull()).select(
         F.col("customer_golden_id").alias("customer_key"), F.col("salesforce_account_id").alias("_sf")
     )
+    if size_checked_broadcast:
+        gc = broadcast_if_small(gc)
     opp = left_join_spread(opportunities, gc, [("sf_account_id", "_sf")], spread_col="opportunity_id")
     booked = opp.select(
         surrogate_key("opportunity_id").alias("transaction_key"),
@@ -206,10 +209,13 @@ def aging_bucket(balance, due, as_of):
     return label.otherwise("90+ Days"), sort.otherwise(5)
 
 
-def fct_accounts_receivable(invoices: DataFrame, golden: DataFrame, p: RunParams = DEFAULT) -> DataFrame:
+def fct_accounts_receivable(invoices: DataFrame, golden: DataFrame, p: RunParams = DEFAULT,
+                            size_checked_broadcast: bool = False) -> DataFrame:
     gc = golden.filter(F.col("quickbooks_customer_id").isNotNull()).select(
         F.col("customer_golden_id").alias("customer_key"), F.col("quickbooks_customer_id").alias("_qb")
     )
+    if size_checked_broadcast:
+        gc = broadcast_if_small(gc)
     j = left_join_spread(invoices, gc, [("customer_id", "_qb")], spread_col="invoice_id")
     as_of = lit_date(p.as_of)
     label, sort = aging_bucket(F.col("balance_due"), F.col("due_date"), as_of)

@@ -18,7 +18,7 @@ from ledgerlake.plans import intermediate, marts, quality
 from ledgerlake.plans.staging import Staging
 from ledgerlake.sources import seeds
 from ledgerlake.sources.driver_tables import DriverRaw
-from ledgerlake.session import checkpoint_dir
+from ledgerlake.session import checkpoint_dir, configure
 
 
 _MODELS: dict = {}
@@ -52,6 +52,7 @@ class Model:
         built again, while the lazy plans (raw, staging, golden, spine) stay
         analysed in ``_PLANS`` -- plans only, never data.
         """
+        configure(spark)  # the jobs are defined in UTC with AQE on, whatever session calls them
         key = (id(spark), sf_dir, params)
         if fresh or key not in _MODELS:
             if key not in _PLANS:
@@ -113,7 +114,8 @@ class Model:
 
     @cached_property
     def fct_revenue(self) -> DataFrame:
-        return marts.fct_revenue(self.fct_transactions, self.stg.sf_opportunities(), self.golden, self.p)
+        return marts.fct_revenue(self.fct_transactions, self.stg.sf_opportunities(), self.golden, self.p,
+                                 size_checked_broadcast=self.materialize_tables)
 
     @cached_property
     def fct_cash_flow(self) -> DataFrame:
@@ -123,7 +125,8 @@ class Model:
 
     @cached_property
     def fct_accounts_receivable(self) -> DataFrame:
-        return marts.fct_accounts_receivable(self.stg.qb_invoices(), self.golden, self.p)
+        return marts.fct_accounts_receivable(self.stg.qb_invoices(), self.golden, self.p,
+                                             size_checked_broadcast=self.materialize_tables)
 
     @cached_property
     def dim_customers(self) -> DataFrame:
