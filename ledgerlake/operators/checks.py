@@ -180,8 +180,13 @@ def run_model_checks(spark: SparkSession, model: str, df: DataFrame, checks: lis
             rows.append(a.select(F.lit(model).alias("model"), F.lit(c.kind).alias("check"),
                                  F.lit(c.column).cast("string").alias("column"), fails.alias("failures"),
                                  F.lit(c.severity).alias("_sev")))
+    uniq = [c for c in checks if c.kind in ("unique", "unique_combination")]
+    if len(uniq) >= 2:
+        rows.append(_uniqueness_counts(model, df, uniq))
+    else:
+        uniq = []
     for c in checks:
-        if c in foldable:
+        if c in foldable or c in uniq:
             continue
         if c.kind == "unique":
             bad = unique(df, c.column)
@@ -199,6 +204,35 @@ def run_model_checks(spark: SparkSession, model: str, df: DataFrame, checks: lis
     return u.select("model", "check", "column", status.alias("status"), "failures")
 
 
+def _uniqueness_counts(model: str, df: DataFrame, uniq: list[Check]) -> DataFrame:
+    """All uniqueness checks of one model in one shuffle.
+
+    Each row emits one (check id, value) pair per check (composite keys are
+    packed as a struct serialized to JSON; single columns skip NULLs, as Q2
+    ignores them); one aggregate counts the values seen more than once per
+    check, and ``stack`` turns the counts into one result row per check.
+    Partial aggregation combines duplicates map-side, so a hot value is
+    pre-aggregated before the shuffle.
+    """
+    pairs = []
+    for i, c in enumerate(uniq):
+        if c.kind == "unique":
+            v = F.col(c.column).cast("string")
+            pairs.append(F.when(F.col(c.column).isNotNull(), F.struct(F.lit(i).alias("i"), v.alias("v"))))
+        else:
+            v = F.to_json(F.struct(*[F.col(x) for x in c.args["columns"]]))
+            pairs.append(F.struct(F.lit(i).alias("i"), v.alias("v")))
+    exploded = df.select(F.explode(F.array(*pairs)).alias("p")).filter(F.col("p").isNotNull()).select("p.i", "p.v")
+    dup = exploded.groupBy("i", "v").count().filter(F.col("count") > 1)
+    counts = dup.agg(*[F.count_if(F.col("i") == i).alias(f"u{i}") for i in range(len(uniq))])
+    items = ", ".join(
+        f"'{c.kind}', {repr(c.column) if c.column else 'CAST(NULL AS STRING)'}, '{c.severity}', u{i}"
+        for i, c in enumerate(uniq))
+    out = counts.selectExpr(f"stack({len(uniq)}, {items}) as (check, column, _sev, failures)")
+    return out.select(F.lit(model).alias("model"), "check", "column",
+                      F.col("failures").cast("long").alias("failures"), "_sev")
+
+
 def tally(results: DataFrame) -> DataFrame:
     """Counts of pass / fail / warn / error; any other status is a skip."""
     st = F.col("status")

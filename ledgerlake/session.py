@@ -32,6 +32,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "8g")
         .config("spark.sql.ansi.enabled", "true")
+        # remove checkpoint files once their DataFrame is no longer referenced
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.showConsoleProgress", "false")
     )
     for k, v in JOB_CONF.items():
