@@ -110,7 +110,6 @@ from ledgerlake.operators import checks as _checks  # noqa: E402
 from ledgerlake.plans import checks_suite as _suite  # noqa: E402
 from ledgerlake.plans import vault_models as _vm  # noqa: E402
 from ledgerlake.operators import snapshot as _snap  # noqa: E402
-from ledgerlake.sinks import high_watermark as _hwm  # noqa: E402
 from pyspark.sql import functions as _F  # noqa: E402
 import datetime as _dt  # noqa: E402
 
