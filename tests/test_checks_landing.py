@@ -93,3 +93,21 @@ def test_stream_landing_is_incremental_and_exactly_once(spark, tmp):
     # one _loaded_at per batch
     per_batch = out.groupBy("batch_id").agg(F.countDistinct("_loaded_at").alias("n")).collect()
     assert all(r.n == 1 for r in per_batch) and len(per_batch) == 2
+
+
+def test_seed_csv_with_pinned_types_and_views(spark, tmp):
+    from ledgerlake import sinks
+    from ledgerlake.sources import seeds
+
+    path = os.path.join(tmp, "seed_chart_of_accounts.csv")
+    with open(path, "w") as f:
+        f.write("account_code,source_system,canonical_classification,canonical_category,financial_statement_line,"
+                "is_balance_sheet,is_income_statement\n")
+        for r in seeds.CHART_OF_ACCOUNTS:
+            f.write(",".join(str(v).lower() if isinstance(v, bool) else v for v in r) + "\n")
+    from_csv = seeds.chart_of_accounts(spark, path)
+    assert dict(from_csv.dtypes)["account_code"] == "string"  # pinned: '1000' stays text
+    assert sorted(from_csv.collect()) == sorted(seeds.chart_of_accounts(spark).collect())
+    sinks.view(from_csv, "seed_coa")
+    assert spark.sql("select count(*) from seed_coa where is_balance_sheet").first()[0] == 13
+    assert seeds.currency_codes(spark).filter("decimal_places = 0").first().currency_code == "JPY"
