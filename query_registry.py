@@ -11,6 +11,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerlake.plans import marts, quality
 from ledgerlake.plans.model import Model
@@ -72,7 +73,20 @@ simple("m28_fct_cash_flow", "fct_cash_flow", "fct_cash_flow")
 simple("m29_fct_accounts_receivable", "fct_accounts_receivable", "fct_accounts_receivable")
 simple("m30_dim_customers", "dim_customers", "dim_customers")
 simple("m31_dim_accounts", "dim_accounts", "dim_accounts")
-simple("m32_dim_date", "dim_date", "dim_date")
+
+
+
+@register("m32_dim_date_by_transaction_date", """
+SELECT d.*, f.transaction_count FROM dim_date d
+JOIN (SELECT transaction_date, count(*) AS transaction_count FROM fct_transactions GROUP BY 1) f
+  ON d.date_key = f.transaction_date""")
+def _m32(m: Model) -> DataFrame:
+    """The calendar dimension's attributes for every date the fact table
+    has transactions on (the dimension itself has no input)."""
+    per_day = m.fct_transactions.groupBy("transaction_date").agg(
+        F.count(F.lit(1)).alias("transaction_count"))
+    return m.dim_date.join(per_day, m.dim_date.date_key == per_day.transaction_date, "inner").drop(
+        "transaction_date")
 register(
     "m33_cross_source_reconciliation",
     "SELECT * FROM reconciliation_all WHERE reconciliation_status <> 'match'",
