@@ -22,14 +22,16 @@ from ledgerlake.operators.joins import anti_join_target
 
 
 def _earliest_per_key(df: DataFrame, key: str, load_date: str = "load_date") -> DataFrame:
-    """One row per key: the one with the earliest load_date (aggregate, no sort)."""
-    others = [c for c in df.columns if c != key]
-    packed = F.struct(*[F.col(c) for c in [load_date] + [c for c in others if c != load_date]])
-    return (
-        df.groupBy(key)
-        .agg(F.min(packed).alias("_r"))
-        .select(key, *[F.col(f"_r.{c}").alias(c) for c in others])
-    )
+    """One row per key with its earliest load_date.
+
+    The other columns (business key or hub keys, record source) are inputs of
+    the key's hash, so they are constant per key and can be grouping columns:
+    the aggregate is then ``min`` of a timestamp, a hash aggregate with
+    map-side combining (a ``min`` over a struct of strings would force a
+    sort-based aggregate over the whole batch).
+    """
+    group = [c for c in df.columns if c != load_date]
+    return df.groupBy(*group).agg(F.min(load_date).alias(load_date)).select(*df.columns)
 
 
 def hub(sources: list[tuple[DataFrame, str, str | Column, str]], key_name: str, bk_name: str,

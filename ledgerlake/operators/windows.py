@@ -14,6 +14,35 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def rolling_zscores(
+    df: DataFrame,
+    partition_col: str,
+    order_col: str,
+    series: dict[str, str],
+    preceding: int = 30,
+    k: float = 2.0,
+    digits: int = 2,
+) -> DataFrame:
+    """``rolling_zscore`` for several value columns at once ({name: column}).
+
+    All frame aggregates are added in one projection over one window spec, so
+    the plan has a single Window operator (one sort of the partition)."""
+    w = Window.partitionBy(partition_col).orderBy(order_col).rowsBetween(-preceding, -1)
+    stats = {}
+    for name, col in series.items():
+        x = F.col(col).cast("double")
+        stats[f"rolling_avg_{name}"] = F.avg(x).over(w)
+        stats[f"rolling_stddev_{name}"] = F.stddev_samp(x).over(w)  # NULL with fewer than two prior rows
+    out = df.withColumns(stats)
+    flags = {}
+    for name, col in series.items():
+        x = F.col(col).cast("double")
+        m, sd = F.col(f"rolling_avg_{name}"), F.col(f"rolling_stddev_{name}")
+        flags[f"{name}_z_score"] = F.when(sd > 0, F.round((x - m) / sd, digits)).otherwise(F.lit(0.0))
+        flags[f"is_{name}_anomaly"] = F.coalesce((sd > 0) & (F.abs(x - m) > F.lit(k) * sd), F.lit(False))
+    return out.withColumns(flags)
+
+
 def rolling_zscore(
     df: DataFrame,
     partition_col: str,
@@ -27,16 +56,4 @@ def rolling_zscore(
     """Adds rolling_avg_<name>, rolling_stddev_<name>, <name>_z_score,
     is_<name>_anomaly over ROWS BETWEEN ``preceding`` PRECEDING AND 1 PRECEDING
     (the current row excluded; the frame counts rows, not calendar days)."""
-    w = Window.partitionBy(partition_col).orderBy(order_col).rowsBetween(-preceding, -1)
-    x = F.col(value_col).cast("double")
-    m = F.avg(x).over(w)
-    sd = F.stddev_samp(x).over(w)  # NULL with fewer than two prior rows
-    out = df.withColumn(f"rolling_avg_{name}", m).withColumn(f"rolling_stddev_{name}", sd)
-    m, sd = F.col(f"rolling_avg_{name}"), F.col(f"rolling_stddev_{name}")
-    return out.withColumn(
-        f"{name}_z_score",
-        F.when(sd > 0, F.round((x - m) / sd, digits)).otherwise(F.lit(0.0)),
-    ).withColumn(
-        f"is_{name}_anomaly",
-        F.coalesce((sd > 0) & (F.abs(x - m) > F.lit(k) * sd), F.lit(False)),
-    )
+    return rolling_zscores(df, partition_col, order_col, {name: value_col}, preceding, k, digits)

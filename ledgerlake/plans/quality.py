@@ -15,7 +15,7 @@ from ledgerlake.functions import (
     pct_variance,
     safe_divide,
 )
-from ledgerlake.operators.windows import rolling_zscore
+from ledgerlake.operators.windows import rolling_zscores
 from ledgerlake.params import DEFAULT, RunParams
 
 AMT = BASE
@@ -170,8 +170,8 @@ def daily_stats(utx: DataFrame, p: RunParams = DEFAULT, days: int = 120) -> Data
 def transaction_anomalies(utx: DataFrame, p: RunParams = DEFAULT, flagged_only: bool = True) -> DataFrame:
     ds = daily_stats(utx, p)
     ds = ds.withColumn("_total_d", F.col("daily_total").cast("double"))
-    r = rolling_zscore(ds, "source_system", "transaction_date", "daily_count", "count", preceding=30)
-    r = rolling_zscore(r, "source_system", "transaction_date", "_total_d", "total", preceding=30)
+    r = rolling_zscores(ds, "source_system", "transaction_date", {"count": "daily_count", "total": "_total_d"},
+                        preceding=30)
     out = r.filter(F.col("transaction_date") >= F.date_sub(lit_date(p.as_of), 90)).select(
         "transaction_date", "source_system", "daily_count", "daily_total",
         F.round("rolling_avg_count", 6).alias("rolling_avg_count"),
