@@ -467,6 +467,14 @@ def plaid_transactions(events: DataFrame, p: RunParams = DEFAULT) -> DataFrame:
     return _stamp(out, "plaid")
 
 
+def event_order() -> Column:
+    """Total order of events as one fixed-width value: event time in
+    microseconds, ties broken by event id. Unlike a struct ordering it lets
+    ``max_by`` run as a hash aggregate, and the pick is deterministic."""
+    d = "decimal(38,0)"
+    return F.unix_micros(F.col("ts")).cast(d) * F.lit(10**18).cast(d) + F.col("event_id").cast(d)
+
+
 def plaid_balances(events: DataFrame, p: RunParams = DEFAULT) -> DataFrame:
     """Last observed value per account and day (one aggregate, map-side combined)."""
     daily = (
@@ -475,7 +483,7 @@ def plaid_balances(events: DataFrame, p: RunParams = DEFAULT) -> DataFrame:
             _cat("acc_", _s(F.col("user_id") % 10)).alias("account_id"),
             F.to_date("ts").alias("snapshot_date"),
         )
-        .agg(F.max_by(F.col("value"), F.struct("ts", "event_id")).alias("_last"))
+        .agg(F.max_by(F.col("value"), event_order()).alias("_last"))
     )
     current = (F.col("_last").cast(MONEY) * 100).cast(MONEY)
     out = daily.select(

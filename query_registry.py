@@ -358,7 +358,7 @@ def _m37(m: Model) -> DataFrame:
 # ---------------------------------------------------------------------------
 from ledgerlake.sources import landing as _land  # noqa: E402
 from ledgerlake.sources import netsuite as _ns  # noqa: E402
-from ledgerlake.sources.driver_tables import MONEY as _MONEY  # noqa: E402
+from ledgerlake.sources.driver_tables import MONEY as _MONEY, event_order  # noqa: E402
 from ledgerlake.plans import intermediate as _inter  # noqa: E402
 from ledgerlake import sinks as _sinks  # noqa: E402
 
@@ -375,7 +375,7 @@ def _s6(m: Model) -> DataFrame:
     """S6 + S2: flatten the nested balance extract (latest balance per account), stamp the batch."""
     ev = m.raw.driver("events").filter(_F.col("event_type").isin("click", "signup"))
     last = ev.groupBy((_F.col("user_id") % 10).alias("_a")).agg(
-        _F.max_by("value", _F.struct("ts", "event_id")).alias("_v"))
+        _F.max_by("value", event_order()).alias("_v"))
     cur = (_F.col("_v").cast(_MONEY) * 100).cast(_MONEY)
     nested = last.select(
         _F.concat(_F.lit("acc_"), _F.col("_a").cast("string")).alias("account_id"),
