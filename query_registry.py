@@ -7,14 +7,26 @@ oracle side is the final SELECT over the DuckDB CTEs of ``oracle.duck``
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlake import sinks as _sinks
+from ledgerlake.functions import classify_amount as _classify
+from ledgerlake.operators import checks as _checks
+from ledgerlake.operators import joins as _joins
+from ledgerlake.operators import snapshot as _snap
+from ledgerlake.plans import checks_suite as _suite
 from ledgerlake.plans import marts, quality
+from ledgerlake.plans import intermediate as _inter
+from ledgerlake.plans import vault_models as _vm
 from ledgerlake.plans.model import Model
+from ledgerlake.sources import landing as _land
+from ledgerlake.sources import netsuite as _ns
+from ledgerlake.sources.driver_tables import MONEY as _MONEY, event_order
 
 
 @dataclass(frozen=True)
@@ -75,7 +87,6 @@ simple("m30_dim_customers", "dim_customers", "dim_customers")
 simple("m31_dim_accounts", "dim_accounts", "dim_accounts")
 
 
-
 @register("m32_dim_date_by_transaction_date", """
 SELECT d.*, f.transaction_count FROM dim_date d
 JOIN (SELECT transaction_date, count(*) AS transaction_count FROM fct_transactions GROUP BY 1) f
@@ -120,12 +131,6 @@ def _a9(m: Model) -> DataFrame:
 # ---------------------------------------------------------------------------
 # 2L checks, G5 tally
 # ---------------------------------------------------------------------------
-from ledgerlake.operators import checks as _checks  # noqa: E402
-from ledgerlake.plans import checks_suite as _suite  # noqa: E402
-from ledgerlake.plans import vault_models as _vm  # noqa: E402
-from ledgerlake.operators import snapshot as _snap  # noqa: E402
-from pyspark.sql import functions as _F  # noqa: E402
-import datetime as _dt  # noqa: E402
 
 
 @register("q1_q8_declared_checks", _suite.oracle_suite_sql())
@@ -190,7 +195,7 @@ CUTOFF = "2024-01-20 06:00:00"
 
 
 def _two_runs(loader, frames, load_col):
-    first = [f.filter(_F.col(load_col) <= _F.lit(CUTOFF).cast("timestamp")) for f in frames]
+    first = [f.filter(F.col(load_col) <= F.lit(CUTOFF).cast("timestamp")) for f in frames]
     target = loader(*first)
     new = loader(*frames, target=target)
     return target.unionByName(new)
@@ -229,7 +234,7 @@ def _m18(m: Model) -> DataFrame:
     ("unified_transactions", "transaction_unified_id", "source_system", "_unified_at")]))
 def _m19(m: Model) -> DataFrame:
     """M19 hub_transaction (first run on rows loaded up to the cut-off)."""
-    first = m.utx.filter(_F.col("_loaded_at") <= _F.lit(CUTOFF).cast("timestamp"))
+    first = m.utx.filter(F.col("_loaded_at") <= F.lit(CUTOFF).cast("timestamp"))
     target = _vm.hub_transaction(first)
     return target.unionByName(_vm.hub_transaction(m.utx, target=target))
 
@@ -262,7 +267,7 @@ def _m20(m: Model) -> DataFrame:
     "_unified_at AS load_date FROM unified_transactions WHERE source_entity_id IS NOT NULL"))
 def _m21(m: Model) -> DataFrame:
     """M21 lnk_transaction_account, two incremental runs (split on _loaded_at)."""
-    first = m.utx.filter(_F.col("_loaded_at") <= _F.lit(CUTOFF).cast("timestamp"))
+    first = m.utx.filter(F.col("_loaded_at") <= F.lit(CUTOFF).cast("timestamp"))
     target = _vm.lnk_transaction_account(first)
     return target.unionByName(_vm.lnk_transaction_account(m.utx, target=target))
 
@@ -323,7 +328,7 @@ def _m24(m: Model) -> DataFrame:
     "source_system", "_unified_at", "unified_transactions"))
 def _m25(m: Model) -> DataFrame:
     """M25 sat_transaction_details (first run on rows loaded up to the cut-off)."""
-    first = m.utx.filter(_F.col("_loaded_at") <= _F.lit(CUTOFF).cast("timestamp"))
+    first = m.utx.filter(F.col("_loaded_at") <= F.lit(CUTOFF).cast("timestamp"))
     target = _vm.sat_transaction_details(first)
     return target.unionByName(_vm.sat_transaction_details(m.utx, target=target))
 
@@ -348,7 +353,7 @@ SELECT * EXCLUDE (_v) FROM (
   FROM dim_customers) s""")
 def _m37(m: Model) -> DataFrame:
     """SCD2 snapshot of dim_customers after two runs (timestamp strategy)."""
-    run1 = m.dim_customers.withColumn("_dim_updated_at", _F.lit(RUN1_TS).cast("timestamp"))
+    run1 = m.dim_customers.withColumn("_dim_updated_at", F.lit(RUN1_TS).cast("timestamp"))
     snap1 = _snap.snapshot(run1, None, "customer_key", "_dim_updated_at", RUN1_TS)
     return _snap.snapshot(m.dim_customers, snap1, "customer_key", "_dim_updated_at", m.p.run_ts)
 
@@ -356,11 +361,6 @@ def _m37(m: Model) -> DataFrame:
 # ---------------------------------------------------------------------------
 # 2A sources: landing, look-back, NetSuite pulls, freshness, incremental merge
 # ---------------------------------------------------------------------------
-from ledgerlake.sources import landing as _land  # noqa: E402
-from ledgerlake.sources import netsuite as _ns  # noqa: E402
-from ledgerlake.sources.driver_tables import MONEY as _MONEY, event_order  # noqa: E402
-from ledgerlake.plans import intermediate as _inter  # noqa: E402
-from ledgerlake import sinks as _sinks  # noqa: E402
 
 
 @register("s6_plaid_balance_snapshot", """
@@ -373,14 +373,14 @@ FROM (SELECT 'acc_' || CAST(user_id % 10 AS VARCHAR) AS account_id,
       QUALIFY row_number() OVER (PARTITION BY user_id % 10 ORDER BY ts DESC, event_id DESC) = 1) b""")
 def _s6(m: Model) -> DataFrame:
     """S6 + S2: flatten the nested balance extract (latest balance per account), stamp the batch."""
-    ev = m.raw.driver("events").filter(_F.col("event_type").isin("click", "signup"))
-    last = ev.groupBy((_F.col("user_id") % 10).alias("_a")).agg(
-        _F.max_by("value", event_order()).alias("_v"))
-    cur = (_F.col("_v").cast(_MONEY) * 100).cast(_MONEY)
+    ev = m.raw.driver("events").filter(F.col("event_type").isin("click", "signup"))
+    last = ev.groupBy((F.col("user_id") % 10).alias("_a")).agg(
+        F.max_by("value", event_order()).alias("_v"))
+    cur = (F.col("_v").cast(_MONEY) * 100).cast(_MONEY)
     nested = last.select(
-        _F.concat(_F.lit("acc_"), _F.col("_a").cast("string")).alias("account_id"),
-        _F.struct(cur.alias("current"), (cur - 25).cast(_MONEY).alias("available"),
-                  _F.lit(None).cast(_MONEY).alias("limit"), _F.lit("usd").alias("iso_currency_code")).alias("balances"),
+        F.concat(F.lit("acc_"), F.col("_a").cast("string")).alias("account_id"),
+        F.struct(cur.alias("current"), (cur - 25).cast(_MONEY).alias("available"),
+                  F.lit(None).cast(_MONEY).alias("limit"), F.lit("usd").alias("iso_currency_code")).alias("balances"),
     )
     return _land.stamp(_land.flatten_balances(nested, m.p.run_ts), m.p.run_ts, "plaid")
 
@@ -484,7 +484,7 @@ def _s16(m: Model) -> DataFrame:
     """S16-S18 + F11: first run builds the spine from rows loaded up to a cut-off;
     the second run re-reads each source from its watermark minus the 3-day
     look-back and merges on transaction_unified_id. Equals a one-shot build."""
-    first = _inter.unified_transactions(m.stg, m.p).filter(_F.col("_loaded_at") <= _F.lit(CUTOFF).cast("timestamp"))
+    first = _inter.unified_transactions(m.stg, m.p).filter(F.col("_loaded_at") <= F.lit(CUTOFF).cast("timestamp"))
     wm = _sinks.high_watermark(first, "_loaded_at", by="source_system")
     batch = _inter.unified_transactions(m.stg, m.p, watermarks=wm)
     return _sinks.merge_frames(first, batch, ["transaction_unified_id"])
@@ -493,8 +493,6 @@ def _s16(m: Model) -> DataFrame:
 # ---------------------------------------------------------------------------
 # Operator-level queries (2C-2J) over the same derived tables
 # ---------------------------------------------------------------------------
-from ledgerlake.operators import joins as _joins  # noqa: E402
-from ledgerlake.functions import classify_amount as _classify  # noqa: E402
 
 RUN1 = "2024-01-30 06:00:00"
 
@@ -504,7 +502,7 @@ def _utx_two_runs(m: Model):
     the cut-off carry run 1's _unified_at, rows re-read by run 2 carry run 2's."""
     from dataclasses import replace
     p1 = replace(m.p, run_ts=_dt.datetime.fromisoformat(RUN1))
-    first = _inter.unified_transactions(m.stg, p1).filter(_F.col("_loaded_at") <= _F.lit(CUTOFF).cast("timestamp"))
+    first = _inter.unified_transactions(m.stg, p1).filter(F.col("_loaded_at") <= F.lit(CUTOFF).cast("timestamp"))
     wm = _sinks.high_watermark(first, "_loaded_at", by="source_system")
     batch = _inter.unified_transactions(m.stg, m.p, watermarks=wm)
     return first, _sinks.merge_frames(first, batch, ["transaction_unified_id"])
@@ -530,7 +528,7 @@ def _f10(m: Model) -> DataFrame:
     # fct passes _unified_at through from the spine and keeps every spine row
     # (left join), so max over the first run's spine = max over fct1
     hwm = _sinks.high_watermark(first_utx, "_unified_at")
-    new_rows = utx_table if hwm is None else utx_table.filter(_F.col("_unified_at") > _F.lit(hwm))
+    new_rows = utx_table if hwm is None else utx_table.filter(F.col("_unified_at") > F.lit(hwm))
     fct_batch = marts.fct_transactions(new_rows, m.golden)
     return _sinks.merge_frames(fct1, fct_batch, ["transaction_key"])
 
@@ -569,8 +567,8 @@ WHERE email IS NOT NULL AND customer_id NOT IN (
   WHERE stripe_customer_id IS NOT NULL AND quickbooks_customer_id IS NOT NULL)""")
 def _j7(m: Model) -> DataFrame:
     """QuickBooks customers that no Stripe metadata references (NULL-safe NOT IN as left_anti)."""
-    qb = m.stg.qb_customers().filter(_F.col("email").isNotNull()).select("customer_id", "email")
-    st = m.stg.stripe_customers().filter(_F.col("stripe_customer_id").isNotNull())
+    qb = m.stg.qb_customers().filter(F.col("email").isNotNull()).select("customer_id", "email")
+    st = m.stg.stripe_customers().filter(F.col("stripe_customer_id").isNotNull())
     return _joins.not_in(qb, "customer_id", st, "quickbooks_customer_id")
 
 
@@ -605,4 +603,4 @@ FROM unified_transactions GROUP BY 1, 2""")
 def _g3(m: Model) -> DataFrame:
     """Debit / credit / zero classification of every spine amount, per source."""
     return m.utx.groupBy("source_system", _classify("amount").alias("amount_class")).agg(
-        _F.count(_F.lit(1)).alias("n"), _F.sum("amount").cast("decimal(28,9)").alias("total"))
+        F.count(F.lit(1)).alias("n"), F.sum("amount").cast("decimal(28,9)").alias("total"))
