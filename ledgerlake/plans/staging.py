@@ -32,6 +32,11 @@ def _ts(c: str):
     return F.to_timestamp(F.col(c))
 
 
+def _loaded_at():
+    """Landing stamp; landed JSON carries it as ISO-8601 text."""
+    return F.col("_loaded_at").cast("timestamp").alias("_loaded_at")
+
+
 # ---------------------------------------------------------------------------
 # QuickBooks
 # ---------------------------------------------------------------------------
@@ -48,7 +53,7 @@ def stg_quickbooks_accounts(raw: DataFrame) -> DataFrame:  # M1
         F.col("active").cast("boolean").alias("is_active"),
         _ts("meta_create_time").alias("created_at"),
         _ts("meta_last_updated_time").alias("updated_at"),
-        "_loaded_at",
+        _loaded_at(),
         F.lit("quickbooks").alias("source_system"),
     )
 
@@ -72,7 +77,7 @@ def stg_quickbooks_customers(raw: DataFrame) -> DataFrame:  # M2
         currency_code("currency_ref_value").alias("currency_code"),
         _ts("meta_create_time").alias("created_at"),
         _ts("meta_last_updated_time").alias("updated_at"),
-        "_loaded_at",
+        _loaded_at(),
         F.lit("quickbooks").alias("source_system"),
     )
 
@@ -96,7 +101,7 @@ def stg_quickbooks_invoices(raw: DataFrame, p: RunParams = DEFAULT) -> DataFrame
         status.alias("payment_status"),
         _ts("meta_create_time").alias("created_at"),
         _ts("meta_last_updated_time").alias("updated_at"),
-        "_loaded_at",
+        _loaded_at(),
         F.lit("quickbooks").alias("source_system"),
     )
 
@@ -112,7 +117,7 @@ def stg_quickbooks_payments(raw: DataFrame) -> DataFrame:  # M4
         F.coalesce(F.col("payment_method_ref_value").cast(S), F.lit("unknown")).alias("payment_method"),
         _ts("meta_create_time").alias("created_at"),
         _ts("meta_last_updated_time").alias("updated_at"),
-        "_loaded_at",
+        _loaded_at(),
         F.lit("quickbooks").alias("source_system"),
     )
 
@@ -139,7 +144,7 @@ def stg_stripe_charges(raw: DataFrame) -> DataFrame:  # M5
         meta["order_id"].alias("external_order_id"),
         meta["customer_email"].alias("customer_email"),
         F.timestamp_seconds(F.col("created").cast("bigint")).alias("created_at"),
-        "_loaded_at",
+        _loaded_at(),
         F.lit("stripe").alias("source_system"),
     )
 
@@ -163,7 +168,7 @@ def stg_stripe_customers(raw: DataFrame) -> DataFrame:  # M6
         meta["ns_customer_id"].alias("netsuite_customer_id"),
         meta["sf_account_id"].alias("salesforce_account_id"),
         F.timestamp_seconds(F.col("created").cast("bigint")).alias("created_at"),
-        "_loaded_at",
+        _loaded_at(),
         F.lit("stripe").alias("source_system"),
     )
 
@@ -181,7 +186,7 @@ def stg_stripe_balance_transactions(raw: DataFrame) -> DataFrame:  # M7
         F.col("description").cast(S).alias("description"),
         F.timestamp_seconds(F.col("created").cast("bigint")).alias("created_at"),
         F.timestamp_seconds(F.col("available_on").cast("bigint")).alias("available_on"),
-        "_loaded_at",
+        _loaded_at(),
         F.lit("stripe").alias("source_system"),
     )
 
@@ -232,7 +237,7 @@ def stg_netsuite_transactions(raw: DataFrame) -> DataFrame:  # M8
         F.col("memo").cast(S).alias("memo"),
         _ts("date_created").alias("created_at"),
         _ts("last_modified_date").alias("updated_at"),
-        "_loaded_at",
+        _loaded_at(),
         F.lit("netsuite").alias("source_system"),
     )
 
@@ -252,7 +257,7 @@ def stg_netsuite_accounts(raw: DataFrame) -> DataFrame:  # M9
         F.col("is_inactive").cast("boolean").alias("is_inactive"),
         (~F.col("is_inactive").cast("boolean")).alias("is_active"),
         cls.alias("classification"),
-        "_loaded_at",
+        _loaded_at(),
         F.lit("netsuite").alias("source_system"),
     )
 
@@ -281,7 +286,7 @@ def stg_plaid_transactions(raw: DataFrame) -> DataFrame:  # M10
         pfc["detailed"].alias("pfc_detailed"),
         # direction from the raw (un-flipped) sign
         F.when(amt > 0, "outflow").when(amt < 0, "inflow").otherwise("zero").alias("flow_direction"),
-        "_loaded_at",
+        _loaded_at(),
         F.lit("plaid").alias("source_system"),
     )
 
@@ -294,7 +299,7 @@ def stg_plaid_balances(raw: DataFrame) -> DataFrame:  # M11
         F.col("limit").cast(MONEY).alias("credit_limit"),
         F.upper("iso_currency_code").alias("currency_code"),
         F.col("snapshot_date").cast("date").alias("balance_date"),
-        "_loaded_at",
+        _loaded_at(),
         F.lit("plaid").alias("source_system"),
     )
 
@@ -320,7 +325,7 @@ def stg_salesforce_accounts(raw: DataFrame) -> DataFrame:  # M12
         F.col("owner_id").cast(S).alias("owner_id"),
         _ts("created_date").alias("created_at"),
         _ts("last_modified_date").alias("updated_at"),
-        "_loaded_at",
+        _loaded_at(),
         F.lit("salesforce").alias("source_system"),
     )
 
@@ -343,7 +348,7 @@ def stg_salesforce_opportunities(raw: DataFrame) -> DataFrame:  # M13
         F.col("owner_id").cast(S).alias("owner_id"),
         _ts("created_date").alias("created_at"),
         _ts("last_modified_date").alias("updated_at"),
-        "_loaded_at",
+        _loaded_at(),
         F.lit("salesforce").alias("source_system"),
     )
 

@@ -112,3 +112,23 @@ def test_seed_csv_with_pinned_types_and_views(spark, tmp):
     assert spark.sql("select count(*) from seed_coa where is_balance_sheet").first()[0] == sum(
         1 for r in seeds.CHART_OF_ACCOUNTS if r[5])
     assert seeds.currency_codes(spark).filter("decimal_places = 0").first().currency_code == "JPY"
+
+
+def test_staging_reads_landed_json_with_text_stamps(spark, tmp):
+    """A raw table landed as JSON (nested metadata kept as text, _loaded_at as
+    ISO text) stages like the parquet raw tables."""
+    from ledgerlake.plans.staging import stg_stripe_customers
+
+    rec = {"id": "cus_1", "name": "Ann Lee", "email": "a@x.io", "phone": None,
+           "address": json.dumps({"line1": "1 Main", "city": {"n": 1}}), "currency": None, "delinquent": False,
+           "metadata": json.dumps({"qb_customer_id": "QB-1"}), "created": 1704067200,
+           "_loaded_at": "2024-01-31T06:00:00+00:00", "_source_system": "stripe"}
+    path = os.path.join(tmp, "customers.json")
+    with open(path, "w") as f:
+        f.write(json.dumps(rec) + "\n")
+    schema = ("id string, name string, email string, phone string, address string, currency string, "
+              "delinquent boolean, metadata string, created bigint, _loaded_at string, _source_system string")
+    r = stg_stripe_customers(landing.read_landed_json(spark, path, schema)).first()
+    assert r.address_line1 == "1 Main" and r.city is None and r.quickbooks_customer_id == "QB-1"
+    assert r._loaded_at == dt.datetime(2024, 1, 31, 6) and r.currency_code == "USD"
+    assert r.created_at == dt.datetime(2024, 1, 1)
