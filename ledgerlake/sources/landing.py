@@ -90,12 +90,18 @@ class SourceRegistry:
         return f"{self.root}/raw_{source}/{table}"
 
     def __call__(self, name: str) -> DataFrame:
-        return self.spark.read.format(self.fmt).options(**self.options).load(self.path(name))
+        r = self.spark.read.format(self.fmt).options(**self.options)
+        if self.fmt == "json":  # S1: explicit schema instead of inference
+            from ledgerlake.sources.raw_schemas import RAW_SCHEMAS
+
+            r = r.schema(RAW_SCHEMAS[name])
+        return r.load(self.path(name))
 
 
 def loaded_at_by_source(raw, names: list[str]) -> DataFrame:
     """(source, _loaded_at) rows of the given raw tables, for freshness (Q9)."""
-    parts = [raw(n).select(F.lit(n.split(".")[0]).alias("source"), F.col("_loaded_at")) for n in names]
+    parts = [raw(n).select(F.lit(n.split(".")[0]).alias("source"), F.col("_loaded_at").cast("timestamp").alias(
+        "_loaded_at")) for n in names]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -132,3 +132,23 @@ def test_staging_reads_landed_json_with_text_stamps(spark, tmp):
     assert r.address_line1 == "1 Main" and r.city is None and r.quickbooks_customer_id == "QB-1"
     assert r._loaded_at == dt.datetime(2024, 1, 31, 6) and r.currency_code == "USD"
     assert r.created_at == dt.datetime(2024, 1, 1)
+
+
+def test_landed_json_through_the_registry_stages_like_the_derived_tables(spark, tmp):
+    from ledgerlake.plans import intermediate
+    from ledgerlake.plans.staging import Staging
+    from ledgerlake.sources.driver_tables import DriverRaw
+    from ledgerlake.sources.raw_schemas import RAW_SCHEMAS
+
+    derived = DriverRaw(spark, "/root/testdata/sf0.001")
+    reg = landing.SourceRegistry(spark, tmp, fmt="json")
+    for name in RAW_SCHEMAS:  # land every raw table as newline-delimited JSON
+        derived(name).withColumn("_loaded_at", F.date_format("_loaded_at", "yyyy-MM-dd'T'HH:mm:ssXXX")) \
+            .write.mode("overwrite").json(reg.path(name))
+    a, b = Staging(derived), Staging(reg)
+    for n in ["qb_invoices", "stripe_customers", "ns_transactions", "plaid_transactions", "sf_opportunities"]:
+        x, y = getattr(a, n)(), getattr(b, n)()
+        assert x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0, n
+    ga = intermediate.golden_customers(a.stripe_customers(), a.qb_customers(), a.sf_accounts())
+    gb = intermediate.golden_customers(b.stripe_customers(), b.qb_customers(), b.sf_accounts())
+    assert ga.exceptAll(gb).count() == 0 and gb.count() == ga.count()
