@@ -41,7 +41,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     keys = sys.argv[1:] or HEADLINE
-    spark = local_session(cpus, shuffle_partitions=int(cpus) * 2, app="ledgerlake-bench")
+    spark = local_session(cpus, shuffle_partitions=int(cpus) * 2, app="ledgerlake-bench", clean_checkpoints=False)
     # JVM / file-listing warm-up, not timed
     spark.read.parquet(f"{sf_dir}/customer.parquet").count()
 

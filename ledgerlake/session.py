@@ -23,8 +23,13 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "ledgerlake") -> SparkSession:
-    """Local session for tests and the benchmark (UI off, no server)."""
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "ledgerlake",
+                  clean_checkpoints: bool = True) -> SparkSession:
+    """Local session for tests and the benchmark (UI off, no server).
+
+    ``clean_checkpoints`` removes checkpoint files once their DataFrame is
+    garbage collected; the deletes run in the background, so a short timed
+    run (the benchmark) turns it off."""
     b = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -32,8 +37,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "8g")
         .config("spark.sql.ansi.enabled", "true")
-        # remove checkpoint files once their DataFrame is no longer referenced
-        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", str(clean_checkpoints).lower())
         .config("spark.ui.showConsoleProgress", "false")
     )
     for k, v in JOB_CONF.items():
