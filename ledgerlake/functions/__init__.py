@@ -113,7 +113,11 @@ def _scalar_only(v: Column) -> Column:
 
 
 def json_scalar(c, path: str) -> Column:
-    """JSON scalar at ``path``; NULL for objects/arrays and malformed JSON."""
+    """JSON scalar at ``path``; NULL for objects/arrays and malformed JSON.
+
+    Limitation: a *string* value whose text is itself a JSON object or array
+    (e.g. ``"{}"``) is indistinguishable from a nested value here and is nulled too.
+    """
     return _scalar_only(F.get_json_object(_c(c), path))
 
 
