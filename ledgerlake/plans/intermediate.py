@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.functions import BASE, lit_ts, null_of, split_part, surrogate_key
-from ledgerlake.operators.joins import not_in
+from ledgerlake.operators.joins import left_join_spread, not_in
 from ledgerlake.params import DEFAULT, RunParams
 
 HIGH_TS = "2099-01-01 00:00:00"
@@ -91,10 +91,10 @@ def golden_customers(
         "billing_state", "billing_postal_code", "billing_country", "industry", "annual_revenue",
         "employee_count", "account_type", "created_at", "updated_at",
     ]])
-    j = (
-        sc.join(qbp, F.col("quickbooks_customer_id") == F.col("qb_customer_id"), "left")
-        .join(sfp, F.col("salesforce_account_id") == F.col("sf_sf_account_id"), "left")
-    )
+    # most mapping rows lack a QuickBooks or Salesforce id: spread those rows
+    # instead of sending every NULL key to one reducer
+    j = left_join_spread(sc, qbp, [("quickbooks_customer_id", "qb_customer_id")], spread_col="stripe_customer_id")
+    j = left_join_spread(j, sfp, [("salesforce_account_id", "sf_sf_account_id")], spread_col="stripe_customer_id")
     hi, lo = lit_ts(HIGH_TS), lit_ts(LOW_TS)
     c = F.col
     return j.select(
