@@ -146,3 +146,22 @@ def test_null_and_unmatchable_keys_do_not_pile_on_one_reducer(spark):
     finally:
         for k, v in prev.items():
             spark.conf.set(k, v)
+
+
+def test_broadcast_only_under_the_measured_bound(spark):
+    from ledgerlake.operators.joins import broadcast_if_small
+
+    big = spark.range(50000).select(F.col("id").cast("string").alias("k"))
+    small = spark.range(100).select(F.col("id").cast("string").alias("k"), F.lit(1).alias("v"))
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # no planner-chosen broadcast
+
+    def plan(right):
+        return big.join(right, "k", "left")._jdf.queryExecution().executedPlan().toString()
+
+    try:
+        assert "BroadcastHashJoin" in plan(broadcast_if_small(small, max_bytes=1 << 20))   # 100 rows: fits
+        assert "SortMergeJoin" in plan(broadcast_if_small(small, max_bytes=1000))          # bound exceeded
+        assert "SortMergeJoin" in plan(broadcast_if_small(small))  # threshold -1 disables broadcasting
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
