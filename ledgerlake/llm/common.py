@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -29,6 +30,19 @@ def text_of(col: str) -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 
 
+def slices(batch, column: int, rows: int = 1024, size: int = 4 << 20):
+    """Parts of an Arrow batch of few rows and, but for single texts, few bytes."""
+    lengths = pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False)
+    start = held = 0
+    for i, n in enumerate(lengths):
+        if i > start and (i - start >= rows or held + n > size):
+            yield batch.slice(start, i - start)
+            start, held = i, 0
+        held += n
+    if batch.num_rows > start:
+        yield batch.slice(start)
+
+
 def global_rank(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     """``df`` plus its 0-based position in ``order``.
 

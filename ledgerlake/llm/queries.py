@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing, quality
+from . import exact_dedup, mixing, packing, pii, quality
 
 QUERIES = {
     "op1_source_mixing": mixing.query,
     "op2_quality_rules": quality.query,
+    "op3_best_fit_packing": packing.query,
     "op7_exact_dedup": exact_dedup.query,
+    "op10_pii": pii.query,
 }
 
 ORACLE_SQL = {
