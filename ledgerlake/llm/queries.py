@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing, packing, pii, quality
+from . import exact_dedup, mixing, ngram_join, packing, pii, quality
 
 QUERIES = {
     "op1_source_mixing": mixing.query,
     "op2_quality_rules": quality.query,
     "op3_best_fit_packing": packing.query,
+    "op6_ngram_jaccard_join": ngram_join.query,
     "op7_exact_dedup": exact_dedup.query,
     "op10_pii": pii.query,
 }
