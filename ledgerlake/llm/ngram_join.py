@@ -8,8 +8,8 @@ more. Every step keeps all links:
    shingles of a bounded list of common ones last, else by hash): sets that
    reach the threshold share a shingle of their prefixes, so a link's two
    ends meet at some key.
-3. Seeds: each class is verified against one partner, the smallest class of
-   the key it shares most. This joins large groups of near copies in about
+3. Seeds: a class is verified against one partner, the smallest class of the
+   keys it shares most, if they share many. This joins large groups of near copies in about
    as many pairs as classes.
 4. Keys whose classes are not yet in one component are searched with an
    R-tree. A class is a point: its shingles hashed into GROUPS groups, and
@@ -17,7 +17,9 @@ more. Every step keeps all links:
    of two points, the sum over the upper corners that of two boxes; pairs of
    boxes below the threshold, or inside one component, are not opened. Very
    common keys are dealt in cells of bounded size.
-5. Surviving pairs are verified on their full sets; components follow.
+   A survivor's common keys are counted, and with what lies beyond a prefix
+   they bound the overlap once more.
+5. The rest of the pairs is verified on full sets; components follow.
 
 One tree over all classes would not prune: in this many dimensions the boxes
 of unrelated texts overlap. The trees therefore stand under the keys.
@@ -280,17 +282,24 @@ def _search(table: pa.Table) -> pa.Table:
     key, cell = table["key"].to_numpy(), table["cell"].to_numpy()
     order = np.lexsort((cell, key))
     cls, comp, size = (table[c].to_numpy()[order] for c in ("cls", "comp", "n"))
-    points = np.vstack([np.frombuffer(x, np.int32) for x in table["vec"].take(pa.array(order)).to_pylist()])
-    key, cell = key[order], cell[order]
+    points = np.vstack([np.frombuffer(x, np.uint8 if len(x) == GROUPS else np.int32).astype(np.int32)
+                        for x in table["vec"].take(pa.array(order)).to_pylist()])
+    key, cell, own, blocks = key[order], cell[order], table["own"].to_numpy()[order], table["blocks"].to_numpy()[order]
     edges = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (cell[1:] != cell[:-1]), [True]]))
-    found: set[tuple[int, int]] = set()
+    found: dict[tuple[int, int, int, int], int] = {}
     for lo, hi in zip(edges[:-1], edges[1:]):
         if hi - lo > 1 and (comp[lo:hi] != comp[lo]).any():
             for p, q in Tree(points[lo:hi], size[lo:hi], comp[lo:hi]).pairs():
-                a, b = cls[lo:hi][p], cls[lo:hi][q]
-                found.update(zip(np.minimum(a, b).tolist(), np.maximum(a, b).tolist()))
-    a, b = zip(*found) if found else ((), ())
-    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+                p, q = p + lo, q + lo
+                # of the cells that two classes of a block share, one counts the pair
+                mine = np.minimum(own[p], own[q]) * blocks[lo] + np.maximum(own[p], own[q]) == cell[lo]
+                p, q = p[mine], q[mine]
+                swap = cls[p] > cls[q]
+                p, q = np.where(swap, q, p), np.where(swap, p, q)
+                for pair in zip(cls[p].tolist(), cls[q].tolist(), size[p].tolist(), size[q].tolist()):
+                    found[pair] = found.get(pair, 0) + 1
+    cols = list(zip(*[(*k, c) for k, c in found.items()])) if found else [()] * 5
+    return pa.table({n: pa.array(c, pa.int64()) for n, c in zip(("a", "b", "na", "nb", "c"), cols)})
 
 
 def searched(members: DataFrame, labels: DataFrame, vectors: DataFrame) -> DataFrame:
@@ -302,10 +311,14 @@ def searched(members: DataFrame, labels: DataFrame, vectors: DataFrame) -> DataF
     blocks = F.ceil(F.col("m") / CELL).cast("int")
     own = F.pmod(F.xxhash64("cls"), blocks).cast("int")
     cells = F.transform(F.sequence(F.lit(0), blocks - 1), lambda j: F.least(own, j) * blocks + F.greatest(own, j))
-    rows = cut(rows.select("key", "cls", "comp", F.explode(cells).alias("cell")).join(vectors, "cls"))
+    rows = cut(rows.select("key", "cls", "comp", own.alias("own"), blocks.alias("blocks"), F.explode(cells).alias("cell")).join(vectors, "cls"))
     buckets = max(1, -(-rows.count() // 20_000))
     rows = rows.withColumn("_b", F.pmod(F.xxhash64("key", "cell"), F.lit(buckets)))
-    return rows.groupBy("_b").applyInArrow(_search, "a long, b long").distinct()
+    pairs = rows.groupBy("_b").applyInArrow(_search, "a long, b long, na long, nb long, c long")
+    # c, the keys two classes share, is all they share of one's prefix; beyond it that one has n - prefix shingles
+    beyond = F.greatest(F.ceil(F.col("na") * 3 / 4), F.ceil(F.col("nb") * 3 / 4)) - 1
+    return (pairs.groupBy("a", "b", "na", "nb").agg(F.sum("c").alias("c"))
+            .filter(7 * (F.col("c") + beyond) >= 3 * (F.col("na") + F.col("nb"))).select("a", "b"))
 
 
 def decide(docs: DataFrame, **cols) -> DataFrame:
@@ -330,7 +343,10 @@ def decide(docs: DataFrame, **cols) -> DataFrame:
     shared = keys.groupBy("key").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).filter("lo < hi")
     members = cut(keys.join(shared.select("key", "lo"), "key"))
 
-    seeds = members.filter("cls <> lo").groupBy("cls", "lo").count().groupBy("cls").agg(F.max_by("lo", F.struct("count", -F.col("lo"))).alias("lo"))
+    seeds = members.filter("cls <> lo").groupBy("cls", "lo").count().groupBy("cls").agg(
+        F.max("count").alias("shared"), F.max_by("lo", F.struct("count", -F.col("lo"))).alias("lo"))
+    # a seed is worth its verification if the two share a quarter of a prefix; other links are left to the trees
+    seeds = seeds.join(classes.select("cls", "n"), "cls").filter("16 * shared >= n")
     links = verified(seeds.select(F.col("lo").alias("a"), F.col("cls").alias("b")), docs, classes, **cols)
     nodes = cut(members.select("cls").distinct())
     labels = components(nodes, links)
@@ -338,7 +354,9 @@ def decide(docs: DataFrame, **cols) -> DataFrame:
     def vector(ids, sets):
         for s in sets:
             if len(s):
-                yield _set_id(s), np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=GROUPS).astype(np.int32).tobytes()
+                counts = np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=GROUPS)
+                # one byte a group as long as the counts allow it
+                yield _set_id(s), counts.astype(np.uint8 if counts.max() < 256 else np.int32).tobytes()
 
     mixed_sets = cut(labels)
     need = nodes.join(classes.select("cls", "sid", "n"), "cls")
