@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing, ngram_join, packing, pii, quality
+from . import exact_dedup, language_id, license_scan, mixing, ngram_join, packing, pii, quality, url_filter
 
 QUERIES = {
     "op1_source_mixing": mixing.query,
     "op2_quality_rules": quality.query,
     "op3_best_fit_packing": packing.query,
+    "op5_language_id": language_id.query,
     "op6_ngram_jaccard_join": ngram_join.query,
     "op7_exact_dedup": exact_dedup.query,
+    "op8_url_filter": url_filter.query,
+    "op9_license_scan": license_scan.query,
     "op10_pii": pii.query,
 }
 
@@ -17,4 +20,5 @@ ORACLE_SQL = {
     "op1_source_mixing": mixing.ORACLE,
     "op2_quality_rules": quality.ORACLE,
     "op7_exact_dedup": exact_dedup.ORACLE,
+    "op8_url_filter": url_filter.ORACLE,
 }
