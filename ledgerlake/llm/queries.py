@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, language_id, license_scan, mixing, ngram_join, packing, pii, quality, url_filter
+from . import exact_dedup, language_id, license_scan, mixing, ngram_join, packing, pii, quality, suffix_dedup, url_filter
 
 QUERIES = {
     "op1_source_mixing": mixing.query,
     "op2_quality_rules": quality.query,
     "op3_best_fit_packing": packing.query,
+    "op4_suffix_dedup": suffix_dedup.query,
     "op5_language_id": language_id.query,
     "op6_ngram_jaccard_join": ngram_join.query,
     "op7_exact_dedup": exact_dedup.query,
