@@ -201,7 +201,7 @@ def repeated_starts(strings: list[np.ndarray], shard: int = SHARD) -> list[np.nd
     sizes = np.array([len(s) for s in strings], np.int64)
     blocks = refine(built)
     full = [start + LENGTH <= sizes[own] for own, start in where]
-    met = np.bincount(np.concatenate([b[f] for b, f in zip(blocks, full)]), minlength=1)
+    met = np.bincount(np.concatenate([b[f] for b, f in zip(blocks, full)]), minlength=max(int(b.max()) for b in blocks) + 1)
     for b, f, (own, start) in zip(blocks, full, where):
         hit = f & (met[b] > 1)
         for i, s in zip(own[hit].tolist(), start[hit].tolist()):
