@@ -41,9 +41,9 @@ from .common import cut, read, slices, text_of
 from .ngram_join import MULT, INVERSE, mixed, powers
 
 LENGTH, KMER, SYMBOL = 200, 64, 25
-SHARD, SLICE_ROWS, HOT = 1 << 20, 16_000, 2048
+SHARD, SLICE_ROWS, HOT = 1 << 20, 6_000, 2048
 BROADCAST_ROWS = 400_000
-BLOCK = 4 << 20
+BLOCK = 2 << 20
 _LOW = np.uint64((1 << 24) - 1)
 BYTE = np.random.default_rng(4).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
