@@ -62,33 +62,6 @@ def left_join_spread(
     return out.drop(*jks, *rks)
 
 
-def broadcast_if_small(df: DataFrame, row_bytes: int = 128, max_bytes: int | None = None) -> DataFrame:
-    """Broadcast ``df`` only behind a measured size bound.
-
-    Counts the rows (cheap when ``df`` is materialized) and broadcasts when
-    rows x ``row_bytes`` is within ``max_bytes`` (default: the session's
-    spark.sql.autoBroadcastJoinThreshold). Above it the frame is returned
-    unchanged and the join stays a shuffle join (AQE may still switch at run
-    time from measured shuffle sizes).
-    """
-    if max_bytes is None:
-        conf = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-        max_bytes = _parse_bytes(conf)
-    if max_bytes <= 0:
-        return df
-    n = df.count()
-    return F.broadcast(df) if n * row_bytes <= max_bytes else df
-
-
-def _parse_bytes(v: str) -> int:
-    v = v.strip().lower()
-    for suffix, mult in (("kb", 1 << 10), ("mb", 1 << 20), ("gb", 1 << 30), ("k", 1 << 10), ("m", 1 << 20),
-                         ("g", 1 << 30), ("b", 1)):
-        if v.endswith(suffix):
-            return int(float(v[: -len(suffix)]) * mult)
-    return int(v)
-
-
 def id_lookup(df: DataFrame, owner: str, id_cols: dict[str, str]) -> DataFrame:
     """Unpivot ``{system: id column}`` into (owner, source_id, sys), no NULL ids."""
     n = len(id_cols)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 
 from ledgerlake.operators.checks import Check, run_model_checks
 from ledgerlake.params import DEFAULT, RunParams
-from ledgerlake.session import checkpoint_dir
+from ledgerlake.session import cut
 
 EMAIL_REGEX = r"^[^@]+@[^@]+\.[^@]+$"
 
@@ -133,13 +133,12 @@ def run_suite(m, models: list[str] | None = None, materialize: bool = True) -> D
         m = m.materialize(*MATERIALIZE)
     frames = model_frames(m)
     s = suite(m.p)
-    has_dir = checkpoint_dir(m.spark) is not None
     parts = []
     for name in (models or list(s)):
         # one small job per model; its few result rows are stored, so the final
         # union is not one giant plan re-optimized after every stage
         res = run_model_checks(m.spark, name, frames[name], s[name], frames)
-        parts.append(res.checkpoint(eager=True) if has_dir else res.persist())
+        parts.append(cut(res))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -20,7 +20,7 @@ LOW_TS = "2000-01-01 00:00:00"
 # M14 golden customers
 # ---------------------------------------------------------------------------
 def golden_mappings(
-    stripe: DataFrame, qb: DataFrame, match_blank_emails: bool = False
+    stripe: DataFrame, qb: DataFrame, match_blank_emails: bool = True
 ) -> DataFrame:
     """Cross-reference rows: Stripe metadata ids UNION ALL QB email matches.
 
@@ -64,7 +64,7 @@ def golden_customers(
     qb: DataFrame,
     sf: DataFrame,
     p: RunParams = DEFAULT,
-    match_blank_emails: bool = False,
+    match_blank_emails: bool = True,
 ) -> DataFrame:
     m = golden_mappings(stripe, qb, match_blank_emails)
     gid = surrogate_key(

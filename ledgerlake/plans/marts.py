@@ -16,7 +16,7 @@ from ledgerlake.functions import (
     surrogate_key,
     week_of_year_sunday,
 )
-from ledgerlake.operators.joins import broadcast_if_small, id_lookup, left_join_spread
+from ledgerlake.operators.joins import id_lookup, left_join_spread
 from ledgerlake.params import DEFAULT, RunParams
 
 # decimal type of aggregated money columns (sum of BASE, cast back)
@@ -33,13 +33,9 @@ def customer_lookup(golden: DataFrame) -> DataFrame:
     return id_lookup(golden, "customer_golden_id", LOOKUP_SYSTEMS)
 
 
-def fct_transactions(utx: DataFrame, golden: DataFrame, size_checked_broadcast: bool = False) -> DataFrame:
-    """M26. With ``size_checked_broadcast`` (pass a materialized golden table)
-    the lookup is broadcast only when its measured size is under the
-    broadcast threshold, so the spine is not shuffled for the join."""
+def fct_transactions(utx: DataFrame, golden: DataFrame) -> DataFrame:
+    """M26. The runtime broadcasts the lookup if its measured size allows."""
     lk = customer_lookup(golden)
-    if size_checked_broadcast:
-        lk = broadcast_if_small(lk)
     # rows from systems without a lookup (plaid) or with no entity id can
     # never match: spread them instead of piling them on the NULL key
     j = left_join_spread(
@@ -78,8 +74,7 @@ REVENUE_COLUMNS = ["transaction_key", "customer_key", "revenue_date", "revenue_a
                    "revenue_stage", "source_system", "reference_number"]
 
 
-def fct_revenue(fct: DataFrame, opportunities: DataFrame, golden: DataFrame, p: RunParams = DEFAULT,
-                size_checked_broadcast: bool = False) -> DataFrame:
+def fct_revenue(fct: DataFrame, opportunities: DataFrame, golden: DataFrame, p: RunParams = DEFAULT) -> DataFrame:
     invoiced = fct.filter((F.col("transaction_category") == "accounts_receivable") & (F.col("amount") > 0)).select(
         "transaction_key", "customer_key",
         F.col("transaction_date").alias("revenue_date"),
@@ -91,8 +86,6 @@ def fct_revenue(fct: DataFrame, opportunities: DataFrame, golden: DataFrame, p:
     gc = golden.filter(F.col("salesforce_account_id").isNotNull()).select(
         F.col("customer_golden_id").alias("customer_key"), F.col("salesforce_account_id").alias("_sf")
     )
-    if size_checked_broadcast:
-        gc = broadcast_if_small(gc)
     opp = left_join_spread(opportunities, gc, [("sf_account_id", "_sf")], spread_col="opportunity_id")
     booked = opp.select(
         surrogate_key("opportunity_id").alias("transaction_key"),
@@ -209,13 +202,10 @@ def aging_bucket(balance, due, as_of):
     return label.otherwise("90+ Days"), sort.otherwise(5)
 
 
-def fct_accounts_receivable(invoices: DataFrame, golden: DataFrame, p: RunParams = DEFAULT,
-                            size_checked_broadcast: bool = False) -> DataFrame:
+def fct_accounts_receivable(invoices: DataFrame, golden: DataFrame, p: RunParams = DEFAULT) -> DataFrame:
     gc = golden.filter(F.col("quickbooks_customer_id").isNotNull()).select(
         F.col("customer_golden_id").alias("customer_key"), F.col("quickbooks_customer_id").alias("_qb")
     )
-    if size_checked_broadcast:
-        gc = broadcast_if_small(gc)
     j = left_join_spread(invoices, gc, [("customer_id", "_qb")], spread_col="invoice_id")
     as_of = lit_date(p.as_of)
     label, sort = aging_bucket(F.col("balance_due"), F.col("due_date"), as_of)

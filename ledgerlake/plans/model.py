@@ -18,11 +18,10 @@ from ledgerlake.plans import intermediate, marts, quality
 from ledgerlake.plans.staging import Staging
 from ledgerlake.sources import seeds
 from ledgerlake.sources.driver_tables import DriverRaw
-from ledgerlake.session import checkpoint_dir, configure
+from ledgerlake.session import configure, cut
 
 
 _MODELS: dict = {}
-_PLANS: dict = {}
 
 
 class Model:
@@ -49,16 +48,12 @@ class Model:
         One Model per (session, directory, parameters) is kept, like views
         defined once per session, so the jobs of one run share its tables.
         ``fresh=True`` (or clearing ``_MODELS``) starts a new run: tables are
-        built again, while the lazy plans (raw, staging, golden, spine) stay
-        analysed in ``_PLANS`` -- plans only, never data.
+        built again, from a new listing of the input files.
         """
         configure(spark)  # the jobs are defined in UTC with AQE on, whatever session calls them
-        key = (id(spark), sf_dir, params)
+        key = (spark.sparkContext.applicationId, sf_dir, params)
         if fresh or key not in _MODELS:
-            if key not in _PLANS:
-                _PLANS[key] = {"raw": DriverRaw(spark, sf_dir, params)}
-            shared = _PLANS[key]
-            _MODELS[key] = cls(spark, shared["raw"], params, plans=shared)
+            _MODELS[key] = cls(spark, DriverRaw(spark, sf_dir, params), params)
         return _MODELS[key]
 
     def materialize(self, *names: str) -> "Model":
@@ -66,27 +61,24 @@ class Model:
         ``spark.checkpoint.dir`` (reliable checkpoint), so later jobs that read
         them several times -- e.g. a check suite -- scan the stored rows instead
         of recomputing the whole plan; a lost executor re-reads the checkpoint.
-        Without a checkpoint folder (not a cluster setup) the frames are
-        persisted to memory and disk instead. Returns a copy; ``self`` keeps
+        Returns a copy; ``self`` keeps
         its frames. Frames that are already tables are left as they are.
         """
-        has_dir = checkpoint_dir(self.spark) is not None
         clone = copy.copy(self)  # the shared per-session Model keeps its lazy plans
         for n in names:
             df = getattr(clone, n)
-            clone.__dict__[n] = df.checkpoint(eager=True) if has_dir else df.persist()
+            clone.__dict__[n] = cut(df)
         return clone
 
     def _table(self, df: DataFrame) -> DataFrame:
         """A model the reference materializes as a table and several jobs read:
-        build it once per run (reliable checkpoint into spark.checkpoint.dir,
-        or persist when no checkpoint folder is configured)."""
+        build it once per run (reliable checkpoint into spark.checkpoint.dir)."""
         if not self.materialize_tables:
             return df
         # a new Dataset over the shared (already analysed) plan: fresh physical
         # plan and shuffles, so a new run never reuses an earlier run's output
         df = df.select("*")
-        return df.checkpoint(eager=True) if checkpoint_dir(self.spark) is not None else df.persist()
+        return cut(df)
 
     # intermediate ---------------------------------------------------------
     @cached_property
@@ -109,13 +101,11 @@ class Model:
     # marts ----------------------------------------------------------------
     @cached_property
     def fct_transactions(self) -> DataFrame:
-        return self._table(marts.fct_transactions(self.utx, self.golden,
-                                                  size_checked_broadcast=self.materialize_tables))
+        return self._table(marts.fct_transactions(self.utx, self.golden))
 
     @cached_property
     def fct_revenue(self) -> DataFrame:
-        return marts.fct_revenue(self.fct_transactions, self.stg.sf_opportunities(), self.golden, self.p,
-                                 size_checked_broadcast=self.materialize_tables)
+        return marts.fct_revenue(self.fct_transactions, self.stg.sf_opportunities(), self.golden, self.p)
 
     @cached_property
     def fct_cash_flow(self) -> DataFrame:
@@ -125,8 +115,7 @@ class Model:
 
     @cached_property
     def fct_accounts_receivable(self) -> DataFrame:
-        return marts.fct_accounts_receivable(self.stg.qb_invoices(), self.golden, self.p,
-                                             size_checked_broadcast=self.materialize_tables)
+        return marts.fct_accounts_receivable(self.stg.qb_invoices(), self.golden, self.p)
 
     @cached_property
     def dim_customers(self) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 # Applied on top of whatever the cluster sets; every value is a standard
@@ -11,8 +13,8 @@ JOB_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # dynamic overwrite: a month-partitioned rebuild only replaces the months it writes
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # a full rebuild replaces every partition; the merge asks for dynamic overwrite itself
+    "spark.sql.sources.partitionOverwriteMode": "static",
     "spark.sql.parquet.compression.codec": "zstd",
 }
 
@@ -47,6 +49,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def cut(df):
+    """``df`` from a reliable checkpoint. A session without a checkpoint
+    folder, as in tests, gets a temporary one."""
+    if checkpoint_dir(df.sparkSession) is None:
+        checkpoint_dir(df.sparkSession, fallback=tempfile.mkdtemp(prefix="ckpt-"))
+    return df.checkpoint(eager=True)
+
+
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str | None:
     """The shared checkpoint folder the cluster names in spark.checkpoint.dir.
 

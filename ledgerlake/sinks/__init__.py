@@ -17,6 +17,7 @@ checkpoint instead of recomputing the job.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,8 +33,10 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.parquet(path).schema  # noqa: B018 - resolves the file listing only
         return True
-    except Exception:  # AnalysisException: path does not exist / no files
-        return False
+    except AnalysisException as e:  # any other error must not look like a first run
+        if (e.getCondition() or "") in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -73,16 +76,40 @@ def write_table(
         out, pcol = partition_column(out, *partition_by)
         parts = [pcol]
     if parts or cluster_by:
-        # one shuffle groups rows of a partition value into few files; the
-        # sort gives tight parquet min/max statistics for the cluster columns
-        out = out.repartition(*[F.col(p) for p in parts]) if parts else out
-        out = out.sortWithinPartitions(*(cluster_by or parts))
-    w = out.write.mode(mode)
+        out = _dealt(out, parts, cluster_by or [])
+    w = out.write.mode(mode).option("partitionOverwriteMode", "static")
     if parts:
         w = w.partitionBy(*parts)
     w.parquet(path)
 
 
+def _dealt(df: DataFrame, parts: list[str], cluster_by: list[str]) -> DataFrame:
+    """Rows of a partition value in few files, but many tasks: a range
+    exchange over (partition, cluster columns) splits a large month by its
+    cluster columns, a rebalance lets the runtime split it by size. The sort
+    gives tight parquet statistics."""
+    if parts and cluster_by:
+        df = df.repartitionByRange(*[F.col(c) for c in [*parts, *cluster_by]])
+    elif parts:
+        df = df.hint("rebalance", *parts)
+    return df.sortWithinPartitions(*parts, *cluster_by)
+
+
+def _swap(spark: SparkSession, staged: str, path: str) -> None:
+    """Put the complete table at ``staged`` in the place of ``path``; until the
+    new one stands there, the old one stays beside it."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    new, here, old = (jvm.org.apache.hadoop.fs.Path(p) for p in (staged, path, path.rstrip("/") + "__old"))
+    fs = here.getFileSystem(conf)
+    fs.delete(old, True)
+    if fs.exists(here) and not fs.rename(here, old):
+        raise OSError(f"cannot set {path} aside")
+    if not fs.rename(new, here):
+        fs.rename(old, here)
+        raise OSError(f"cannot put {staged} in place")
+    fs.delete(old, True)
+
+
 def append(df: DataFrame, path: str, partition_by: tuple[str, str] | None = None) -> bool:
     """S4 append; S5 an empty batch is a no-op. Returns whether anything was written."""
     if df.isEmpty():
@@ -139,13 +166,15 @@ def upsert(
         touched = touched.distinct()
         kept = target.join(F.broadcast(touched), pcol, "left_semi").join(bkeys, keys, "left_anti")
         new = kept.unionByName(batch_p, allowMissingColumns=True).checkpoint(eager=True)
-        out = new.repartition(F.col(pcol)).sortWithinPartitions(*(cluster_by or [pcol]))
+        out = _dealt(new, [pcol], cluster_by or [])
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(pcol).parquet(path))
     else:
         kept = target.join(bkeys, keys, "left_anti")
         new = kept.unionByName(batch, allowMissingColumns=True).checkpoint(eager=True)
-        write_table(new, path, None, cluster_by)
+        staged = path.rstrip("/") + "__staged"
+        write_table(new, staged, None, cluster_by)
+        _swap(spark, staged, path)
     return "merged"
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ledgerlake.session import checkpoint_dir
+from ledgerlake.params import DEFAULT, RunParams
 
 
 def land_stream(
@@ -29,23 +29,19 @@ def land_stream(
     schema: StructType,
     source_system: str,
     name: str,
-    checkpoint_location: str | None = None,
+    checkpoint_location: str,
     fmt: str = "json",
+    params: RunParams = DEFAULT,
 ) -> int:
     """Land every new file of ``source_dir`` into ``target_path``; returns the
     number of micro-batches written in this run."""
-    if checkpoint_location is None:
-        root = checkpoint_dir(spark)
-        if root is None:
-            raise RuntimeError("set spark.checkpoint.dir (shared storage) or pass checkpoint_location")
-        checkpoint_location = f"{root}/streams/{source_system}/{name}"
     written: list[int] = []
 
     def write_batch(df: DataFrame, batch_id: int) -> None:
         if df.isEmpty():  # S5: an empty batch leaves the target untouched
             return
         stamped = df.withColumns({
-            "_loaded_at": F.current_timestamp(),  # one value for the whole batch (S2)
+            "_loaded_at": F.lit(params.run_ts),  # one value for the whole batch (S2)
             "_source_system": F.lit(source_system),
         })
         stamped.write.mode("overwrite").parquet(f"{target_path}/batch_id={batch_id}")

@@ -88,7 +88,7 @@ SELECT 'QB-' || {s('c_custkey')} AS id, c_name AS display_name,
   {iso(epoch_ts('1514764800 + (c_custkey % 10000) * 3600') + ' + to_days(CAST(c_custkey % 400 AS INTEGER))')}
     AS meta_last_updated_time,
   {master_loaded('c_custkey')} AS _loaded_at
-FROM customer WHERE c_custkey % 3 <> 0""")
+FROM customer""")
 
 cte("raw_qb_invoices", f"""
 SELECT {s('o_orderkey')} AS id, 'QB-' || {s('o_custkey')} AS customer_ref_value,
@@ -196,8 +196,7 @@ SELECT 'cus_' || ks AS id,
      CASE WHEN c_custkey % 5 <> 4 THEN '"sf_account_id": "001SF' || ks || '"' END) || '}}' AS metadata,
   1546300800 + (c_custkey % 10000) * 3600 AS created,
   {master_loaded('c_custkey')} AS _loaded_at
-FROM (SELECT *, {s('c_custkey')} AS ks, {s('c_nationkey')} AS nk FROM customer) c
-WHERE c_custkey % 4 <> 3""")
+FROM (SELECT *, {s('c_custkey')} AS ks, {s('c_nationkey')} AS nk FROM customer) c""")
 
 _cents = "CAST(round(value * 100) AS BIGINT)"
 cte("raw_stripe_charges", f"""
@@ -271,7 +270,7 @@ SELECT '001SF' || ks AS id, 'Account ' || ks AS name,
     AS last_modified_date,
   CASE WHEN c_custkey % 19 = 0 THEN NULL ELSE c_custkey % 17 = 0 END AS is_deleted,
   {master_loaded('c_custkey')} AS _loaded_at
-FROM (SELECT *, {s('c_custkey')} AS ks FROM customer) c WHERE c_custkey % 5 <> 4""")
+FROM (SELECT *, {s('c_custkey')} AS ks FROM customer) c""")
 
 cte("raw_sf_opportunities", f"""
 SELECT '006OP' || {s('o_orderkey')} AS id, '001SF' || {s('o_custkey')} AS account_id,

@@ -88,16 +88,15 @@ simple("m31_dim_accounts", "dim_accounts", "dim_accounts")
 
 
 @register("m32_dim_date_by_transaction_date", """
-SELECT d.*, f.transaction_count FROM dim_date d
-JOIN (SELECT transaction_date, count(*) AS transaction_count FROM fct_transactions GROUP BY 1) f
+SELECT d.*, coalesce(f.transaction_count, 0) AS transaction_count FROM dim_date d
+LEFT JOIN (SELECT transaction_date, count(*) AS transaction_count FROM fct_transactions GROUP BY 1) f
   ON d.date_key = f.transaction_date""")
 def _m32(m: Model) -> DataFrame:
-    """The calendar dimension's attributes for every date the fact table
-    has transactions on (the dimension itself has no input)."""
+    """Every day of the calendar dimension with the number of the fact table's transactions on it."""
     per_day = m.fct_transactions.groupBy("transaction_date").agg(
         F.count(F.lit(1)).alias("transaction_count"))
-    return m.dim_date.join(per_day, m.dim_date.date_key == per_day.transaction_date, "inner").drop(
-        "transaction_date")
+    return m.dim_date.join(per_day, m.dim_date.date_key == per_day.transaction_date, "left").drop(
+        "transaction_date").withColumn("transaction_count", F.coalesce("transaction_count", F.lit(0)))
 register(
     "m33_cross_source_reconciliation",
     "SELECT * FROM reconciliation_all WHERE reconciliation_status <> 'match'",

@@ -73,11 +73,11 @@ def test_email_match_fans_out_and_normalises(spark):
     assert lone.primary_source == "stripe" and not lone.is_multi_source_match
 
 
-def test_blank_emails_do_not_match_unless_asked(spark):
+def test_blank_emails_match_like_others_unless_asked(spark):
     stripe = [s_row("cus_a", email="  "), s_row("cus_b", email="")]
     qb = [q_row("QB-a", email=" "), q_row("QB-b", email="")]
-    assert len(build(spark, stripe, qb, [])) == 2
-    assert len(build(spark, stripe, qb, [], match_blank_emails=True)) == 2 + 4  # every blank pairs with every blank
+    assert len(build(spark, stripe, qb, [], match_blank_emails=False)) == 2
+    assert len(build(spark, stripe, qb, [])) == 2 + 4  # every blank pairs with every blank
 
 
 def test_one_word_name_and_sentinel_timestamps(spark):

@@ -4,7 +4,8 @@ import os
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry, oracle_sql
+from query_registry import REGISTRY
 from tests.oracle_compare import compare, duck_con
 
 SF = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
@@ -16,11 +17,11 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    missing = sorted(set(queries()) - set(oracle_sql()))
+    missing = sorted(set(REGISTRY) - set(oracle_sql()))
     assert missing == []
 
 
-@pytest.mark.parametrize("key", sorted(queries()))
+@pytest.mark.parametrize("key", sorted(REGISTRY))
 def test_query_matches_oracle(spark, con, key):
     r = compare(spark, con, key, SF)
     assert r.get("cols_match"), r

@@ -148,20 +148,17 @@ def test_null_and_unmatchable_keys_do_not_pile_on_one_reducer(spark):
             spark.conf.set(k, v)
 
 
-def test_broadcast_only_under_the_measured_bound(spark):
-    from ledgerlake.operators.joins import broadcast_if_small
-
-    big = spark.range(50000).select(F.col("id").cast("string").alias("k"))
-    small = spark.range(100).select(F.col("id").cast("string").alias("k"), F.lit(1).alias("v"))
-    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # no planner-chosen broadcast
-
-    def plan(right):
-        return big.join(right, "k", "left")._jdf.queryExecution().executedPlan().toString()
-
-    try:
-        assert "BroadcastHashJoin" in plan(broadcast_if_small(small, max_bytes=1 << 20))   # 100 rows: fits
-        assert "SortMergeJoin" in plan(broadcast_if_small(small, max_bytes=1000))          # bound exceeded
-        assert "SortMergeJoin" in plan(broadcast_if_small(small))  # threshold -1 disables broadcasting
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+def test_full_rebuild_drops_partitions_that_emptied_and_splits_a_large_month(spark, tmp):
+    from ledgerlake import sinks
+
+    path = tmp + "/t"
+    rows = spark.range(40000).select("id", F.when(F.col("id") < 5, F.lit("2024-01-03")).otherwise(F.lit("2024-02-01")).cast("date").alias("d"))
+    sinks.write_table(rows, path, ("d", "month"), ["id"])
+    assert spark.read.parquet(path).count() == 40000
+    assert len(spark.read.parquet(path).filter("d_month = '2024-02'").inputFiles()) > 1
+    sinks.write_table(rows.filter("id >= 5"), path, ("d", "month"), ["id"])
+    assert spark.read.parquet(path).filter("d_month = '2024-01'").count() == 0
+    sinks.write_table(rows.limit(0), path + "2")
+    sinks.upsert(rows.limit(3), path + "3", "id")
+    sinks.upsert(rows.filter("id in (2, 9)"), path + "3", "id")
+    assert spark.read.parquet(path + "3").filter("id = 9").count() == 1
