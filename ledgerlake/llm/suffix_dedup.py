@@ -41,9 +41,9 @@ from .common import cut, read, slices, text_of
 from .ngram_join import MULT, INVERSE, mixed, powers
 
 LENGTH, KMER, SYMBOL = 200, 64, 25
-SHARD, SLICE_ROWS, HOT = 1 << 20, 6_000, 2048
+SHARD, SLICE_ROWS, HOT = 1 << 19, 3_000, 2048
 BROADCAST_ROWS = 400_000
-BLOCK = 2 << 20
+BLOCK = 1 << 20
 _LOW = np.uint64((1 << 24) - 1)
 BYTE = np.random.default_rng(4).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -267,7 +267,7 @@ def _cut_text(batches):
             rows = []
             for d, data, spans in zip(part.column(0).to_pylist(), _bytes(part.column(1)), part.column(2).to_pylist()):
                 kept, removed, n, end = hashlib.sha256(), 0, 0, 0
-                for lo, hi in united(spans or []):
+                for lo, hi in zip((spans or [])[::2], (spans or [])[1::2]):
                     kept.update(data[end:lo])
                     removed, n, end = removed + hi - lo, n + 1, hi
                 kept.update(data[end:])
@@ -275,14 +275,21 @@ def _cut_text(batches):
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), [pa.int64()] * 4 + [pa.string()])], names=names)
 
 
-def united(spans: list[dict]) -> list[tuple[int, int]]:
-    out: list[list[int]] = []
-    for s in sorted((s["lo"], s["hi"]) for s in spans):
-        if out and s[0] <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], s[1])
+def united(lo: list[int], hi: list[int]) -> list[int]:
+    """The union of the ranges, flattened in order."""
+    out: list[int] = []
+    for a, b in sorted(zip(lo, hi)):
+        if out and a <= out[-1]:
+            out[-1] = max(out[-1], b)
         else:
-            out.append(list(s))
-    return [tuple(x) for x in out]
+            out += [a, b]
+    return out
+
+
+def _unite(batches):
+    for b in batches:
+        flat = [united(x, y) for x, y in zip(b.column(1).to_pylist(), b.column(2).to_pylist())]
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(flat, pa.list_(pa.int64()))], names=["uid", "spans"])
 
 
 def spans(docs: DataFrame) -> DataFrame:
@@ -318,7 +325,8 @@ def decide(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256, one row per row of ``docs``."""
     text = text_of(text_col)
     keyed = docs.select(F.xxhash64(F.col(id_col), text).alias("uid"), text.alias("text"), F.col(id_col).cast("long").alias("doc_id"))
-    ranges = cut(spans(keyed.select("uid", "text")).distinct().groupBy("uid").agg(F.collect_list(F.struct("lo", "hi")).alias("spans")))
+    met = spans(keyed.select("uid", "text")).groupBy("uid").agg(F.collect_list("lo").alias("lo"), F.collect_list("hi").alias("hi"))
+    ranges = cut(met.mapInArrow(_unite, "uid long, spans array<long>"))
     few = ranges.agg(F.coalesce(F.sum(F.size("spans")), F.lit(0))).first()[0] <= BROADCAST_ROWS
     ranges = ranges.withColumnRenamed("uid", "_uid")
     joined = keyed.join(F.broadcast(ranges) if few else ranges, F.col("uid") == F.col("_uid"), "left")
