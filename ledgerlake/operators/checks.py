@@ -170,16 +170,12 @@ def run_model_checks(spark: SparkSession, model: str, df: DataFrame, checks: lis
                 aggs.append(F.count(F.lit(1)).alias(f"c{i}"))
             else:
                 aggs.append(F.count_if(_violation(c)).alias(f"c{i}"))
-        a = df.agg(*aggs)
-        for i, c in enumerate(foldable):
-            if c.kind == "row_count":
-                n = F.col(f"c{i}")
-                fails = F.when(_outside(n, c.args.get("min"), c.args.get("max")), 1).otherwise(0).cast("long")
-            else:
-                fails = F.col(f"c{i}").cast("long")
-            rows.append(a.select(F.lit(model).alias("model"), F.lit(c.kind).alias("check"),
-                                 F.lit(c.column).cast("string").alias("column"), fails.alias("failures"),
-                                 F.lit(c.severity).alias("_sev")))
+        fails = [
+            F.when(_outside(F.col(f"c{i}"), c.args.get("min"), c.args.get("max")), 1).otherwise(0).alias(f"c{i}")
+            if c.kind == "row_count" else F.col(f"c{i}")
+            for i, c in enumerate(foldable)
+        ]
+        rows.append(_stacked(model, df.agg(*aggs).select(*fails), foldable, "c"))
     uniq = [c for c in checks if c.kind in ("unique", "unique_combination")]
     if len(uniq) >= 2:
         rows.append(_uniqueness_counts(model, df, uniq))
@@ -225,12 +221,16 @@ def _uniqueness_counts(model: str, df: DataFrame, uniq: list[Check]) -> DataFram
     exploded = df.select(F.explode(F.array(*pairs)).alias("p")).filter(F.col("p").isNotNull()).select("p.i", "p.v")
     dup = exploded.groupBy("i", "v").count().filter(F.col("count") > 1)
     counts = dup.agg(*[F.count_if(F.col("i") == i).alias(f"u{i}") for i in range(len(uniq))])
+    return _stacked(model, counts, uniq, "u")
+
+
+def _stacked(model: str, counts: DataFrame, checks: list[Check], prefix: str) -> DataFrame:
+    """The single row of ``counts`` as one result row per check; the scan below it stays one."""
     items = ", ".join(
-        f"'{c.kind}', {repr(c.column) if c.column else 'CAST(NULL AS STRING)'}, '{c.severity}', u{i}"
-        for i, c in enumerate(uniq))
-    out = counts.selectExpr(f"stack({len(uniq)}, {items}) as (check, column, _sev, failures)")
-    return out.select(F.lit(model).alias("model"), "check", "column",
-                      F.col("failures").cast("long").alias("failures"), "_sev")
+        f"'{c.kind}', {repr(c.column) if c.column else 'CAST(NULL AS STRING)'}, '{c.severity}', CAST({prefix}{i} AS BIGINT)"
+        for i, c in enumerate(checks))
+    out = counts.selectExpr(f"stack({len(checks)}, {items}) as (check, column, _sev, failures)")
+    return out.select(F.lit(model).alias("model"), "check", "column", "failures", "_sev")
 
 
 def tally(results: DataFrame) -> DataFrame:

@@ -27,6 +27,8 @@ AGING_BUCKETS = ["Paid", "Current", "1-30 Days", "31-60 Days", "61-90 Days", "90
 TIERS = ["Enterprise", "Mid-Market", "SMB", "Starter", "Prospect"]
 INVOICE_CURRENCIES = ["USD", "EUR", "GBP", "CAD", "AUD"]
 PAYMENT_STATUSES = ["paid", "open", "overdue"]
+CHARGE_STATUSES = ["succeeded", "pending", "failed"]
+BALANCE_TYPES = ["charge", "refund", "payout", "adjustment", "transfer", "stripe_fee", "application_fee", "payment"]
 QB_CLASSIFICATIONS = ["Asset", "Equity", "Expense", "Liability", "Revenue"]
 
 
@@ -99,7 +101,27 @@ def suite(p: RunParams = DEFAULT) -> dict[str, list[Check]]:
             _nn("customer_id"), _un("customer_id"),
             Check("regex", "email", {"regex": EMAIL_REGEX, "where": "email is not null"}),
         ],
-        "stg_ns_transactions": [_nn("transaction_id"), _un("transaction_id")],
+        "stg_ns_transactions": [
+            _nn("transaction_id"), _un("transaction_id"), _nn("transaction_type"), _nn("total_amount"),
+        ],
+        "stg_ns_accounts": [
+            _nn("account_id"), _un("account_id"),
+            Check("accepted_values", "classification", {"values": CLASSIFICATIONS}),
+        ],
+        "stg_stripe_charges": [
+            _nn("charge_id"), _un("charge_id"), _nn("charge_amount"), Check("between", "charge_amount", {"min": 0}),
+            Check("accepted_values", "charge_status", {"values": CHARGE_STATUSES}),
+        ],
+        "stg_stripe_customers": [_nn("stripe_customer_id"), _un("stripe_customer_id")],
+        "stg_stripe_balance_transactions": [
+            _nn("balance_transaction_id"), _un("balance_transaction_id"),
+            Check("accepted_values", "transaction_type", {"values": BALANCE_TYPES}),
+        ],
+        "stg_sf_opportunities": [
+            _nn("opportunity_id"), _un("opportunity_id"),
+            Check("between", "amount", {"min": 0, "where": "is_won = true"}), _nn("stage"),
+        ],
+        "stg_sf_accounts": [_nn("sf_account_id"), _un("sf_account_id")],
         "stg_plaid_transactions": [
             _nn("plaid_transaction_id"), _un("plaid_transaction_id"), _nn("amount"), _nn("transaction_date"),
         ],
@@ -107,6 +129,11 @@ def suite(p: RunParams = DEFAULT) -> dict[str, list[Check]]:
             _nn("plaid_account_id"), _nn("balance_date"),
             Check("unique_combination", None, {"columns": ["plaid_account_id", "balance_date"]}),
         ],
+        # the raw tables' keys; quickbooks.bills is declared too, but no job reads it and it has no input here
+        "raw_qb_accounts": [_nn("id"), _un("id")],
+        "raw_qb_invoices": [_nn("id"), _un("id")],
+        "raw_qb_payments": [_nn("id"), _un("id")],
+        "raw_stripe_charges": [_nn("id"), _un("id")],
     }
 
 
@@ -119,6 +146,12 @@ def model_frames(m) -> dict[str, DataFrame]:
         "stg_qb_payments": m.stg.qb_payments(), "stg_qb_accounts": m.stg.qb_accounts(),
         "stg_qb_customers": m.stg.qb_customers(), "stg_ns_transactions": m.stg.ns_transactions(),
         "stg_plaid_transactions": m.stg.plaid_transactions(), "stg_plaid_balances": m.stg.plaid_balances(),
+        "stg_ns_accounts": m.stg.ns_accounts(), "stg_stripe_charges": m.stg.stripe_charges(),
+        "stg_stripe_customers": m.stg.stripe_customers(),
+        "stg_stripe_balance_transactions": m.stg.stripe_balance_transactions(),
+        "stg_sf_opportunities": m.stg.sf_opportunities(), "stg_sf_accounts": m.stg.sf_accounts(),
+        "raw_qb_accounts": m.raw("quickbooks.accounts"), "raw_qb_invoices": m.raw("quickbooks.invoices"),
+        "raw_qb_payments": m.raw("quickbooks.payments"), "raw_stripe_charges": m.raw("stripe.charges"),
     }
 
 

@@ -152,3 +152,25 @@ def test_landed_json_through_the_registry_stages_like_the_derived_tables(spark,
     ga = intermediate.golden_customers(a.stripe_customers(), a.qb_customers(), a.sf_accounts())
     gb = intermediate.golden_customers(b.stripe_customers(), b.qb_customers(), b.sf_accounts())
     assert ga.exceptAll(gb).count() == 0 and gb.count() == ga.count()
+
+
+def test_suite_holds_every_declaration():
+    """Counts of the declarations by kind; the two on quickbooks.bills, which no job reads, are not in the suite."""
+    from collections import Counter
+
+    from ledgerlake.plans.checks_suite import suite
+
+    kinds = Counter(c.kind for checks in suite().values() for c in checks)
+    assert kinds == {"not_null": 51, "unique": 25, "accepted_values": 12, "between": 8, "regex": 2, "row_count": 2,
+                     "relationships": 1, "unique_combination": 1}
+
+
+def test_foldable_checks_share_one_scan(spark, tmp_path):
+    from ledgerlake.operators.checks import Check, run_model_checks
+
+    spark.createDataFrame([(1, "a"), (None, "b")], "id int, kind string").write.parquet(str(tmp_path / "t"))
+    checks = [Check("not_null", "id"), Check("accepted_values", "kind", {"values": ["a"]}), Check("between", "id", {"min": 0})]
+    found = run_model_checks(spark, "t", spark.read.parquet(str(tmp_path / "t")), checks)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1
+    assert [(r["check"], r["failures"]) for r in found.collect()] == [("not_null", 1), ("accepted_values", 1), ("between", 0)]
