@@ -26,11 +26,12 @@ only the base rules act; repeated rows each get their row.
 from __future__ import annotations
 
 import math
+import uuid
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import NOT_SPACE, SPACE, cut, read, text_of
+from .common import NOT_SPACE, SPACE, cut, read, shared_folder, text_of
 
 SYMBOLS = "#*$%&|<>"
 STRATA = ("en", "de", "fr", "es")
@@ -179,9 +180,13 @@ def with_verdict(feats: DataFrame, labels: DataFrame, alpha: float = ALPHA, delt
 
 def filter_docs(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
     """The rows of ``docs`` that are kept, with all their columns."""
+    # a filter on computed counts would compute them once per mention, so rows and counts are written side by side
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
-    chosen = verdict(cut(features(docs)), labels, alpha, delta)
-    return features(docs, carry=[row]).filter(chosen).select("_row.*")
+    counted = features(docs, carry=[row])
+    folder = f"{shared_folder(docs.sparkSession)}/quality-{uuid.uuid4().hex}"
+    counted.write.parquet(folder)
+    feats = docs.sparkSession.read.schema(counted.schema).parquet(folder)
+    return feats.filter(verdict(feats, labels, alpha, delta)).select("_row.*")
 
 
 def query(spark, sf_dir):
