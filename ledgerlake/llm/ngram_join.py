@@ -20,6 +20,10 @@ more. Every step keeps all links:
    A survivor's common keys are counted, and with what lies beyond a prefix
    they bound the overlap once more.
 5. The rest of the pairs is verified on full sets; components follow.
+6. For n_links, and for the links themselves, each component is dealt in cells
+   of two blocks of its classes. All pairs of a cell are verified on full sets
+   inside its task, each pair in one cell, so no link inside a component is
+   missed and only counts (or true links) leave the task.
 
 One tree over all classes would not prune: in this many dimensions the boxes
 of unrelated texts overlap. The trees therefore stand under the keys.
@@ -49,6 +53,8 @@ WORDS = 5
 GROUPS = 64
 COMMON_MAX, COMMON_LOCAL, COMMON_LEAST = 100_000, 10_000, 4
 CELL = 1024
+#: a block of a component holds about this many classes and shingles; columns of one product
+BLOCK_CLASSES, BLOCK_SHINGLES, COLUMNS = 512, 1 << 20, 4096
 LEAF = 32
 BROADCAST_ROWS = 1_000_000
 BLOCK = 4 << 20
@@ -184,6 +190,12 @@ def common_shingles(docs: DataFrame, **cols) -> np.ndarray:
     return np.sort(np.array([r["key"] for r in top.collect()], np.int64).view(np.uint64))
 
 
+def full_sets(docs: DataFrame, need: DataFrame, small: bool, **cols) -> DataFrame:
+    """(cls, shingles) of the classes of ``need`` (cls, sid), one row each."""
+    full = over_texts(docs, lambda ids, sets: ((_set_id(s), s.tobytes()) for s in sets if len(s)), "sid binary, shingles binary", **cols)
+    return full.join(F.broadcast(need) if small else need, "sid").groupBy("cls").agg(F.first("shingles").alias("shingles"))
+
+
 def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, **cols) -> DataFrame:
     """The pairs (a, b) of classes whose full sets reach the threshold."""
     pairs = cut(pairs)
@@ -191,8 +203,7 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, **cols) -> D
     ends = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
     need = ends.join(classes.select("cls", "sid"), "cls")
     small = n <= BROADCAST_ROWS
-    full = over_texts(docs, lambda ids, sets: ((_set_id(s), s.tobytes()) for s in sets if len(s)), "sid binary, shingles binary", **cols)
-    sets = full.join(F.broadcast(need) if small else need, "sid").groupBy("cls").agg(F.first("shingles").alias("shingles"))
+    sets = full_sets(docs, need, small, **cols)
     left = pairs.join(sets.select(F.col("cls").alias("a"), F.col("shingles").alias("sa")), "a")
     both = left.join(sets.select(F.col("cls").alias("b"), F.col("shingles").alias("sb")), "b").select("a", "b", "sa", "sb")
 
@@ -321,8 +332,118 @@ def searched(members: DataFrame, labels: DataFrame, vectors: DataFrame) -> DataF
             .filter(7 * (F.col("c") + beyond) >= 3 * (F.col("na") + F.col("nb"))).select("a", "b"))
 
 
-def decide(docs: DataFrame, **cols) -> DataFrame:
-    """doc_id, n_shingles, component_id and n_links of the class's verified links; one row per row of ``docs``."""
+def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each set of ``left`` shares with each of ``right``."""
+    # shingles of one side only cannot be shared
+    both = np.intersect1d(np.concatenate(left), np.concatenate(right))
+    out = np.zeros((len(left), len(right)), np.float64)
+
+    def places(sets):
+        at = [np.searchsorted(both, s) for s in sets]
+        hit = [p[(p < len(both)) & (both[np.minimum(p, len(both) - 1)] == s)] for p, s in zip(at, sets)]
+        col = np.concatenate(hit)
+        row = np.repeat(np.arange(len(sets)), [len(h) for h in hit])
+        order = np.argsort(col, kind="stable")
+        return row[order], col[order]
+
+    if len(both):
+        (ri, ci), (rj, cj) = places(left), places(right)
+        for lo in range(0, len(both), COLUMNS):
+            width = min(COLUMNS, len(both) - lo)
+            x, y = np.zeros((len(left), width), np.float32), np.zeros((len(right), width), np.float32)
+            for m, r, c in ((x, ri, ci), (y, rj, cj)):
+                a, b = np.searchsorted(c, [lo, lo + width])
+                m[r[a:b], c[a:b] - lo] = 1
+            out += x @ y.T  # counts up to COLUMNS are exact in single precision
+    return out
+
+
+def _cell_links(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+    """The linked pairs of classes of one cell, each named in the one cell that counts it."""
+    blocks, cell = rows[0][4], rows[0][1]
+    i, j = divmod(cell, blocks)
+    none = np.empty(0, np.int64)
+    left, right = [r for r in rows if r[3] == i], [r for r in rows if r[3] == j]
+    if not left or not right:
+        return none, none
+    a, b = (np.array([r[2] for r in side], np.int64) for side in (left, right))
+    x, y = ([np.frombuffer(r[5], np.uint64) for r in side] for side in (left, right))
+    na, nb = (np.array([len(s) for s in side], np.int64) for side in (x, y))
+    ok = 7 * overlaps(x, y) >= 3 * (na[:, None] + nb[None])
+    if i == j:
+        ok &= a[:, None] < b[None]
+    p, q = np.nonzero(ok)
+    return np.minimum(a[p], b[q]), np.maximum(a[p], b[q])
+
+
+def inside(found: DataFrame, docs: DataFrame, classes: DataFrame, pairs: bool = False, **cols) -> DataFrame:
+    """All links of the components ``found`` (cls, comp): n_links of each linked
+    class or, with ``pairs``, the links (a, b)."""
+    sizes = found.join(classes.select("cls", "n"), "cls").groupBy("comp").agg(F.count("*").alias("m"), F.sum("n").alias("total")).filter("m > 1")
+    blocks = F.greatest(F.ceil(F.col("m") / BLOCK_CLASSES), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("long")
+    need = cut(found.join(sizes.select("comp", blocks.alias("blocks")), "comp").join(classes.select("cls", "sid"), "cls"))
+    small = need.count() <= BROADCAST_ROWS
+    own = F.pmod(F.xxhash64("cls"), F.col("blocks"))
+    sets = full_sets(docs, need.select("cls", "sid"), small, **cols)
+    # a pair of two blocks meets in their one cell, a pair of one block is counted in the block's own cell
+    cells = F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda j: F.least(F.col("own"), j) * F.col("blocks") + F.greatest(F.col("own"), j))
+    rows = (sets.join(need.select("cls", "comp", "blocks", own.alias("own")), "cls")
+            .select("comp", F.explode(cells).alias("cell"), "cls", "own", "blocks", "shingles")
+            .repartition("comp", "cell").sortWithinPartitions("comp", "cell"))
+
+    def run(batches):
+        held: list[tuple] = []
+        counts: dict[int, int] = {}
+
+        def closed():
+            a, b = _cell_links(held) if len(held) > 1 else (np.empty(0, np.int64),) * 2
+            held.clear()
+            if pairs:
+                return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+            c, n = np.unique(np.concatenate([a, b]), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(c), pa.array(n.astype(np.int64))], names=["cls", "n"])
+
+        for batch in batches:
+            for part in slices(batch, 5):
+                for r in zip(*[c.to_pylist() for c in part.columns]):
+                    if held and held[0][:2] != r[:2]:
+                        yield closed()
+                    held.append(r)
+        if held:
+            yield closed()
+
+    if pairs:
+        return rows.mapInArrow(run, "a long, b long")
+    return rows.mapInArrow(run, "cls long, n long").groupBy("cls").agg(F.sum("n").alias("n_links"))
+
+
+def decide(docs: DataFrame, links: bool = True, **cols) -> DataFrame:
+    """doc_id, n_shingles, component_id and n_links, the classes that the row's class is linked to; one row
+    per row of ``docs``. Without ``links`` only components are sought, and there is no n_links."""
+    base, classes, found = joined(docs, **cols)
+    named = classes.join(found, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+    if links:
+        named = named.join(inside(found, docs, classes, **cols), "cls", "left")
+    named = cut(named)
+    least = named.groupBy("comp").agg(F.min("rep").alias("component_id"))
+    count = [F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")] if links else []
+    per_class = named.join(least, "comp").select(F.col("sid").alias("_sid"), "component_id", *count)
+    # an empty set is in no class
+    return (base.join(per_class, F.col("sid") == F.col("_sid"), "left")
+            .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"),
+                    *count, F.col("sid").alias("_sid")))
+
+
+def all_links(docs: DataFrame, **cols) -> DataFrame:
+    """(a, b): every link between different texts, each text under the smallest identifier of its rows."""
+    _, classes, found = joined(docs, **cols)
+    name = classes.select("cls", "rep")
+    pairs = inside(found, docs, classes, pairs=True, **cols)
+    return (pairs.join(name.toDF("a", "_a"), "a").join(name.toDF("b", "_b"), "b").select(F.col("_a").alias("a"), F.col("_b").alias("b")))
+
+
+def joined(docs: DataFrame, **cols) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(rows, classes, components): rows have doc_id, n and sid, classes sid, rep, n and cls, components cls and comp."""
     base = cut(over_texts(docs, lambda ids, sets: ((d, len(s), _set_id(s)) for d, s in zip(ids, sets)),
                           "doc_id long, n long, sid binary", **cols))
     classes = cut(base.filter("n > 0").groupBy("sid").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"))
@@ -364,16 +485,7 @@ def decide(docs: DataFrame, **cols) -> DataFrame:
     vectors = cut(over_texts(docs, vector, "sid binary, vec binary", **cols).join(F.broadcast(need) if few else need, "sid")
                   .groupBy("cls").agg(F.first("n").alias("n"), F.first("vec").alias("vec")))
     more = verified(searched(members.select("key", "cls"), mixed_sets, vectors), docs, classes, **cols)
-    links = links.union(more).distinct()
-    found = components(nodes, links)
-    degree = links.union(links.select("b", "a")).groupBy(F.col("a").alias("cls")).agg(F.count("*").alias("n_links"))
-    named = cut(classes.join(found, "cls", "left").join(degree, "cls", "left").withColumn("comp", F.coalesce("comp", "cls")))
-    least = named.groupBy("comp").agg(F.min("rep").alias("component_id"))
-    per_class = named.join(least, "comp").select("sid", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    # an empty set is in no class
-    return (base.join(per_class.withColumnRenamed("sid", "_sid"), F.col("sid") == F.col("_sid"), "left")
-            .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"),
-                    F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.col("sid").alias("_sid")))
+    return base, classes, cut(components(nodes, links.union(more).distinct()))
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -381,7 +493,7 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     it, and every row without words. Rows that repeat the naming row's id and
     set are kept once."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
-    verdict = decide(docs, id_col=id_col, text_col=text_col)
+    verdict = decide(docs, links=False, id_col=id_col, text_col=text_col)
     lost = verdict.filter("n_shingles > 0 and doc_id <> component_id").select("doc_id").distinct()
     # only ids of rows that go are looked up; documents of other ids pass through
     marked = docs.select(row, F.col(id_col).cast("long").alias("_k")).join(lost, F.col("_k") == lost["doc_id"], "left_anti")

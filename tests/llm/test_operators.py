@@ -187,6 +187,38 @@ def test_ngram_join_equals_brute_force(spark, odd):
     assert ngram_join.decide(odd.limit(0)).count() == 0
 
 
+def brute_links(rows):
+    """Linked pairs of different sets, and the number of links of each row's set."""
+    sets = {}
+    for d, x in rows:
+        w = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), x))
+        s = frozenset(tuple(w[i:i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
+        sets.setdefault(s, []).append(d)
+    own = [s for s in sets if s]
+    linked = [(a, b) for i, a in enumerate(own) for b in own[:i] if 100 * len(a & b) >= 75 * len(a | b)]
+    degree = Counter(s for pair in linked for s in pair)
+    return linked, sets, Counter((d, degree[s]) for s, ids in sets.items() for d in ids)
+
+
+@pytest.mark.parametrize("block, shingles", [(512, 1 << 20), (5, 1 << 20), (512, 2000)])
+def test_ngram_join_counts_all_links(spark, odd, monkeypatch, block, shingles):
+    monkeypatch.setattr(ngram_join, "BLOCK_CLASSES", block)
+    monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", shingles)
+    words = [f"u{i}" for i in range(120)]
+    # all linked to each other, then a chain whose ends are not
+    near = [(100 + i, " ".join(words[:i] + [f"new{i}"] + words[i + 1:])) for i in range(0, 30)]
+    chain = [(200 + i, " ".join(f"c{j}" for j in range(6 * i, 6 * i + 100))) for i in range(8)]
+    docs = odd.select("doc_id", "text").union(spark.createDataFrame([*near, *near[:3], *chain], "doc_id long, text string"))
+    linked, sets, want = brute_links(texts(docs))
+    assert len(linked) > 30 * 29 // 2
+    got = ngram_join.decide(docs).collect()
+    assert Counter((r.doc_id, r.n_links) for r in got) == want
+    if block == 5:
+        low = {s: min((d for d in ids if d is not None), default=None) for s, ids in sets.items()}
+        pairs = Counter(frozenset((r.a, r.b)) for r in ngram_join.all_links(docs).collect())
+        assert pairs == Counter(frozenset((low[a], low[b])) for a, b in linked)
+
+
 def test_tree_bounds_lose_no_pair():
     rng = np.random.default_rng(5)
     base = rng.integers(0, 6, (30, ngram_join.GROUPS))
