@@ -2,9 +2,10 @@
 
 List events (pattern, at, listed or not) become validity intervals; a
 capture asks for its own time, and an as-of join returns the entries that
-were active then. Patterns are a host, a parent domain of it, or a host with
-one or two leading path segments, in lower case. A capture looks up all its
-patterns by equality, and the interval decides; a pattern's intervals do not
+were active then. Patterns are a host or a parent domain of it of two labels
+or more, alone or with any number of leading path segments, in lower case. A
+capture looks up all its patterns by equality, as deep as the longest entry
+of the list goes, and the interval decides; a pattern's intervals do not
 meet, so a capture and a pattern give one row at most. Spark splits the
 partition of a pattern that very many captures share; the events of one
 pattern are at most one per list release.
@@ -23,7 +24,8 @@ from pyspark.sql import functions as F
 
 from .common import cut, read
 
-MAX_LABELS = 8
+#: the list made from the pages (events_of) names these patterns; lookups have no such bound
+LISTED_STARTS, LISTED_SEGMENTS = 8, 2
 _URL = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)(?::[0-9]*)?(/[^?#]*)?"
 
 
@@ -31,20 +33,30 @@ def host_of(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), _URL, 1))
 
 
-def patterns_of(url: Column) -> Column:
-    """All patterns that can list ``url``: host, parent domains of two labels or more, host with leading segments."""
+def segments_of(url: Column) -> Column:
+    return F.filter(F.split(F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), _URL, 2)), "/"), lambda s: s != "")
+
+
+def patterns_of(url: Column, most_labels: int, most_segments: int) -> Column:
+    """All patterns of up to ``most_labels`` labels and ``most_segments`` path
+    segments that can list ``url``: host and parent domains of two labels or
+    more, each alone and with leading segments."""
     host = host_of(url)
     labels = F.split(host, r"\.")
     n = F.size(labels)
-    parents = F.transform(F.sequence(F.lit(0), F.least(F.greatest(n - 2, F.lit(0)), F.lit(MAX_LABELS))),
+    domains = F.transform(F.sequence(F.greatest(n - F.lit(max(2, most_labels)), F.lit(0)), F.greatest(n - 2, F.lit(0))),
                           lambda i: F.array_join(F.slice(labels, i + 1, n - i), "."))
-    path = F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), _URL, 2))
-    segments = F.filter(F.split(path, "/"), lambda s: s != "")
-    paths = F.transform(F.sequence(F.lit(1), F.least(F.size(segments), F.lit(2))),
-                        lambda i: F.concat_ws("/", host, F.slice(segments, 1, i)))
-    none = F.array().cast("array<string>")
-    return F.when(host == "", none).otherwise(
-        F.array_distinct(F.concat(parents, F.when(F.size(segments) > 0, paths).otherwise(none))))
+    segments = segments_of(url)
+    paths = F.transform(F.sequence(F.lit(0), F.least(F.size(segments), F.lit(most_segments))), lambda i: F.slice(segments, 1, i))
+    both = F.flatten(F.transform(domains, lambda d: F.transform(paths, lambda p: F.array_join(F.concat(F.array(d), p), "/"))))
+    return F.when(host == "", F.array().cast("array<string>")).otherwise(F.array_distinct(both))
+
+
+def longest(listed: DataFrame) -> tuple[int, int]:
+    """Most labels and most path segments of a listed pattern."""
+    parts = F.split("pattern", "/")
+    top = listed.agg(F.max(F.size(F.split(parts[0], r"\."))), F.max(F.size(parts) - 1)).first()
+    return top[0] or 0, top[1] or 0
 
 
 def intervals(events: DataFrame) -> DataFrame:
@@ -60,8 +72,8 @@ def filter_urls(captures: DataFrame, events: DataFrame, id_col: str = "page_id",
     """page_id, url, fetched_at, blocked, n_entries, pattern (the longest active entry, ties by name) and listed_since."""
     rows = cut(captures.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(time_col).alias("fetched_at"),
                                F.monotonically_increasing_id().alias("uid")))
-    asked = rows.select("uid", "fetched_at", F.explode(patterns_of(F.col("url"))).alias("asked"))
-    listed = intervals(events)
+    listed = cut(intervals(events))
+    asked = rows.select("uid", "fetched_at", F.explode(patterns_of(F.col("url"), *longest(listed))).alias("asked"))
     active = asked.join(listed, (F.col("asked") == F.col("pattern")) & (F.col("fetched_at") >= F.col("valid_from"))
                         & (F.col("valid_to").isNull() | (F.col("fetched_at") < F.col("valid_to"))))
     best = F.max(F.struct(F.length("pattern").alias("n"), "pattern", "valid_from")).alias("best")
@@ -81,10 +93,25 @@ def captures_of(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", "url", at.cast("timestamp").alias("fetched_at"))
 
 
+def listed_patterns(url: Column) -> Column:
+    """What the made list draws from: host, its first parent domains, host with leading segments."""
+    host = host_of(url)
+    labels = F.split(host, r"\.")
+    n = F.size(labels)
+    parents = F.transform(F.sequence(F.lit(0), F.least(F.greatest(n - 2, F.lit(0)), F.lit(LISTED_STARTS))),
+                          lambda i: F.array_join(F.slice(labels, i + 1, n - i), "."))
+    segments = segments_of(url)
+    paths = F.transform(F.sequence(F.lit(1), F.least(F.size(segments), F.lit(LISTED_SEGMENTS))),
+                        lambda i: F.concat_ws("/", host, F.slice(segments, 1, i)))
+    none = F.array().cast("array<string>")
+    return F.when(host == "", none).otherwise(
+        F.array_distinct(F.concat(parents, F.when(F.size(segments) > 0, paths).otherwise(none))))
+
+
 def events_of(pages: DataFrame) -> DataFrame:
     """A dated list over the patterns of the pages: a third of them is listed
     at some time, half of these is taken off after 4 days, a fifth listed again after 9."""
-    p = pages.select(F.explode(patterns_of(F.col("url"))).alias("pattern")).distinct().withColumn("h", _number("l", F.col("pattern"))).filter("h % 3 = 0")
+    p = pages.select(F.explode(listed_patterns(F.col("url"))).alias("pattern")).distinct().withColumn("h", _number("l", F.col("pattern"))).filter("h % 3 = 0")
     first = F.lit(1704067200) + F.col("h") % 1728000
     steps = F.array(*[F.struct((first + 86400 * d).alias("s"), F.lit(on).alias("listed"), (F.col("h") % m == 0).alias("use"))
                       for d, on, m in ((0, True, 1), (4, False, 2), (9, True, 5))])

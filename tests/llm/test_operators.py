@@ -250,6 +250,18 @@ def test_url_filter_edges(spark):
     assert url_filter.filter_urls(pages.limit(0), events).count() == 0 if "fetched_at" in pages.columns else True
 
 
+def test_url_filter_asks_deep_hosts_and_long_paths(spark):
+    urls = ["http://a.b.c.d.e.f.g.h.i.example.com/x", "http://" + ".".join(f"l{i}" for i in range(100)) + ".spam.org/",
+            "http://www.p.net/a/b/c/d?q", "http://x.example.net/a", "http://other.com/a/b"]
+    pages = spark.createDataFrame([(i, u, 10) for i, u in enumerate(urls)], "page_id long, url string, t long")
+    events = spark.createDataFrame([(p, 1, True) for p in ("example.com", "spam.org", "www.p.net/a/b/c", "p.net/a/b/c/d", "example.net/a", "other.com/a/b/c")],
+                                   "pattern string, at long, listed boolean")
+    got = {r.page_id: (r.n_entries, r.pattern) for r in url_filter.filter_urls(pages, events, time_col="t").collect()}
+    assert got == {0: (1, "example.com"), 1: (1, "spam.org"), 2: (2, "www.p.net/a/b/c"), 3: (1, "example.net/a"), 4: (0, None)}
+    none = url_filter.filter_urls(pages, events.limit(0), time_col="t").collect()
+    assert len(none) == 5 and not any(r.blocked for r in none)
+
+
 def test_language_id_held_out(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     pages = docs.filter("doc_id % 2 = 1 and length(text) > 200").select(F.col("doc_id").alias("page_id"), F.lit(None).cast("string").alias("url"),
