@@ -7,6 +7,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -241,6 +242,26 @@ def test_pii_disguises_map_back(spark, odd):
     assert pii.scan(odd.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("text, want", [
+    ("mail jоhn.smith@example.com now", ["jоhn.smith@example.com"]),
+    ("card ４111 1111 1111 1111 ok", ["４111 1111 1111 1111"]),
+    ("call +49 30 one two three 4567 89 now", ["+49 30 one two three 4567 89"]),
+    ("ruf +49, eins zwei drei, 30 4567 89", ["+49, eins zwei drei, 30 4567 89"]),
+    ("bob [arroba] ejemplo [punto] com", ["bob [arroba] ejemplo [punto] com"]),
+    ("bob arroba ejemplo punto com punto mx", ["bob arroba ejemplo punto com punto mx"]),
+    ("bob arobase exemple.fr", ["bob arobase exemple.fr"]),
+    ("bob [ät] beispiel punkt de", ["bob [ät] beispiel punkt de"]),
+    ("two ４111 1111 1111 1111", ["４111 1111 1111 1111"]),
+    ("bob@ex.fr point de vente", []), ("in 2019 one man had 3 cats", []),
+])
+def test_pii_adds_what_no_base_span_holds(text, want):
+    base = pii.find(text)
+    assert [text[a:b] for a, _, b in pii.added(text, base)] == want
+    batch = pa.record_batch({"doc_id": [1], "text": [text]})
+    row = next(pii._scan([batch])).to_pylist()[0]
+    assert row["n_added"] == len(want) and row["spans"] == pii.joined(base + pii.added(text, base))
+
+
 def test_url_filter_edges(spark):
     pages = spark.createDataFrame([(1, "http://a.x.com/p/q?z", 10), (2, None, 10), (3, "not a url", 10), (4, "https://X.com:80/", 5), (4, "https://X.com:80/", None)],
                                   "page_id long, url string, t long").withColumn("n", F.lit(1))
