@@ -299,6 +299,25 @@ def test_license_scan_finds_families(spark, odd):
     assert got[50] == "mit" and got[51] == "apache" and got[1] is None and got[7] is None
 
 
+def test_license_scan_finds_whole_texts_and_embedded_notices(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").filter("doc_id >= 60")
+    prose = " ".join(x for _, x in texts(docs.filter("doc_id < 70")) if x).replace("\n", " ").split()
+    prose = " ".join(w for w in prose if not re.search("licen|copyright|rights", w.lower()))
+    mit, bsd, apache = (license_scan.TEXTS[f][0] for f in ("mit", "bsd", "apache"))
+    first = " ".join(mit[mit.index("Permission is"):mit.index("The above copyright")].split())
+    flat = " ".join(mit[mit.index("THE SOFTWARE IS"):].split())
+    clause = " ".join(bsd[bsd.index("2. Redistributions in binary"):bsd.index("3. Neither")].split())
+    patent = " ".join(apache[apache.index("3. Grant of Patent"):apache.index("4. Redistribution")].split())
+    rows = [(900001, first, "mit"), (900002, flat, "mit"), (900003, clause, "bsd"), (900004, patent, "apache"),
+            (900005, f"{prose[:2000]} Released under the MIT License. {prose[2000:4000]}", "mit"),
+            (900006, f"{prose[:3000]} {' '.join(mit.split())} {prose[3000:5000]}", "mit"),
+            (900007, f"{prose[:500]} Licensed under the Apache License, Version 2.0 {prose[500:900]}", "apache"),
+            (900008, prose[:6000], None)]
+    extra = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    got = {r.doc_id: r for r in license_scan.scan(docs.union(extra)).collect()}
+    assert {d: got[d].family for d, _, _ in rows} == {d: f for d, _, f in rows}
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
