@@ -292,6 +292,24 @@ def test_language_id_held_out(spark):
     assert language_id.identify(pages.limit(0), docs).count() == 0
 
 
+def test_language_id_knows_every_labelled_language(spark):
+    rng = np.random.default_rng(7)
+    words = {f"l{k:02}": ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(30)] for k in range(40)}
+
+    def text(lang):
+        return " ".join(rng.choice(words[lang], 40))
+
+    # the last languages have the fewest documents
+    rows = [(text(x), x) for k, x in enumerate(words) for _ in range(3 if k > 20 else 8)]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    pages = spark.createDataFrame([(k, f"http://h{k}.org/", f"<p>{text(x)}</p>") for k, x in enumerate(words)], "page_id long, url string, html string")
+    got = {r.page_id: r.lang for r in language_id.identify(pages, docs).collect()}
+    assert got == dict(enumerate(words))
+    copies = spark.range(500).select(F.lit(rows[0][0]).alias("text"), F.lit("l00").alias("lang"))
+    langs, table = language_id.fit(docs)
+    assert len(langs) == 40 and np.array_equal(table, language_id.fit(docs.union(copies))[1])
+
+
 def test_license_scan_finds_families(spark, odd):
     extra = spark.createDataFrame([(50, "Some words\nReleased under the MIT License."), (51, "Licensed under the Apache License, Version 2.0.")], "doc_id long, text string")
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").filter("doc_id >= 60").union(extra).union(odd.select("doc_id", "text"))
