@@ -1,10 +1,10 @@
-"""Exact dedup by a tree merge of sorted digest runs.
+"""Exact dedup by a tree merge of digest runs.
 
 Every partition turns its rows into a run: one entry per distinct digest
 with the smallest row of that text and the number of rows. Runs are then
 exchanged in rounds: in each round FANIN neighbouring lanes become one, and
-their runs are merged by digest, the smallest identifier and the sums being
-kept. The number of lanes falls by FANIN a round until one is left. A round
+their runs are merged by digest in a hash aggregation (nothing is sorted),
+the smallest identifier and the sums being kept. The number of lanes falls by FANIN a round until one is left. A round
 is dealt by (digest, lane), so no task holds a whole run, and a text that a
 third of all rows share has at most one entry per lane from the first round
 on. An entry's key is the SHA-256 and, as verification, the length and a
