@@ -37,7 +37,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [("quality_rules", quality_rules), ("exact_dedup", exact_copies), ("ngram_jaccard_join", near_copies),
           ("source_mixing", source_mix), ("best_fit_packing", pack)]
 
-#: tokenized packing is beyond SQL; tests hold the stages against plain Python
+#: tokenized packing is beyond SQL; the operators are tested one by one, the rows the pipeline's stages keep are not compared yet
 ORACLE_SQL = None
 
 
