@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, language_id, license_scan, mixing, ngram_join, packing, pii, quality, suffix_dedup, url_filter
+from . import (centroid_tables, exact_dedup, language_id, license_scan, mixing, ngram_join, packing, pii, quality,
+               suffix_dedup, token_files, url_filter, vector_codes)
 
 QUERIES = {
     "op1_source_mixing": mixing.query,
@@ -15,6 +16,9 @@ QUERIES = {
     "op8_url_filter": url_filter.query,
     "op9_license_scan": license_scan.query,
     "op10_pii": pii.query,
+    "op11_vector_codes": vector_codes.query,
+    "op12_token_files": token_files.query,
+    "op13_centroid_tables": centroid_tables.query,
 }
 
 ORACLE_SQL = {
@@ -22,4 +26,6 @@ ORACLE_SQL = {
     "op2_quality_rules": quality.ORACLE,
     "op7_exact_dedup": exact_dedup.ORACLE,
     "op8_url_filter": url_filter.ORACLE,
+    "op11_vector_codes": vector_codes.ORACLE,
+    "op13_centroid_tables": centroid_tables.ORACLE,
 }
