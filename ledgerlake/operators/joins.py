@@ -92,4 +92,4 @@ def anti_join_target(batch: DataFrame, target: DataFrame | None, keys: list[str]
     """Rows of ``batch`` whose key tuple is not yet in ``target``."""
     if target is None:
         return batch
-    return batch.join(target.select(*keys).distinct(), keys, "left_anti")
+    return batch.join(target.select(*keys), keys, "left_anti")

@@ -3,7 +3,7 @@
 One full outer join of the open versions with the current rows (one shuffle
 on the unique key); each joined pair emits up to two rows (the old version,
 possibly closed, and a new version) through ``explode`` -- no self-joins, no
-second pass. Closed history is carried over untouched.
+second pass. Closed history is not looked at.
 
 Version columns follow public dbt snapshot behaviour: dbt_scd_id =
 md5(key || '|' || updated_at), dbt_updated_at, dbt_valid_from, dbt_valid_to.
@@ -36,23 +36,26 @@ def first_snapshot(current: DataFrame, unique_key: str, updated_at: str) -> Data
     )
 
 
-def snapshot(
+def advance(
     current: DataFrame,
-    existing: DataFrame | None,
+    open_versions: DataFrame,
     unique_key: str,
     updated_at: str,
     run_ts,
     invalidate_hard_deletes: bool = True,
 ) -> DataFrame:
-    """Return the full snapshot table after this run."""
-    if existing is None:
-        return first_snapshot(current, unique_key, updated_at)
-    cols = current.columns
+    """What this run makes of the open versions: those that stay open, those
+    it closes (``dbt_valid_to`` set) and the new ones. Columns that only one side has are NULL on the other."""
+    cols = [c for c in open_versions.columns if c not in VERSION_COLS]
+    cols += [c for c in current.columns if c not in cols]
+    old = open_versions
+    for c in cols:
+        if c not in old.columns:
+            old = old.withColumn(c, F.lit(None).cast(current.schema[c].dataType))
+        if c not in current.columns:
+            current = current.withColumn(c, F.lit(None).cast(old.schema[c].dataType))
     all_cols = cols + VERSION_COLS
-    history = existing.filter(F.col("dbt_valid_to").isNotNull()).select(*all_cols)
-    open_v = existing.filter(F.col("dbt_valid_to").isNull())
-
-    o = open_v.select(F.col(unique_key).alias("_k"), F.struct(*[F.col(c) for c in all_cols]).alias("o"))
+    o = old.select(F.col(unique_key).alias("_k"), F.struct(*[F.col(c) for c in all_cols]).alias("o"))
     n = current.select(F.col(unique_key).alias("_k"), F.struct(*[F.col(c) for c in cols]).alias("n"))
     j = o.join(n, "_k", "full_outer")
 
@@ -75,4 +78,21 @@ def snapshot(
         ),
     )
     rows = j.select(F.explode(F.array(old_row, new_row)).alias("r")).filter(F.col("r").isNotNull()).select("r.*")
-    return history.unionByName(rows.select(*all_cols))
+    return rows.select(*all_cols)
+
+
+def snapshot(
+    current: DataFrame,
+    existing: DataFrame | None,
+    unique_key: str,
+    updated_at: str,
+    run_ts,
+    invalidate_hard_deletes: bool = True,
+) -> DataFrame:
+    """The full snapshot table after this run, as a frame; ``sinks.write_snapshot``
+    keeps the table itself without touching closed versions."""
+    if existing is None:
+        return first_snapshot(current, unique_key, updated_at)
+    history = existing.filter(F.col("dbt_valid_to").isNotNull())
+    rows = advance(current, existing.filter(F.col("dbt_valid_to").isNull()), unique_key, updated_at, run_ts, invalidate_hard_deletes)
+    return history.unionByName(rows, allowMissingColumns=True).select(*rows.columns)

@@ -1,35 +1,47 @@
 """Materializations S3-S5, S14-S22 over plain parquet directories.
 
-* ``write_table``   full rebuild (S3/S15), optional month/day partitions of a
-                    date/timestamp column (S19/S20) and clustering (S21)
-* ``append``        insert-only append; an empty batch leaves the target alone (S4/S5)
-* ``upsert``        replace rows by unique key, insert new ones (S16), first
-                    run = full build (S17), additive schema evolution (S18)
-* ``view``          temp view (S14)
-
-No lakehouse format is bundled, so ``upsert`` rewrites only the touched
-partitions with dynamic partition overwrite. The new content is first cut
-from its lineage with ``DataFrame.checkpoint()`` into the cluster's shared
-``spark.checkpoint.dir`` -- never a machine-local folder -- so the overwrite
-never reads the files it replaces, and a lost executor re-reads the
-checkpoint instead of recomputing the job.
+* ``write_table``     full rebuild (S3/S15), optional month/day partitions of a
+                      date/timestamp column (S19/S20) and clustering (S21)
+* ``append``          insert-only append; an empty batch leaves the target alone (S4/S5)
+* ``upsert``          replace rows by unique key, insert new ones (S16), first
+                      run = full build (S17), schema changes (S18, ``schemas``)
+* ``write_snapshot``  SCD2 history in an open and a closed zone (S22)
+* ``view``            temp view (S14)
+* ``watermark``       high watermarks noted while writing (A7, F10, F11)
+
+No lakehouse format is bundled. Rebuilds, merges and snapshots write their
+new files beside the table and then put them in place (``publish``); an
+interrupted publish is finished or undone by the next call. Batches are cut
+from their lineage with ``DataFrame.checkpoint()`` into the cluster's shared
+``spark.checkpoint.dir`` -- never a machine-local folder -- so a batch is
+computed once and a lost executor re-reads it.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import json
+import uuid
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
+from ledgerlake.operators.snapshot import VERSION_COLS, advance, first_snapshot
 from ledgerlake.session import checkpoint_dir
-
-
-def _spark(df: DataFrame) -> SparkSession:
-    return df.sparkSession
+from ledgerlake.sinks.bucketed import BucketedTable
+from ledgerlake.sinks.publish import (NULL_PARTITION, SCHEMA_FILE, Files, publish_folders, publish_whole, recover,
+                                      staged_path)
+from ledgerlake.sinks.schemas import conform, reconciled, stored_schema
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """S17 switch: is there a readable parquet table at ``path``?"""
+    """S17 switch: is there a readable parquet table at ``path``? An
+    interrupted publish is finished first, so it never looks like a first run."""
+    recover(spark, path)
+    if stored_schema(spark, path) is not None:
+        return True
     try:
         spark.read.parquet(path).schema  # noqa: B018 - resolves the file listing only
         return True
@@ -40,20 +52,26 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Read a target with additive schema evolution."""
-    return spark.read.option("mergeSchema", "true").parquet(path)
+    """The table under its stored schema (S18); a folder written without one merges its files' schemas."""
+    recover(spark, path)
+    schema = stored_schema(spark, path)
+    if schema is None:
+        return spark.read.option("mergeSchema", "true").parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
+def _partition_value(col: str, grain: str) -> Column:
+    if grain == "month":
+        return F.date_format(F.col(col), "yyyy-MM")
+    if grain == "day":
+        return F.to_date(F.col(col))
+    raise ValueError(grain)
 
 
 def partition_column(df: DataFrame, col: str, grain: str) -> tuple[DataFrame, str]:
     """Derive the partition value of a DATE/TIMESTAMP column: 'month' -> yyyy-MM, 'day' -> date."""
     name = f"{col}_{grain}"
-    if grain == "month":
-        expr: Column = F.date_format(F.col(col), "yyyy-MM")
-    elif grain == "day":
-        expr = F.to_date(F.col(col))
-    else:
-        raise ValueError(grain)
-    return df.withColumn(name, expr), name
+    return df.withColumn(name, _partition_value(col, grain)), name
 
 
 def view(df: DataFrame, name: str) -> DataFrame:
@@ -62,6 +80,27 @@ def view(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
+def _dealt(df: DataFrame, parts: list[str], cluster_by: list[str]) -> DataFrame:
+    """Rows of a partition value in few files, but many tasks: a range
+    exchange over (partition, cluster columns) splits a large month by its
+    cluster columns, a rebalance lets the runtime split it by size. The sort
+    gives tight parquet statistics."""
+    if parts and cluster_by:
+        df = df.repartitionByRange(*[F.col(c) for c in [*parts, *cluster_by]])
+    elif parts:
+        df = df.hint("rebalance", *parts)
+    if parts or cluster_by:
+        df = df.sortWithinPartitions(*parts, *cluster_by)
+    return df
+
+
+def _write(df: DataFrame, path: str, parts: list[str], cluster_by: list[str], mode: str) -> None:
+    w = _dealt(df, parts, cluster_by).write.mode(mode).option("partitionOverwriteMode", "static")
+    if parts:
+        w = w.partitionBy(*parts)
+    w.parquet(path)
+
+
 def write_table(
     df: DataFrame,
     path: str,
@@ -69,45 +108,38 @@ def write_table(
     cluster_by: list[str] | None = None,
     mode: str = "overwrite",
 ) -> None:
-    """S3/S15 (+S19/S20/S21). ``partition_by`` = (column, 'month'|'day')."""
-    out = df
-    parts: list[str] = []
+    """S3/S15 (+S19/S20/S21). ``partition_by`` = (column, 'month'|'day').
+
+    A rebuild is staged: until the new table is complete the old one stays,
+    and a failed rebuild leaves it. ``mode='append'`` adds files in place."""
+    out, parts = df, []
     if partition_by:
         out, pcol = partition_column(out, *partition_by)
         parts = [pcol]
-    if parts or cluster_by:
-        out = _dealt(out, parts, cluster_by or [])
-    w = out.write.mode(mode).option("partitionOverwriteMode", "static")
-    if parts:
-        w = w.partitionBy(*parts)
-    w.parquet(path)
-
-
-def _dealt(df: DataFrame, parts: list[str], cluster_by: list[str]) -> DataFrame:
-    """Rows of a partition value in few files, but many tasks: a range
-    exchange over (partition, cluster columns) splits a large month by its
-    cluster columns, a rebalance lets the runtime split it by size. The sort
-    gives tight parquet statistics."""
-    if parts and cluster_by:
-        df = df.repartitionByRange(*[F.col(c) for c in [*parts, *cluster_by]])
-    elif parts:
-        df = df.hint("rebalance", *parts)
-    return df.sortWithinPartitions(*parts, *cluster_by)
+    if mode == "append":
+        recover(df.sparkSession, path)
+        stored = stored_schema(df.sparkSession, path)
+        if stored is not None:
+            schema = reconciled(stored, out.schema)
+            out = conform(out, schema)
+            if schema != stored:
+                Files(df.sparkSession, path).write(f"{path}/{SCHEMA_FILE}", schema.json())
+        _write(out, path, parts, cluster_by or [], "append")
+        if stored is None:
+            Files(df.sparkSession, path).write(f"{path}/{SCHEMA_FILE}", _ordered(out.schema, parts).json())
+        return
+    spark = df.sparkSession
+    recover(spark, path)
+    staged = staged_path(path)
+    _write(out, staged, parts, cluster_by or [], "overwrite")
+    Files(spark, staged).write(f"{staged}/{SCHEMA_FILE}", _ordered(out.schema, parts).json())
+    publish_whole(spark, path)
 
 
-def _swap(spark: SparkSession, staged: str, path: str) -> None:
-    """Put the complete table at ``staged`` in the place of ``path``; until the
-    new one stands there, the old one stays beside it."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    new, here, old = (jvm.org.apache.hadoop.fs.Path(p) for p in (staged, path, path.rstrip("/") + "__old"))
-    fs = here.getFileSystem(conf)
-    fs.delete(old, True)
-    if fs.exists(here) and not fs.rename(here, old):
-        raise OSError(f"cannot set {path} aside")
-    if not fs.rename(new, here):
-        fs.rename(old, here)
-        raise OSError(f"cannot put {staged} in place")
-    fs.delete(old, True)
+def _ordered(schema: StructType, parts: list[str]) -> StructType:
+    """Nullable, partition columns last, as files are read back."""
+    fields = [f for f in schema if f.name not in parts] + [f for f in schema if f.name in parts]
+    return StructType([StructField(f.name, f.dataType, True) for f in fields])
 
 
 def append(df: DataFrame, path: str, partition_by: tuple[str, str] | None = None) -> bool:
@@ -125,6 +157,47 @@ def merge_frames(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFr
         batch, allowMissingColumns=True)
 
 
+# ---------------------------------------------------------------------------
+# key index: where may a key live?
+# ---------------------------------------------------------------------------
+class KeyIndex:
+    """The partition values a key has ever been written under, as a narrow
+    bucketed table (key columns, partition) beside the target.
+
+    Entries are only added, and before the publish that needs them: a publish
+    that is undone leaves entries too many, never too few. So the partitions
+    named here hold every row of a key, whatever was interrupted, and a merge
+    reads no key of any other partition of the target."""
+
+    def __init__(self, spark: SparkSession, path: str, keys: list[str], pcol: str):
+        self.keys, self.pcol = keys, pcol
+        self.table = BucketedTable(spark, path.rstrip("/") + "__keys", keys)
+
+    def add(self, rows: DataFrame) -> None:
+        pairs = rows.select(*self.keys, F.col(self.pcol).cast("string").alias("_partition")).distinct()
+        known = self.table.read()
+        if known is not None:
+            same = [pairs[k] == known[k] for k in self.keys] + [pairs["_partition"].eqNullSafe(known["_partition"])]
+            pairs = pairs.join(known, same, "left_anti")
+        self.table.append(pairs)
+
+    def partitions(self, keys: DataFrame) -> DataFrame:
+        """The distinct partition values (as strings) under which ``keys`` may live."""
+        return self.table.read().join(keys, self.keys, "left_semi").select("_partition").distinct()
+
+
+def _values(df: DataFrame) -> set:
+    """A column of partition values: one per month or day of the table, so few."""
+    return {None if r[0] is None else str(r[0]) for r in df.distinct().collect()}
+
+
+def _in(pcol: str, values: set) -> Column:
+    """Rows of the partitions ``values``: literals, so other folders are not read."""
+    known = sorted(v for v in values if v is not None)
+    out = F.col(pcol).isin(known) if known else F.lit(False)
+    return out | F.col(pcol).isNull() if None in values else out
+
+
 def upsert(
     batch: DataFrame,
     path: str,
@@ -132,61 +205,169 @@ def upsert(
     partition_by: tuple[str, str] | None = None,
     cluster_by: list[str] | None = None,
     keys_may_move: bool = True,
+    watermarks: list[tuple[str, str | None, list | None]] | None = None,
 ) -> str:
     """S16 merge on ``unique_key``; returns 'created', 'merged' or 'noop'.
 
-    Partitioned targets: the touched partitions are the batch's partitions
-    plus the partitions where a batch key currently lives (a key whose date
-    moved to another month must leave its old month). Only those are
-    rewritten (dynamic overwrite). Finding the old partitions reads the key
-    and partition columns of the whole target (column-pruned, semi-joined
-    with the batch keys, which AQE broadcasts when small); a table whose
-    partition value never changes for a key can pass ``keys_may_move=False``
-    and only the batch's partitions are read.
+    Partitioned targets: only the touched partitions are read and replaced,
+    those of the batch's rows and those where a batch key lives now. The
+    latter are looked up in the key index (``KeyIndex``) and checked in the
+    partitions it names. A partition the merge empties is dropped; NULL
+    dates are a partition like any other. A table whose partition value never
+    changes for a key can pass ``keys_may_move=False``: it keeps no index.
+
+    Columns and types may change by the rules of ``schemas``. Rows with a
+    NULL key never match and are added. ``watermarks``: (column, by column,
+    values of it) to note, see ``watermark``.
     """
-    spark = _spark(batch)
+    spark = batch.sparkSession
     keys = [unique_key] if isinstance(unique_key, str) else list(unique_key)
-    if not table_exists(spark, path):
-        write_table(batch, path, partition_by, cluster_by)
-        return "created"
-    if batch.isEmpty():
-        return "noop"
     if checkpoint_dir(spark) is None:
         raise RuntimeError("spark.checkpoint.dir is not set; upsert needs a shared checkpoint folder")
-    target = read_table(spark, path)
-    bkeys = batch.select(*keys).distinct()
+    first = not table_exists(spark, path)
+    batch, highs = _observed(batch, watermarks or [])
+    if batch.isEmpty() and not first:
+        return "noop"
+    pcol = None
     if partition_by:
-        col, grain = partition_by
-        pcol = f"{col}_{grain}"
-        batch_p, _ = partition_column(batch, col, grain)
-        touched = batch_p.select(pcol)
-        if keys_may_move:
-            touched = touched.union(target.join(bkeys, keys, "left_semi").select(pcol))
-        # one row per partition value (months): a bounded broadcast
-        touched = touched.distinct()
-        kept = target.join(F.broadcast(touched), pcol, "left_semi").join(bkeys, keys, "left_anti")
-        new = kept.unionByName(batch_p, allowMissingColumns=True).checkpoint(eager=True)
-        out = _dealt(new, [pcol], cluster_by or [])
-        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(pcol).parquet(path))
+        batch, pcol = partition_column(batch, *partition_by)
+    index = KeyIndex(spark, path, keys, pcol) if pcol and keys_may_move else None
+    if first:
+        if index is not None:
+            index.add(batch)
+        write_table(batch.drop(pcol) if pcol else batch, path, partition_by, cluster_by)
+        _note_watermarks(spark, path, highs)
+        return "created"
+    if index is not None and not index.table.exists():  # a table made without one
+        index.add(read_table(spark, path))
+    target = read_table(spark, path)
+    schema = reconciled(target.schema, batch.schema)
+    schema = _ordered(schema, [pcol] if pcol else [])
+    target, batch = conform(target, schema), conform(batch, schema)
+    batch_keys = batch.select(*keys).distinct()
+    staged = staged_path(path)
+    if pcol is None:
+        _write(target.join(batch_keys, keys, "left_anti").unionByName(batch), staged, [], cluster_by or [], "overwrite")
+        Files(spark, staged).write(f"{staged}/{SCHEMA_FILE}", schema.json())
+        publish_whole(spark, path)
     else:
-        kept = target.join(bkeys, keys, "left_anti")
-        new = kept.unionByName(batch, allowMissingColumns=True).checkpoint(eager=True)
-        staged = path.rstrip("/") + "__staged"
-        write_table(new, staged, None, cluster_by)
-        _swap(spark, staged, path)
+        touched = _values(batch.select(pcol))
+        if index is not None:
+            maybe = target.filter(_in(pcol, _values(index.partitions(batch_keys))))
+            touched |= _values(maybe.join(batch_keys, keys, "left_semi").select(pcol))
+            index.add(batch)
+        kept = target.filter(_in(pcol, touched)).join(batch_keys, keys, "left_anti")
+        _write(kept.unionByName(batch), staged, [pcol], cluster_by or [], "overwrite")
+        names = [f"{pcol}={NULL_PARTITION if v is None else v}" for v in sorted(touched, key=str)]
+        full = set(Files(spark, staged).folders(staged))
+        publish_folders(spark, path, [n for n in names if n in full], [n for n in names if n not in full], schema.json())
+    _note_watermarks(spark, path, highs)
     return "merged"
 
 
+# ---------------------------------------------------------------------------
+# watermarks noted while writing
+# ---------------------------------------------------------------------------
+def _observed(batch: DataFrame, wanted: list[tuple[str, str | None, list | None]]) -> tuple[DataFrame, list]:
+    """The batch from a checkpoint, and [[column, group, high value], ...]
+    that Spark counted while it was written there."""
+    metrics, named = [], []
+    for col, by, values in wanted:
+        for v in values if by else [None]:
+            own = F.when(F.col(by) == F.lit(v), F.col(col)) if by else F.col(col)
+            metrics.append(F.max(own).cast("string").alias(f"m{len(metrics)}"))
+            named.append((col, v))
+    if not metrics:
+        return batch.checkpoint(eager=True), []
+    seen = Observation()
+    batch = batch.observe(seen, *metrics).checkpoint(eager=True)
+    got = seen.get
+    return batch, [[c, v, got[f"m{i}"]] for i, (c, v) in enumerate(named) if got.get(f"m{i}") is not None]
+
+
+def _watermark_file(path: str) -> str:
+    return path.rstrip("/") + "__watermarks.json"
+
+
+def _note_watermarks(spark: SparkSession, path: str, highs: list) -> None:
+    """Raise the noted marks to ``highs``; they never fall."""
+    if not highs:
+        return
+    files = Files(spark, path)
+    noted = {(c, v): m for c, v, m in json.loads(files.read(_watermark_file(path)) or "[]")}
+    for c, v, m in highs:
+        noted[c, v] = max(m, noted.get((c, v), m))
+    files.write(_watermark_file(path), json.dumps([[c, v, m] for (c, v), m in sorted(noted.items(), key=str)]))
+
+
+def watermark(spark: SparkSession, path: str, col: str, by: bool = False):
+    """The highest ``col`` (a timestamp) ever merged into the
+    table, per group with ``by``: {group: timestamp}. It was noted while the
+    batches were written (``upsert(watermarks=...)``), so no row is read.
+    None or {} before the first note."""
+    noted = json.loads(Files(spark, path).read(_watermark_file(path)) or "[]")
+    marks = {v: dt.datetime.fromisoformat(m) for c, v, m in noted if c == col}
+    return {v: m for v, m in marks.items() if v is not None} if by else marks.get(None)
+
+
 def high_watermark(target: DataFrame | None, col: str, by: str | None = None):
-    """max(col) of the target (per ``by`` group).
+    """F10 / F11 / A7 from the rows themselves: max(col) of a frame (per ``by`` group).
 
     Returns a scalar, or {group: max} -- a bounded result (one row per source
-    system), the only values this library brings to the driver. ``None`` /
-    missing groups mean "load everything" (D3 fixed).
+    system). ``None`` / missing groups mean "load everything" (D3 fixed).
     """
     if target is None:
         return {} if by else None
     if by is None:
         return target.agg(F.max(col).alias("m")).first()["m"]
     return {r[by]: r["m"] for r in target.groupBy(by).agg(F.max(col).alias("m")).collect()}
+
+
+# ---------------------------------------------------------------------------
+# SCD2 history in two zones
+# ---------------------------------------------------------------------------
+ZONE, BATCH = "_zone", "_batch"
+
+
+def write_snapshot(current: DataFrame, path: str, unique_key: str, updated_at: str, run_ts,
+                   invalidate_hard_deletes: bool = True) -> str:
+    """Bring the snapshot table at ``path`` up to ``current``; 'created' or 'merged'.
+
+    The open versions are one folder (``_zone=open``), each run's newly closed
+    ones a folder of their own below ``_zone=closed``. A run reads the open
+    zone alone, writes both new folders beside the table and publishes them
+    together: closed history is neither read nor written again, and a failed run loses nothing.
+    """
+    spark = current.sparkSession
+    if table_exists(spark, path):
+        rows = advance(current, read_snapshot(spark, path, open_only=True), unique_key, updated_at, run_ts, invalidate_hard_deletes)
+        did = "merged"
+    else:
+        rows, did = first_snapshot(current, unique_key, updated_at), "created"
+    is_open = F.col("dbt_valid_to").isNull()
+    name = uuid.uuid4().hex
+    rows = rows.withColumns({ZONE: F.when(is_open, "open").otherwise("closed"), BATCH: F.lit(name)})
+    staged = staged_path(path)
+    _write(rows, staged, [ZONE, BATCH], [], "overwrite")
+    schema = _ordered(rows.schema, [ZONE, BATCH]).json()
+    files = Files(spark, staged)
+    if did == "created":
+        files.write(f"{staged}/{SCHEMA_FILE}", schema)
+        publish_whole(spark, path)
+        return did
+    zones = files.folders(staged)
+    publish_folders(spark, path, (["_zone=open"] if "_zone=open" in zones else []) + [f"_zone=closed/{BATCH}={name}"] * ("_zone=closed" in zones),
+                    [] if "_zone=open" in zones else ["_zone=open"], schema)
+    return did
+
+
+def read_snapshot(spark: SparkSession, path: str, open_only: bool = False) -> DataFrame:
+    """All versions, or the open ones (a partition filter)."""
+    df = read_table(spark, path)
+    if open_only:
+        df = df.filter(F.col(ZONE) == "open")
+    return df.drop(ZONE, BATCH)
+
+
+__all__ = ["BucketedTable", "KeyIndex", "VERSION_COLS", "append", "high_watermark", "merge_frames", "partition_column", "read_snapshot",
+           "read_table", "recover", "table_exists", "upsert", "view", "watermark", "write_snapshot", "write_table"]
