@@ -1,8 +1,9 @@
 """Insert-only hub / link / satellite loaders.
 
 Each loader takes the batch rows and, optionally, the current target table
-and returns only the rows to append (J8 / J9). Appending them with
-``sinks.append`` is idempotent: a re-run after a failure computes the same
+and returns only the rows to append (J8 / J9). A target kept as a
+``sinks.BucketedTable`` on the compared columns is read without a shuffle.
+Appending is idempotent: a re-run after a failure computes the same
 anti-join against what was already written.
 
 Keys are ``surrogate_key`` hashes. Per-batch de-duplication keeps the
@@ -88,7 +89,7 @@ def satellite(df: DataFrame, key_name: str, hub_key: Column, hub_key_name: str,
     if target is None:
         return out
     if compare == "any":
-        return out.join(target.select(hub_key_name, "hash_diff").distinct(), [hub_key_name, "hash_diff"], "left_anti")
+        return out.join(target.select(hub_key_name, "hash_diff"), [hub_key_name, "hash_diff"], "left_anti")
     if compare == "latest":
         # ties on load_date are broken by the hash itself, so a retried task picks the same row
         latest = target.groupBy(hub_key_name).agg(

@@ -9,11 +9,15 @@ Layouts follow the reference's model configuration:
 |                          | (S16, per-source watermarks F11)       | source_system, transaction_type (S19, S21)     |
 | chart_of_accounts        | table                                  | --                                             |
 | fct_transactions         | incremental upsert on transaction_key  | month of transaction_date, clustered by        |
-|                          | (rows with _unified_at > target max)   | transaction_category, source_system            |
+|                          | (rows with _unified_at > watermark)    | transaction_category, source_system            |
 | fct_revenue / cash_flow  | table                                  | month of revenue_date / cash_flow_date         |
 | other marts and DQ       | table                                  | --                                             |
-| hubs, links, satellites  | insert-only append (J8, J9)            | --                                             |
-| snap_dim_customers       | SCD2 rewrite (S22)                     | --                                             |
+| hubs, links, satellites  | insert-only append (J8, J9); what the  | bucketed and sorted on the hash key(s)         |
+|                          | spine feeds, by watermark              |                                                |
+| snap_dim_customers       | SCD2 (S22)                             | open zone replaced, closed zone only added to  |
+
+Watermarks are noted while a table is written, so no run reads a target for
+them. The anti-joins of the vault shuffle the batch alone.
 
 Staging models are temp views (S14). Every step reads the previous steps'
 *tables*, not their plans, so lineage stays short and a failed run resumes
@@ -26,19 +30,43 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake import sinks
-from ledgerlake.operators import snapshot as snap
 from ledgerlake.params import DEFAULT, RunParams
 from ledgerlake.plans import intermediate, marts, quality
 from ledgerlake.plans import vault_models as vm
 from ledgerlake.plans.staging import Staging
+from ledgerlake.sinks.bucketed import BUCKETS, BucketedTable
 from ledgerlake.sources import seeds
+from ledgerlake.sources.landing import SOURCES
 
 STAGED = ["qb_accounts", "qb_customers", "qb_invoices", "qb_payments", "stripe_charges", "stripe_customers",
           "stripe_balance_transactions", "ns_transactions", "ns_accounts", "plaid_transactions", "plaid_balances",
           "sf_accounts", "sf_opportunities"]
 
 
-def run_daily(spark: SparkSession, raw, warehouse: str, p: RunParams = DEFAULT) -> dict[str, str]:
+#: bucket columns of each insert-only table: the columns its anti-join compares
+VAULT_KEYS = {
+    "hub_customer": ["hub_customer_hk"], "hub_account": ["hub_account_hk"], "hub_transaction": ["hub_transaction_hk"],
+    "lnk_customer_account": ["lnk_customer_account_hk"], "lnk_transaction_account": ["lnk_transaction_account_hk"],
+    "sat_customer_details": ["hub_customer_hk", "hash_diff"], "sat_customer_stripe": ["hub_customer_hk", "hash_diff"],
+    "sat_account_balance": ["hub_account_hk", "hash_diff"], "sat_transaction_details": ["hub_transaction_hk", "hash_diff"],
+}
+
+
+def load_vault(spark: SparkSession, path: str, name: str, build, buckets: int = BUCKETS) -> str:
+    """Append the rows of vault table ``name`` that ``build(target)`` finds new; 'append' or 'noop'.
+
+    The new rows are cut from their lineage first: they are read once to see
+    whether there are any and once to be written, and the table they were
+    compared with changes in between."""
+    table = BucketedTable(spark, path, VAULT_KEYS[name], buckets)
+    new = build(table.read()).checkpoint(eager=True)
+    if table.exists() and new.isEmpty():
+        return "noop"
+    table.append(new)
+    return "append"
+
+
+def run_daily(spark: SparkSession, raw, warehouse: str, p: RunParams = DEFAULT, buckets: int = BUCKETS) -> dict[str, str]:
     """Build all models for ``p`` into ``warehouse``; returns {model: action}."""
     done: dict[str, str] = {}
     t = lambda name: f"{warehouse}/{name}"
@@ -53,12 +81,12 @@ def run_daily(spark: SparkSession, raw, warehouse: str, p: RunParams = DEFAULT)
     done["golden_customers"] = "table"
 
     utx_path = t("unified_transactions")
-    target = read("unified_transactions") if sinks.table_exists(spark, utx_path) else None
-    wm = sinks.high_watermark(target, "_loaded_at", by="source_system")
+    wm = sinks.watermark(spark, utx_path, "_loaded_at", by=True)
     batch = intermediate.unified_transactions(stg, p, watermarks=wm)
     done["unified_transactions"] = sinks.upsert(
         batch, utx_path, "transaction_unified_id", partition_by=("transaction_date", "month"),
-        cluster_by=["source_system", "transaction_type"])
+        cluster_by=["source_system", "transaction_type"],
+        watermarks=[("_loaded_at", "source_system", list(SOURCES)), ("_unified_at", None, None)])
 
     coa = intermediate.unified_chart_of_accounts(stg.qb_accounts(), stg.ns_accounts(), seeds.chart_of_accounts(spark), p)
     sinks.write_table(coa, t("chart_of_accounts"))
@@ -69,12 +97,12 @@ def run_daily(spark: SparkSession, raw, warehouse: str, p: RunParams = DEFAULT)
 
     # marts ------------------------------------------------------------------
     fct_path = t("fct_transactions")
-    fct_target = read("fct_transactions") if sinks.table_exists(spark, fct_path) else None
-    hwm = sinks.high_watermark(fct_target, "_unified_at")
+    hwm = sinks.watermark(spark, fct_path, "_unified_at")
     new_rows = utx if hwm is None else utx.filter(F.col("_unified_at") > F.lit(hwm))
     done["fct_transactions"] = sinks.upsert(
         marts.fct_transactions(new_rows, golden), fct_path, "transaction_key",
-        partition_by=("transaction_date", "month"), cluster_by=["transaction_category", "source_system"])
+        partition_by=("transaction_date", "month"), cluster_by=["transaction_category", "source_system"],
+        watermarks=[("_unified_at", None, None)])
     fct = read("fct_transactions").drop("transaction_date_month")
 
     builds: dict[str, tuple[DataFrame, tuple[str, str] | None]] = {
@@ -103,28 +131,29 @@ def run_daily(spark: SparkSession, raw, warehouse: str, p: RunParams = DEFAULT)
 
     # vault: insert-only -------------------------------------------------------
     def vault(name, build):
-        path = t(name)
-        cur = read(name) if sinks.table_exists(spark, path) else None
-        wrote = sinks.append(build(cur), path)
-        done[name] = "append" if wrote else "noop"
+        done[name] = load_vault(spark, t(name), name, build, buckets)
+
+    spine_mark = sinks.watermark(spark, utx_path, "_unified_at")
+
+    def from_spine(name, build):
+        # rows stamped since the last load of this table that ended; the note follows the append, so a
+        # load that was cut off is fed again and adds what is missing
+        fed = sinks.watermark(spark, t(name), "_unified_at")
+        rows = utx if fed is None else utx.filter(F.col("_unified_at") > F.lit(fed))
+        vault(name, lambda cur: build(rows, cur))
+        sinks.note_watermark(spark, t(name), "_unified_at", spine_mark)
 
     vault("hub_customer", lambda cur: vm.hub_customer(stg.qb_customers(), stg.stripe_customers(), stg.sf_accounts(), cur))
     vault("hub_account", lambda cur: vm.hub_account(stg.qb_accounts(), stg.ns_accounts(), cur))
-    vault("hub_transaction", lambda cur: vm.hub_transaction(utx, cur))
+    from_spine("hub_transaction", vm.hub_transaction)
     vault("lnk_customer_account", lambda cur: vm.lnk_customer_account(stg.qb_invoices(), cur))
-    vault("lnk_transaction_account", lambda cur: vm.lnk_transaction_account(utx, cur))
+    from_spine("lnk_transaction_account", vm.lnk_transaction_account)
     vault("sat_customer_details", lambda cur: vm.sat_customer_details(stg.qb_customers(), cur))
     vault("sat_customer_stripe", lambda cur: vm.sat_customer_stripe(stg.stripe_customers(), cur))
     vault("sat_account_balance", lambda cur: vm.sat_account_balance(stg.qb_accounts(), cur))
-    vault("sat_transaction_details", lambda cur: vm.sat_transaction_details(utx, cur))
+    from_spine("sat_transaction_details", vm.sat_transaction_details)
 
     # snapshot ------------------------------------------------------------------
-    snap_path = t("snap_dim_customers")
-    existing = read("snap_dim_customers") if sinks.table_exists(spark, snap_path) else None
-    new_snap = snap.snapshot(dim, existing, "customer_key", "_dim_updated_at", p.run_ts)
-    if existing is not None:
-        # the snapshot reads its own table: cut the lineage before replacing it
-        new_snap = new_snap.checkpoint(eager=True)
-    sinks.write_table(new_snap, snap_path)
+    sinks.write_snapshot(dim, t("snap_dim_customers"), "customer_key", "_dim_updated_at", p.run_ts)
     done["snap_dim_customers"] = "scd2"
     return done

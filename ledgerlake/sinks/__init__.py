@@ -300,6 +300,12 @@ def _note_watermarks(spark: SparkSession, path: str, highs: list) -> None:
     files.write(_watermark_file(path), json.dumps([[c, v, m] for (c, v), m in sorted(noted.items(), key=str)]))
 
 
+def note_watermark(spark: SparkSession, path: str, col: str, value: dt.datetime | None) -> None:
+    """Note by hand how far a table has been fed."""
+    if value is not None:
+        _note_watermarks(spark, path, [[col, None, str(value)]])
+
+
 def watermark(spark: SparkSession, path: str, col: str, by: bool = False):
     """The highest ``col`` (a timestamp) ever merged into the
     table, per group with ``by``: {group: timestamp}. It was noted while the
@@ -369,5 +375,5 @@ def read_snapshot(spark: SparkSession, path: str, open_only: bool = False) -> Da
     return df.drop(ZONE, BATCH)
 
 
-__all__ = ["BucketedTable", "KeyIndex", "VERSION_COLS", "append", "high_watermark", "merge_frames", "partition_column", "read_snapshot",
+__all__ = ["BucketedTable", "KeyIndex", "VERSION_COLS", "append", "high_watermark", "merge_frames", "note_watermark", "partition_column", "read_snapshot",
            "read_table", "recover", "table_exists", "upsert", "view", "watermark", "write_snapshot", "write_table"]

@@ -32,7 +32,12 @@ def test_two_daily_runs_are_incremental_and_idempotent(spark, tmp):
         assert table.exceptAll(frame).count() == 0 and frame.exceptAll(table).count() == 0, name
 
     p2 = replace(p1, run_ts=dt.datetime(2024, 2, 1, 6, 0, 0))
+    # the second run needs no row of the spine or fact for its watermarks: they were noted
+    assert sinks.watermark(spark, f"{wh}/unified_transactions", "_unified_at") == p1.run_ts
+    noted = sinks.watermark(spark, f"{wh}/unified_transactions", "_loaded_at", by=True)
+    assert noted == sinks.high_watermark(sinks.read_table(spark, f"{wh}/unified_transactions"), "_loaded_at", by="source_system")
     second = run_daily(spark, DriverRaw(spark, SF, p2), wh, p2)
+    assert second["hub_transaction"] == "noop" and second["sat_transaction_details"] == "noop"
     assert second["unified_transactions"] == "merged"
     # same source data: hubs and satellites gain nothing, the spine and fact keep their keys
     assert second["hub_customer"] == "noop" and second["sat_customer_details"] == "noop"
