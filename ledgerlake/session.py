@@ -49,11 +49,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def shared_folder(spark) -> str:
+    """The session's checkpoint folder. A session without one, as in tests,
+    gets a temporary one."""
+    found = checkpoint_dir(spark)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(found or tempfile.mkdtemp(prefix="ckpt-"))
+    return spark.sparkContext.getCheckpointDir()
+
+
 def cut(df):
-    """``df`` from a reliable checkpoint. A session without a checkpoint
-    folder, as in tests, gets a temporary one."""
-    if checkpoint_dir(df.sparkSession) is None:
-        checkpoint_dir(df.sparkSession, fallback=tempfile.mkdtemp(prefix="ckpt-"))
+    """``df`` from a reliable checkpoint."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

@@ -1,19 +1,23 @@
-"""Landing of extracted records (S1, S2, S5-S8) and the source registry.
+"""Landing of extracted records (S1, S2, S4-S8) and the source registry.
 
-The reference extracts API pages into driver memory and loads them with one
-blocking job per table. Here extracts are newline-delimited JSON files that
-Spark reads in parallel; one read covers many linked accounts' files (S7).
+Extracts are newline-delimited JSON files that Spark reads in parallel; one
+read covers many linked accounts' files (S7). ``land_files`` parses them once
+under the declared schema: whole records go to the raw table, lines that are
+no such record to its quarantine, each with the file it came from.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ledgerlake.functions import lit_date, lit_ts
+from ledgerlake.sinks.publish import Files, publish_folders, recover, staged_path
+
+CORRUPT, SOURCE_FILE, BATCH, QUARANTINE = "_corrupt_record", "_source_file", "_batch", "_quarantine"
 
 
 def read_landed_json(spark: SparkSession, paths: str | list[str], schema: StructType | str | None = None) -> DataFrame:
@@ -24,6 +28,53 @@ def read_landed_json(spark: SparkSession, paths: str | list[str], schema: Struct
     return r.json(paths)
 
 
+def land_files(spark: SparkSession, paths: str | list[str], schema: str, target: str, loaded_at, source_system: str) -> dict[str, int]:
+    """Add one batch of extract files to the raw table at
+    ``target``; returns the numbers of records landed and lines quarantined.
+
+    The batch is one folder of the table (and one of its quarantine), named by
+    its load time: a batch that is landed again takes the place of its first
+    try, and one that dies half-way leaves nothing. A batch without any line
+    changes nothing. Lines are read once; Spark counts them while it writes."""
+    recover(spark, target)
+    text = spark.read.schema(f"{schema}, {CORRUPT} string").option("mode", "PERMISSIVE").option(
+        "columnNameOfCorruptRecord", CORRUPT).json(paths)
+    whole = F.col(CORRUPT).isNull()
+    rows = stamp(text.withColumn(SOURCE_FILE, F.col("_metadata.file_path")), loaded_at, source_system)
+    seen = Observation()
+    rows = rows.withColumn("_whole", whole).observe(seen, F.count_if("_whole").alias("landed"), F.count_if(~F.col("_whole")).alias("quarantined"))
+    staged, batch = staged_path(target), f"{BATCH}={loaded_at:%Y%m%dT%H%M%S}"
+    rows.write.mode("overwrite").partitionBy("_whole").parquet(f"{staged}/_parsed")
+    counts = {k: seen.get.get(k) or 0 for k in ("landed", "quarantined")}
+    files = Files(spark, target)
+    names = []
+    for part, name in (("_whole=true", batch), ("_whole=false", f"{QUARANTINE}/{batch}")):
+        if files.exists(f"{staged}/_parsed/{part}"):
+            files.move(f"{staged}/_parsed/{part}", f"{staged}/{name}")
+            names.append(name)
+    if names:
+        publish_folders(spark, target, names, [])
+    else:
+        files.delete(staged)
+    return counts
+
+
+def read_landed(spark: SparkSession, target: str, schema: str) -> DataFrame:
+    """The raw table: whole records of all batches, with their stamps and files."""
+    recover(spark, target)
+    return spark.read.schema(f"{schema}, {SOURCE_FILE} string, _loaded_at timestamp, _source_system string").parquet(target).drop(BATCH)
+
+
+def read_quarantine(spark: SparkSession, target: str) -> DataFrame:
+    """Lines that are no record of the declared schema, as they came."""
+    recover(spark, target)
+    folder = f"{target.rstrip('/')}/{QUARANTINE}"
+    schema = f"{CORRUPT} string, {SOURCE_FILE} string, _loaded_at timestamp, _source_system string"
+    if not Files(spark, target).exists(folder):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(folder).drop(BATCH)
+
+
 def stamp(df: DataFrame, loaded_at, source_system: str) -> DataFrame:
     """One ``_loaded_at`` value per batch plus ``_source_system``."""
     return df.withColumns({"_loaded_at": lit_ts(loaded_at), "_source_system": F.lit(source_system)})

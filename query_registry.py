@@ -603,3 +603,9 @@ def _g3(m: Model) -> DataFrame:
     """Debit / credit / zero classification of every spine amount, per source."""
     return m.utx.groupBy("source_system", _classify("amount").alias("amount_class")).agg(
         F.count(F.lit(1)).alias("n"), F.sum("amount").cast("decimal(28,9)").alias("total"))
+
+
+# the queries that write tables and read them back
+import table_queries  # noqa: E402
+
+table_queries.add(register)

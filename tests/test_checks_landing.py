@@ -174,3 +174,46 @@ def test_foldable_checks_share_one_scan(spark, tmp_path):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan parquet") == 1
     assert [(r["check"], r["failures"]) for r in found.collect()] == [("not_null", 1), ("accepted_values", 1), ("between", 0)]
+
+
+LAND_SCHEMA = "id string, amount decimal(18,4), day date"
+
+
+def land(spark, folder, files, target, at):
+    os.makedirs(folder)
+    for name, lines in files.items():
+        with open(os.path.join(folder, name), "w") as f:
+            f.writelines(x + "\n" for x in lines)
+    return landing.land_files(spark, [os.path.join(folder, f) for f in files], LAND_SCHEMA, target, at, "plaid")
+
+
+def test_landing_keeps_broken_lines_apart_with_their_file(spark, tmp):
+    target, at = tmp + "/raw", [dt.datetime(2024, 1, d, 6) for d in (1, 2, 3)]
+    ok = lambda i: json.dumps({"id": i, "amount": 1.25, "day": "2024-01-01"})
+    got = land(spark, tmp + "/b0", {"a1.json": [ok("x"), '{"id": "cut', ok("y")], "a2.json": ['{"id": "t", "amount": "many"}', "", ok("z")]}, target, at[0])
+    assert got == {"landed": 3, "quarantined": 2}
+    rows = landing.read_landed(spark, target, LAND_SCHEMA).collect()
+    assert sorted((r.id, os.path.basename(r._source_file)) for r in rows) == [("x", "a1.json"), ("y", "a1.json"), ("z", "a2.json")]
+    assert {(r.amount, r._loaded_at, r._source_system) for r in rows} == {(Decimal("1.25"), at[0], "plaid")}
+    bad = landing.read_quarantine(spark, target).collect()
+    assert sorted((r._corrupt_record, os.path.basename(r._source_file)) for r in bad) == [
+        ('{"id": "cut', "a1.json"), ('{"id": "t", "amount": "many"}', "a2.json")]
+    # a batch of nothing changes nothing
+    assert land(spark, tmp + "/b1", {"a1.json": []}, target, at[1]) == {"landed": 0, "quarantined": 0}
+    # the next batch adds, and landing it again takes the place of the first try
+    land(spark, tmp + "/b2", {"a1.json": [ok("p"), ok("q")]}, target, at[2])
+    land(spark, tmp + "/b3", {"a1.json": [ok("p"), ok("q"), ok("r")]}, target, at[2])
+    assert sorted(r.id for r in landing.read_landed(spark, target, LAND_SCHEMA).collect()) == ["p", "q", "r", "x", "y", "z"]
+    assert landing.read_quarantine(spark, target).count() == 2
+
+
+def test_a_batch_cut_off_leaves_no_half_of_itself(spark, tmp, monkeypatch):
+    import pytest
+    target, at = tmp + "/raw", dt.datetime(2024, 1, 1, 6)
+    monkeypatch.setattr(landing, "publish_folders", lambda *a: (_ for _ in ()).throw(RuntimeError("cut off")))
+    with pytest.raises(RuntimeError):
+        land(spark, tmp + "/b0", {"a.json": ['{"id": "x"}', "{"]}, target, at)
+    monkeypatch.undo()
+    assert land(spark, tmp + "/b1", {"a.json": ['{"id": "y"}']}, target, at) == {"landed": 1, "quarantined": 0}
+    assert [r.id for r in landing.read_landed(spark, target, LAND_SCHEMA).collect()] == ["y"]
+    assert landing.read_quarantine(spark, target).collect() == []
