@@ -92,8 +92,8 @@ def run_daily(spark: SparkSession, raw, warehouse: str, p: RunParams = DEFAULT,
     sinks.write_table(coa, t("chart_of_accounts"))
     done["chart_of_accounts"] = "table"
 
-    golden, utx = read("golden_customers").drop("updated_at_day"), read("unified_transactions").drop(
-        "transaction_date_month")
+    golden, utx_by_month = read("golden_customers").drop("updated_at_day"), read("unified_transactions")
+    utx = utx_by_month.drop("transaction_date_month")
 
     # marts ------------------------------------------------------------------
     fct_path = t("fct_transactions")
@@ -121,10 +121,10 @@ def run_daily(spark: SparkSession, raw, warehouse: str, p: RunParams = DEFAULT,
 
     # data quality -----------------------------------------------------------
     for name, df in {
-        "dq_cross_source_reconciliation": quality.cross_source_reconciliation(utx, p),
+        "dq_cross_source_reconciliation": quality.cross_source_reconciliation(utx_by_month, p),
         "dq_golden_record_completeness": quality.golden_record_completeness(dim, p),
-        "dq_source_freshness": quality.source_freshness(utx, p),
-        "dq_transaction_anomalies": quality.transaction_anomalies(utx, p),
+        "dq_source_freshness": quality.source_freshness(utx_by_month, p),
+        "dq_transaction_anomalies": quality.transaction_anomalies(utx_by_month, p),
     }.items():
         sinks.write_table(df, t(name))
         done[name] = "table"

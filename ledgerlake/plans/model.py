@@ -9,16 +9,18 @@ and Spark can reuse its exchange. Nothing here triggers an action.
 from __future__ import annotations
 
 import copy
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerlake import sinks
 from ledgerlake.params import DEFAULT, RunParams
 from ledgerlake.plans import intermediate, marts, quality
 from ledgerlake.plans.staging import Staging
 from ledgerlake.sources import seeds
 from ledgerlake.sources.driver_tables import DriverRaw
-from ledgerlake.session import configure, cut
+from ledgerlake.session import configure, cut, shared_folder
 
 
 _MODELS: dict = {}
@@ -70,27 +72,35 @@ class Model:
             clone.__dict__[n] = cut(df)
         return clone
 
-    def _table(self, df: DataFrame) -> DataFrame:
+    def _table(self, df: DataFrame, name: str, partition_by: tuple[str, str] | None = None) -> DataFrame:
         """A model the reference materializes as a table and several jobs read:
-        build it once per run (reliable checkpoint into spark.checkpoint.dir)."""
+        written once per run as parquet files in the shared folder, so readers
+        get the columns and partitions they need and a lost executor's tasks read the files again."""
         if not self.materialize_tables:
-            return df
+            return sinks.partition_column(df, *partition_by)[0] if partition_by else df
         # a new Dataset over the shared (already analysed) plan: fresh physical
         # plan and shuffles, so a new run never reuses an earlier run's output
         df = df.select("*")
-        return cut(df)
+        path = f"{shared_folder(self.spark)}/{name}-{uuid.uuid4().hex}"
+        sinks.write_table(df, path, partition_by, compression="snappy")  # read a few times, then gone
+        return sinks.read_table(self.spark, path)
 
     # intermediate ---------------------------------------------------------
     @cached_property
     def golden(self) -> DataFrame:
         return self._table(self._plan("golden", lambda: intermediate.golden_customers(
             self.stg.stripe_customers(), self.stg.qb_customers(), self.stg.sf_accounts(), self.p
-        )))
+        )), "golden_customers")
 
     @cached_property
-    def utx(self) -> DataFrame:
+    def utx_by_month(self) -> DataFrame:
+        """The spine as its month-partitioned table (S19), with the month column."""
         return self._table(self._plan("utx", lambda: intermediate.unified_transactions(
-            self.stg, self.p, self.watermarks)))
+            self.stg, self.p, self.watermarks)), "unified_transactions", ("transaction_date", "month"))
+
+    @cached_property
+    def utx(self) -> DataFrame:
+        return self.utx_by_month.drop("transaction_date_month")
 
     @cached_property
     def chart_of_accounts(self) -> DataFrame:
@@ -101,7 +111,7 @@ class Model:
     # marts ----------------------------------------------------------------
     @cached_property
     def fct_transactions(self) -> DataFrame:
-        return self._table(marts.fct_transactions(self.utx, self.golden))
+        return self._table(marts.fct_transactions(self.utx, self.golden), "fct_transactions")
 
     @cached_property
     def fct_revenue(self) -> DataFrame:
@@ -119,7 +129,7 @@ class Model:
 
     @cached_property
     def dim_customers(self) -> DataFrame:
-        return self._table(marts.dim_customers(self.golden, self.fct_transactions, self.p))
+        return self._table(marts.dim_customers(self.golden, self.fct_transactions, self.p), "dim_customers")
 
     @cached_property
     def dim_accounts(self) -> DataFrame:
@@ -132,7 +142,7 @@ class Model:
     # data quality ---------------------------------------------------------
     @cached_property
     def dq_reconciliation(self) -> DataFrame:
-        return quality.cross_source_reconciliation(self.utx, self.p)
+        return quality.cross_source_reconciliation(self.utx_by_month, self.p)
 
     @cached_property
     def dq_completeness(self) -> DataFrame:
@@ -140,8 +150,8 @@ class Model:
 
     @cached_property
     def dq_freshness(self) -> DataFrame:
-        return quality.source_freshness(self.utx, self.p)
+        return quality.source_freshness(self.utx_by_month, self.p)
 
     @cached_property
     def dq_anomalies(self) -> DataFrame:
-        return quality.transaction_anomalies(self.utx, self.p)
+        return quality.transaction_anomalies(self.utx_by_month, self.p)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +23,15 @@ from ledgerlake.params import DEFAULT, RunParams
 AMT = BASE
 
 
+def since(utx: DataFrame, p: RunParams, days: int) -> DataFrame:
+    """F8: rows of the last ``days`` days. On a month table the month is bounded
+    too, by a literal, so the scan opens those months' folders only."""
+    start = p.as_of - dt.timedelta(days=days)
+    out = utx.filter(F.col("transaction_date") >= F.lit(start))
+    month = "transaction_date_month"
+    return out.filter(F.col(month) >= f"{start:%Y-%m}") if month in utx.columns else out
+
+
 # ---------------------------------------------------------------------------
 # M33 cross-source reconciliation
 # ---------------------------------------------------------------------------
@@ -30,7 +41,7 @@ def daily_totals_by_source(utx: DataFrame, p: RunParams = DEFAULT, days: int = 9
     zero = F.lit(0).cast(AMT)
     side = classify_amount(a)  # G3: debit (> 0) / credit (< 0) / zero
     return (
-        utx.filter(F.col("transaction_date") >= F.date_sub(lit_date(p.as_of), days))
+        since(utx, p, days)
         .groupBy("transaction_date", "source_system", "transaction_category")
         .agg(
             F.count(F.lit(1)).alias("transaction_count"),
@@ -156,7 +167,7 @@ def daily_stats(utx: DataFrame, p: RunParams = DEFAULT, days: int = 120) -> Data
     window below runs over one row per day and source, never over raw rows."""
     a = F.col("amount")
     return (
-        utx.filter(F.col("transaction_date") >= F.date_sub(lit_date(p.as_of), days))
+        since(utx, p, days)
         .groupBy("transaction_date", "source_system")
         .agg(
             F.count(F.lit(1)).alias("daily_count"),

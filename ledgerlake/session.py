@@ -41,6 +41,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.ansi.enabled", "true")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", str(clean_checkpoints).lower())
         .config("spark.ui.showConsoleProgress", "false")
+        # no call sites for every Column made: they are several driver calls each, and the jobs make thousands
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for k, v in JOB_CONF.items():
         b = b.config(k, v)

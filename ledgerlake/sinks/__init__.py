@@ -94,8 +94,10 @@ def _dealt(df: DataFrame, parts: list[str], cluster_by: list[str]) -> DataFrame:
     return df
 
 
-def _write(df: DataFrame, path: str, parts: list[str], cluster_by: list[str], mode: str) -> None:
+def _write(df: DataFrame, path: str, parts: list[str], cluster_by: list[str], mode: str, compression: str | None = None) -> None:
     w = _dealt(df, parts, cluster_by).write.mode(mode).option("partitionOverwriteMode", "static")
+    if compression:
+        w = w.option("compression", compression)
     if parts:
         w = w.partitionBy(*parts)
     w.parquet(path)
@@ -107,8 +109,10 @@ def write_table(
     partition_by: tuple[str, str] | None = None,
     cluster_by: list[str] | None = None,
     mode: str = "overwrite",
+    compression: str | None = None,
 ) -> None:
-    """S3/S15 (+S19/S20/S21). ``partition_by`` = (column, 'month'|'day').
+    """S3/S15 (+S19/S20/S21). ``partition_by`` = (column, 'month'|'day'),
+    ``compression`` other than the session's.
 
     A rebuild is staged: until the new table is complete the old one stays,
     and a failed rebuild leaves it. ``mode='append'`` adds files in place."""
@@ -124,14 +128,14 @@ def write_table(
             out = conform(out, schema)
             if schema != stored:
                 Files(df.sparkSession, path).write(f"{path}/{SCHEMA_FILE}", schema.json())
-        _write(out, path, parts, cluster_by or [], "append")
+        _write(out, path, parts, cluster_by or [], "append", compression)
         if stored is None:
             Files(df.sparkSession, path).write(f"{path}/{SCHEMA_FILE}", _ordered(out.schema, parts).json())
         return
     spark = df.sparkSession
     recover(spark, path)
     staged = staged_path(path)
-    _write(out, staged, parts, cluster_by or [], "overwrite")
+    _write(out, staged, parts, cluster_by or [], "overwrite", compression)
     Files(spark, staged).write(f"{staged}/{SCHEMA_FILE}", _ordered(out.schema, parts).json())
     publish_whole(spark, path)
 

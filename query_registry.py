@@ -124,7 +124,7 @@ def _ar_summary(m: Model) -> DataFrame:
 @register("a9_daily_totals_by_source", "SELECT * FROM daily_totals_by_source")
 def _a9(m: Model) -> DataFrame:
     """A9 step 1 / D23: per date, source and category totals (90 days)."""
-    return quality.daily_totals_by_source(m.utx, m.p)
+    return quality.daily_totals_by_source(m.utx_by_month, m.p)
 
 
 # ---------------------------------------------------------------------------
@@ -152,7 +152,7 @@ def _tally(m: Model) -> DataFrame:
   HAVING abs(sum(total_debits) - sum(total_credits)) > 0.01""")
 def _q10(m: Model) -> DataFrame:
     """Q10 applied to the daily debit/credit totals, grouped by date."""
-    return _checks.balanced_debits_credits(quality.daily_totals_by_source(m.utx, m.p), "total_debits",
+    return _checks.balanced_debits_credits(quality.daily_totals_by_source(m.utx_by_month, m.p), "total_debits",
                                            "total_credits", "transaction_date")
 
 
@@ -586,13 +586,13 @@ def _a3(m: Model) -> DataFrame:
 @register("w1_w4_rolling_stats", "SELECT * FROM anomalies_all")
 def _w(m: Model) -> DataFrame:
     """Trailing 30-row mean / stddev, guarded z-scores and 2-sigma flags, every day."""
-    return quality.transaction_anomalies(m.utx, m.p, flagged_only=False)
+    return quality.transaction_anomalies(m.utx_by_month, m.p, flagged_only=False)
 
 
 @register("a4_accounting_vs_bank_all_days", "SELECT * FROM reconciliation_all")
 def _a4(m: Model) -> DataFrame:
     """A4 + X24: accounting vs bank vs Stripe per day and category, matches kept."""
-    return quality.cross_source_reconciliation(m.utx, m.p, keep_matches=True)
+    return quality.cross_source_reconciliation(m.utx_by_month, m.p, keep_matches=True)
 
 
 @register("g3_amount_classes", """
