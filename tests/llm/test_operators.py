@@ -317,6 +317,29 @@ def test_license_scan_finds_families(spark, odd):
     assert got[50] == "mit" and got[51] == "apache" and got[1] is None and got[7] is None
 
 
+def test_license_scan_does_not_depend_on_how_rows_are_dealt(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    docs = docs.union(docs.filter("doc_id < 5"))  # repeated rows get their row each
+    shuffled = docs.repartition(13, "text").union(docs.limit(0))
+    a, b = (sorted(map(str, license_scan.scan(d).collect())) for d in (docs, shuffled))
+    assert a == b and len(a) == docs.count()
+
+
+def test_license_scan_leaves_prose_alone_and_reads_short_lines(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    extra = spark.createDataFrame([
+        (10**6, "All rights reserved."), (10**6 + 1, "one two three four five six seven released under the MIT License"),
+        (10**6 + 2, "one two three four five six seven eight released under the MIT License"), (10**6 + 3, None), (10**6 + 4, "")],
+        "doc_id long, text string")
+    got = {r.doc_id: r for r in license_scan.scan(docs.union(extra)).collect()}
+    assert got[10**6].family == "proprietary" and got[10**6 + 1].family == got[10**6 + 2].family == "mit"
+    assert got[10**6 + 3].n_licence == got[10**6 + 4].n_licence == 0
+    talk = re.compile(license_scan.TALK)
+    prose = [d for d, t in texts(docs) if not talk.search(t)]
+    flagged = sum(got[d].n_licence > 0 for d in prose)
+    assert len(prose) > 800 and flagged < 0.01 * len(prose), flagged
+
+
 def test_license_scan_finds_whole_texts_and_embedded_notices(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").filter("doc_id >= 60")
     prose = " ".join(x for _, x in texts(docs.filter("doc_id < 70")) if x).replace("\n", " ").split()
