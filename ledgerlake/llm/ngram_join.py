@@ -8,23 +8,31 @@ more. Every step keeps all links:
    shingles of a bounded list of common ones last, else by hash): sets that
    reach the threshold share a shingle of their prefixes, so a link's two
    ends meet at some key.
-3. Seeds: a class is verified against one partner, the smallest class of the
-   keys it shares most, if they share many. This joins large groups of near copies in about
-   as many pairs as classes.
+3. Seeds: a class meets one partner, the smallest class of the keys it shares
+   most, if they share many. The classes of one partner are dealt in blocks;
+   all pairs of a block are verified on full sets inside its task, and only
+   links that join two components leave it. This joins large groups of near
+   copies in as many rows as classes.
 4. Keys whose classes are not yet in one component are searched with an
    R-tree. A class is a point: its shingles hashed into GROUPS groups, and
    the counts of the groups. The sum of coordinate minima bounds the overlap
    of two points, the sum over the upper corners that of two boxes; pairs of
    boxes below the threshold, or inside one component, are not opened. Very
    common keys are dealt in cells of bounded size.
-   A survivor's common keys are counted, and with what lies beyond a prefix
-   they bound the overlap once more.
-5. The rest of the pairs is verified on full sets; components follow.
+   Survivors are not listed pair by pair: classes lie in blocks of classes
+   that the seeds connect, and a task names each pair of blocks that holds
+   survivors once, with the classes concerned. The keys at which a class has
+   a survivor, and what lies beyond a prefix, bound its overlaps once more.
+5. All pairs of the classes named for a pair of blocks are verified on full
+   sets inside its task, as in step 3; components follow.
 6. For n_links, and for the links themselves, each component is dealt in cells
    of two blocks of its classes. All pairs of a cell are verified on full sets
    inside its task, each pair in one cell, so no link inside a component is
    missed and only counts (or true links) leave the task.
 
+The sets of the classes that share a key are written once and read by steps 3
+to 6.
+
 One tree over all classes would not prune: in this many dimensions the boxes
 of unrelated texts overlap. The trees therefore stand under the keys.
 
@@ -56,7 +64,10 @@ CELL = 1024
 #: a block of a component holds about this many classes and shingles; columns of one product
 BLOCK_CLASSES, BLOCK_SHINGLES, COLUMNS = 512, 1 << 20, 4096
 LEAF = 32
-BROADCAST_ROWS = 1_000_000
+#: rows (cls, sid) of 24 bytes each
+BROADCAST_ROWS = 250_000
+#: pairs of points a search holds before it folds them
+FOLD = 1 << 19
 BLOCK = 4 << 20
 
 _rng = np.random.default_rng(20240131)
@@ -190,33 +201,57 @@ def common_shingles(docs: DataFrame, **cols) -> np.ndarray:
     return np.sort(np.array([r["key"] for r in top.collect()], np.int64).view(np.uint64))
 
 
-def full_sets(docs: DataFrame, need: DataFrame, small: bool, **cols) -> DataFrame:
-    """(cls, shingles) of the classes of ``need`` (cls, sid), one row each."""
+def full_sets(docs: DataFrame, need: DataFrame, **cols) -> DataFrame:
+    """(cls, shingles) of the classes of ``need`` (cls, sid), one row each, written once."""
+    need = cut(need)
     full = over_texts(docs, lambda ids, sets: ((_set_id(s), s.tobytes()) for s in sets if len(s)), "sid binary, shingles binary", **cols)
-    return full.join(F.broadcast(need) if small else need, "sid").groupBy("cls").agg(F.first("shingles").alias("shingles"))
+    small = need.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    return cut(full.join(F.broadcast(need) if small else need, "sid").groupBy("cls").agg(F.first("shingles").alias("shingles")))
+
+
+def _join_components(rows: list[tuple]) -> list[tuple[int, int]]:
+    """Links that join the components of the classes of one group of (ba, bb, cls, comp, shingles)."""
+    if len({r[3] for r in rows}) < 2:
+        return []
+    sets = [np.frombuffer(r[4], np.uint64) for r in rows]
+    n = np.array([len(x) for x in sets], np.int64)
+    ok = 7 * overlaps(sets, sets) >= 3 * (n[:, None] + n[None])
+    label = np.unique([r[3] for r in rows], return_inverse=True)[1]
+    out = []
+    for i in range(len(rows)):
+        near = np.flatnonzero(ok[i])
+        found, first = np.unique(label[near], return_index=True)
+        for other, j in zip(found.tolist(), near[first].tolist()):
+            if other != label[i]:
+                out.append((min(rows[i][2], rows[j][2]), max(rows[i][2], rows[j][2])))
+                label[label == other] = label[i]
+    return out
 
 
-def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, **cols) -> DataFrame:
-    """The pairs (a, b) of classes whose full sets reach the threshold."""
-    pairs = cut(pairs)
-    n = pairs.count()
-    ends = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
-    need = ends.join(classes.select("cls", "sid"), "cls")
-    small = n <= BROADCAST_ROWS
-    sets = full_sets(docs, need, small, **cols)
-    left = pairs.join(sets.select(F.col("cls").alias("a"), F.col("shingles").alias("sa")), "a")
-    both = left.join(sets.select(F.col("cls").alias("b"), F.col("shingles").alias("sb")), "b").select("a", "b", "sa", "sb")
+def spanning(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) that join components, of all pairs of classes of each group (ba, bb) of ``rows`` (ba, bb, cls, comp)."""
+    dealt = rows.join(sets, "cls").select("ba", "bb", "cls", "comp", "shingles").repartition("ba", "bb").sortWithinPartitions("ba", "bb")
 
     def run(batches):
+        held: list[tuple] = []
         for batch in batches:
-            ok = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                shared = len(np.intersect1d(x, y, assume_unique=True))
-                ok.append(7 * shared >= 3 * (len(x) + len(y)))
-            yield batch.select(["a", "b"]).filter(pa.array(ok))
+            for part in slices(batch, 4):
+                out = []
+                for r in zip(*[c.to_pylist() for c in part.columns]):
+                    if held and held[0][:2] != r[:2]:
+                        out += _join_components(held)
+                        held.clear()
+                    held.append(r)
+                yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], names=["a", "b"])
+        out = _join_components(held) if held else []
+        yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+    return cut(dealt.mapInArrow(run, "a long, b long"))
+
 
-    return cut(both.mapInArrow(run, "a long, b long"))
+def blocks_for(classes, shingles):
+    """How many blocks a group of so many classes and shingles is dealt in."""
+    return F.greatest(F.ceil(classes / BLOCK_CLASSES), F.ceil(shingles / BLOCK_SHINGLES)).cast("long")
 
 
 def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
@@ -288,33 +323,69 @@ class Tree:
             yield self.order[i[p]], self.order[j[q]]
 
 
+def _fold(codes: np.ndarray, low: np.ndarray, high: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, ...]:
+    """One entry for each code: the lowest ``low``, the highest ``high``, the sum of ``count``."""
+    if not len(codes):
+        return codes, low, high, count
+    order = np.argsort(codes, kind="stable")
+    codes = codes[order]
+    at = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))
+    return codes[at], np.minimum.reduceat(low[order], at), np.maximum.reduceat(high[order], at), np.add.reduceat(count[order], at)
+
+
 def _search(table: pa.Table) -> pa.Table:
-    """Candidate pairs of one bucket of (key, cell) groups."""
+    """Survivors of one bucket of (key, cell) groups: for each pair of blocks the
+    classes that have some, with the sizes of their partners and at how many keys."""
     key, cell = table["key"].to_numpy(), table["cell"].to_numpy()
     order = np.lexsort((cell, key))
-    cls, comp, size = (table[c].to_numpy()[order] for c in ("cls", "comp", "n"))
+    cls, comp, size, blk = (table[c].to_numpy()[order] for c in ("cls", "comp", "n", "blk"))
     points = np.vstack([np.frombuffer(x, np.uint8 if len(x) == GROUPS else np.int32).astype(np.int32)
                         for x in table["vec"].take(pa.array(order)).to_pylist()])
     key, cell, own, blocks = key[order], cell[order], table["own"].to_numpy()[order], table["blocks"].to_numpy()[order]
+    classes, first, c = np.unique(cls, return_index=True, return_inverse=True)
+    names, block = np.unique(blk, return_inverse=True)
     edges = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (cell[1:] != cell[:-1]), [True]]))
-    found: dict[tuple[int, int, int, int], int] = {}
+    empty = (np.empty(0, np.int64),) * 4
+    total, waiting = empty, [empty]
+
+    def ends(held):
+        """Both ends of survivors, folded; a key counts once for a class."""
+        p, q = (np.concatenate(x) for x in zip(*held))
+        pair = np.minimum(block[p], block[q]) * len(names) + np.maximum(block[p], block[q])
+        codes = np.concatenate([pair * len(classes) + c[p], pair * len(classes) + c[q]])
+        partner = np.concatenate([size[q], size[p]])
+        codes, low, high, _ = _fold(codes, partner, partner, np.ones(len(codes), np.int64))
+        return codes, low, high, np.ones(len(codes), np.int64)
+
     for lo, hi in zip(edges[:-1], edges[1:]):
         if hi - lo > 1 and (comp[lo:hi] != comp[lo]).any():
+            held, n = [], 0
             for p, q in Tree(points[lo:hi], size[lo:hi], comp[lo:hi]).pairs():
                 p, q = p + lo, q + lo
                 # of the cells that two classes of a block share, one counts the pair
                 mine = np.minimum(own[p], own[q]) * blocks[lo] + np.maximum(own[p], own[q]) == cell[lo]
-                p, q = p[mine], q[mine]
-                swap = cls[p] > cls[q]
-                p, q = np.where(swap, q, p), np.where(swap, p, q)
-                for pair in zip(cls[p].tolist(), cls[q].tolist(), size[p].tolist(), size[q].tolist()):
-                    found[pair] = found.get(pair, 0) + 1
-    cols = list(zip(*[(*k, c) for k, c in found.items()])) if found else [()] * 5
-    return pa.table({n: pa.array(c, pa.int64()) for n, c in zip(("a", "b", "na", "nb", "c"), cols)})
-
-
-def searched(members: DataFrame, labels: DataFrame, vectors: DataFrame) -> DataFrame:
-    """Pairs the trees leave over, for keys whose classes lie in several components."""
+                if mine.any():
+                    held.append((p[mine], q[mine]))
+                    n += int(mine.sum())
+                if n > FOLD:
+                    waiting.append(ends(held))
+                    held, n = [], 0
+            if held:
+                waiting.append(ends(held))
+            if sum(len(x[0]) for x in waiting) > FOLD:
+                total = _fold(*(np.concatenate(x) for x in zip(total, *waiting)))
+                waiting = [empty]
+    codes, low, high, count = _fold(*(np.concatenate(x) for x in zip(total, *waiting)))
+    pair, who = np.divmod(codes, len(classes))
+    a, b = np.divmod(pair, len(names))
+    columns = {"ba": names[a], "bb": names[b], "cls": classes[who], "comp": comp[first][who], "n": size[first][who],
+               "low": low, "high": high, "c": count}
+    return pa.table({k: pa.array(v, pa.int64()) for k, v in columns.items()})
+
+
+def searched(members: DataFrame, labels: DataFrame, vectors: DataFrame, dealt: DataFrame) -> DataFrame:
+    """(ba, bb, cls, comp): the classes that the trees leave over for each pair of blocks, from
+    keys whose classes lie in several components. ``dealt`` (cls, blk) names each class's block."""
     rows = members.join(labels, "cls")
     open_keys = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m")).filter("lo < hi")
     rows = rows.join(open_keys.select("key", "m"), "key")
@@ -322,20 +393,29 @@ def searched(members: DataFrame, labels: DataFrame, vectors: DataFrame) -> DataF
     blocks = F.ceil(F.col("m") / CELL).cast("int")
     own = F.pmod(F.xxhash64("cls"), blocks).cast("int")
     cells = F.transform(F.sequence(F.lit(0), blocks - 1), lambda j: F.least(own, j) * blocks + F.greatest(own, j))
-    rows = cut(rows.select("key", "cls", "comp", own.alias("own"), blocks.alias("blocks"), F.explode(cells).alias("cell")).join(vectors, "cls"))
+    rows = cut(rows.select("key", "cls", "comp", own.alias("own"), blocks.alias("blocks"), F.explode(cells).alias("cell"))
+               .join(vectors.join(dealt, "cls"), "cls"))
     buckets = max(1, -(-rows.count() // 20_000))
     rows = rows.withColumn("_b", F.pmod(F.xxhash64("key", "cell"), F.lit(buckets)))
-    pairs = rows.groupBy("_b").applyInArrow(_search, "a long, b long, na long, nb long, c long")
-    # c, the keys two classes share, is all they share of one's prefix; beyond it that one has n - prefix shingles
-    beyond = F.greatest(F.ceil(F.col("na") * 3 / 4), F.ceil(F.col("nb") * 3 / 4)) - 1
-    return (pairs.groupBy("a", "b", "na", "nb").agg(F.sum("c").alias("c"))
-            .filter(7 * (F.col("c") + beyond) >= 3 * (F.col("na") + F.col("nb"))).select("a", "b"))
+    ends = rows.groupBy("_b").applyInArrow(_search, "ba long, bb long, cls long, comp long, n long, low long, high long, c long")
+    ends = ends.groupBy("ba", "bb", "cls", "comp", "n").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("c").alias("c"))
+
+    def reaches(m):
+        # two classes share at most c shingles of one's prefix; beyond it that one has ceil(3 n / 4) - 1. As a
+        # function of the partner's size the slack is largest at one end of the sizes
+        return 7 * (F.col("c") + F.greatest("n", m) * 0.75 - 0.25) >= 3 * (F.col("n") + F.col(m))
+
+    return ends.filter(reaches("low") | reaches("high")).select("ba", "bb", "cls", "comp")
 
 
 def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     """How many shingles each set of ``left`` shares with each of ``right``."""
-    # shingles of one side only cannot be shared
-    both = np.intersect1d(np.concatenate(left), np.concatenate(right))
+    # shingles of one side, or of one set, only cannot be shared; a set's overlap with itself is not asked
+    if left is right:
+        both, times = np.unique(np.concatenate(left), return_counts=True)
+        both = both[times > 1]
+    else:
+        both = np.intersect1d(np.concatenate(left), np.concatenate(right))
     out = np.zeros((len(left), len(right)), np.float64)
 
     def places(sets):
@@ -367,7 +447,8 @@ def _cell_links(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
     if not left or not right:
         return none, none
     a, b = (np.array([r[2] for r in side], np.int64) for side in (left, right))
-    x, y = ([np.frombuffer(r[5], np.uint64) for r in side] for side in (left, right))
+    x = [np.frombuffer(r[5], np.uint64) for r in left]
+    y = x if i == j else [np.frombuffer(r[5], np.uint64) for r in right]
     na, nb = (np.array([len(s) for s in side], np.int64) for side in (x, y))
     ok = 7 * overlaps(x, y) >= 3 * (na[:, None] + nb[None])
     if i == j:
@@ -376,15 +457,13 @@ def _cell_links(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
     return np.minimum(a[p], b[q]), np.maximum(a[p], b[q])
 
 
-def inside(found: DataFrame, docs: DataFrame, classes: DataFrame, pairs: bool = False, **cols) -> DataFrame:
+def inside(found: DataFrame, sets: DataFrame, classes: DataFrame, pairs: bool = False) -> DataFrame:
     """All links of the components ``found`` (cls, comp): n_links of each linked
     class or, with ``pairs``, the links (a, b)."""
     sizes = found.join(classes.select("cls", "n"), "cls").groupBy("comp").agg(F.count("*").alias("m"), F.sum("n").alias("total")).filter("m > 1")
-    blocks = F.greatest(F.ceil(F.col("m") / BLOCK_CLASSES), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("long")
-    need = cut(found.join(sizes.select("comp", blocks.alias("blocks")), "comp").join(classes.select("cls", "sid"), "cls"))
-    small = need.count() <= BROADCAST_ROWS
+    blocks = blocks_for(F.col("m"), F.col("total"))
+    need = found.join(sizes.select("comp", blocks.alias("blocks")), "comp")
     own = F.pmod(F.xxhash64("cls"), F.col("blocks"))
-    sets = full_sets(docs, need.select("cls", "sid"), small, **cols)
     # a pair of two blocks meets in their one cell, a pair of one block is counted in the block's own cell
     cells = F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda j: F.least(F.col("own"), j) * F.col("blocks") + F.greatest(F.col("own"), j))
     rows = (sets.join(need.select("cls", "comp", "blocks", own.alias("own")), "cls")
@@ -420,10 +499,10 @@ def inside(found: DataFrame, docs: DataFrame, classes: DataFrame, pairs: bool =
 def decide(docs: DataFrame, links: bool = True, **cols) -> DataFrame:
     """doc_id, n_shingles, component_id and n_links, the classes that the row's class is linked to; one row
     per row of ``docs``. Without ``links`` only components are sought, and there is no n_links."""
-    base, classes, found = joined(docs, **cols)
+    base, classes, found, sets = joined(docs, **cols)
     named = classes.join(found, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     if links:
-        named = named.join(inside(found, docs, classes, **cols), "cls", "left")
+        named = named.join(inside(found, sets, classes), "cls", "left")
     named = cut(named)
     least = named.groupBy("comp").agg(F.min("rep").alias("component_id"))
     count = [F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")] if links else []
@@ -436,14 +515,15 @@ def decide(docs: DataFrame, links: bool = True, **cols) -> DataFrame:
 
 def all_links(docs: DataFrame, **cols) -> DataFrame:
     """(a, b): every link between different texts, each text under the smallest identifier of its rows."""
-    _, classes, found = joined(docs, **cols)
+    _, classes, found, sets = joined(docs, **cols)
     name = classes.select("cls", "rep")
-    pairs = inside(found, docs, classes, pairs=True, **cols)
+    pairs = inside(found, sets, classes, pairs=True)
     return (pairs.join(name.toDF("a", "_a"), "a").join(name.toDF("b", "_b"), "b").select(F.col("_a").alias("a"), F.col("_b").alias("b")))
 
 
-def joined(docs: DataFrame, **cols) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(rows, classes, components): rows have doc_id, n and sid, classes sid, rep, n and cls, components cls and comp."""
+def joined(docs: DataFrame, **cols) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(rows, classes, components, sets): rows have doc_id, n and sid, classes sid, rep, n and cls, components
+    cls and comp, sets cls and shingles. The last two are of the classes that share a key."""
     base = cut(over_texts(docs, lambda ids, sets: ((d, len(s), _set_id(s)) for d, s in zip(ids, sets)),
                           "doc_id long, n long, sid binary", **cols))
     classes = cut(base.filter("n > 0").groupBy("sid").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"))
@@ -467,25 +547,38 @@ def joined(docs: DataFrame, **cols) -> tuple[DataFrame, DataFrame, DataFrame]:
     seeds = members.filter("cls <> lo").groupBy("cls", "lo").count().groupBy("cls").agg(
         F.max("count").alias("shared"), F.max_by("lo", F.struct("count", -F.col("lo"))).alias("lo"))
     # a seed is worth its verification if the two share a quarter of a prefix; other links are left to the trees
-    seeds = seeds.join(classes.select("cls", "n"), "cls").filter("16 * shared >= n")
-    links = verified(seeds.select(F.col("lo").alias("a"), F.col("cls").alias("b")), docs, classes, **cols)
+    seeds = cut(seeds.join(classes.select("cls", "n"), "cls").filter("16 * shared >= n").select("lo", "cls", "n"))
     nodes = cut(members.select("cls").distinct())
-    labels = components(nodes, links)
-
-    def vector(ids, sets):
-        for s in sets:
-            if len(s):
-                counts = np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=GROUPS)
-                # one byte a group as long as the counts allow it
-                yield _set_id(s), counts.astype(np.uint8 if counts.max() < 256 else np.int32).tobytes()
-
-    mixed_sets = cut(labels)
-    need = nodes.join(classes.select("cls", "sid", "n"), "cls")
-    few = nodes.count() <= BROADCAST_ROWS
-    vectors = cut(over_texts(docs, vector, "sid binary, vec binary", **cols).join(F.broadcast(need) if few else need, "sid")
-                  .groupBy("cls").agg(F.first("n").alias("n"), F.first("vec").alias("vec")))
-    more = verified(searched(members.select("key", "cls"), mixed_sets, vectors), docs, classes, **cols)
-    return base, classes, cut(components(nodes, links.union(more).distinct()))
+    sets = full_sets(docs, nodes.join(classes.select("cls", "sid"), "cls"), **cols)
+
+    # the partner stands in every block of its classes
+    stars = seeds.groupBy("lo").agg(F.count("*").alias("m"), F.sum("n").alias("total"))
+    stars = stars.select(F.col("lo").alias("ba"), blocks_for(F.col("m"), F.col("total")).alias("blocks"))
+    ends = seeds.select(F.col("lo").alias("ba"), "cls").join(stars, "ba").select("ba", F.pmod(F.xxhash64("cls"), F.col("blocks")).alias("bb"), "cls")
+    heads = stars.select("ba", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("bb"), F.col("ba").alias("cls"))
+    links = spanning(ends.union(heads).withColumn("comp", F.col("cls")), sets)
+    labels = cut(components(nodes, links))
+
+    # blocks of the search: classes that the seeds connect, verified or not
+    near = cut(components(nodes, seeds.select(F.col("lo").alias("a"), F.col("cls").alias("b"))).join(classes.select("cls", "n"), "cls"))
+    count = near.groupBy("comp").agg(F.count("*").alias("m"), F.sum("n").alias("total"))
+    count = count.select("comp", blocks_for(F.col("m"), F.col("total")).alias("k"))
+    dealt = near.join(count, "comp").select("cls", F.xxhash64("comp", F.pmod(F.xxhash64("cls"), F.col("k"))).alias("blk"))
+
+    def vectors(batches):
+        for batch in batches:
+            for part in slices(batch, 1):
+                rows = []
+                for c, x in zip(part.column(0).to_pylist(), part.column(1)):
+                    s = np.frombuffer(x.as_buffer(), np.uint64)
+                    counts = np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=GROUPS)
+                    # one byte a group as long as the counts allow it
+                    rows.append((c, len(s), counts.astype(np.uint8 if counts.max() < 256 else np.int32).tobytes()))
+                yield _arrow(pa.schema([("cls", pa.int64()), ("n", pa.int64()), ("vec", pa.binary())]), rows)
+
+    points = sets.mapInArrow(vectors, "cls long, n long, vec binary")
+    more = spanning(searched(members.select("key", "cls"), labels, points, dealt), sets)
+    return base, classes, cut(components(nodes, links.union(more).distinct())), sets
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

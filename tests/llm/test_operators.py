@@ -220,6 +220,29 @@ def test_ngram_join_counts_all_links(spark, odd, monkeypatch, block, shingles):
         assert pairs == Counter(frozenset((low[a], low[b])) for a, b in linked)
 
 
+def test_ngram_join_of_unlinked_near_copies(spark, monkeypatch):
+    """A group whose texts mostly miss the threshold, over many blocks, cells and folds."""
+    monkeypatch.setattr(ngram_join, "BLOCK_CLASSES", 7)
+    monkeypatch.setattr(ngram_join, "CELL", 16)
+    monkeypatch.setattr(ngram_join, "FOLD", 50)
+    rng = np.random.default_rng(11)
+    base = [f"w{i}" for i in range(120)]
+
+    def changed(i, times):
+        words = list(base)
+        for at in rng.integers(0, len(words), times):
+            words[at] = f"x{i}y{at}"
+        return " ".join(words)
+
+    rows = [(i, changed(i, 2 + i % 6)) for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute_components(rows)
+    assert 3 < len({c for _, _, c in want}) < 80
+    got = ngram_join.decide(docs).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == want
+    assert Counter((r.doc_id, r.n_links) for r in got) == brute_links(rows)[2]
+
+
 def test_tree_bounds_lose_no_pair():
     rng = np.random.default_rng(5)
     base = rng.integers(0, 6, (30, ngram_join.GROUPS))
