@@ -30,8 +30,9 @@ more. Every step keeps all links:
    inside its task, each pair in one cell, so no link inside a component is
    missed and only counts (or true links) leave the task.
 
-The sets of the classes that share a key are written once and read by steps 3
-to 6.
+Texts are read four times: for set ids, vectors and common shingles; for the
+prefixes; for the sets of step 3; for those that step 5 adds. Step 6 reads the
+sets of both.
 
 One tree over all classes would not prune: in this many dimensions the boxes
 of unrelated texts overlap. The trees therefore stand under the keys.
@@ -171,19 +172,27 @@ def over_texts(docs: DataFrame, rows_of, schema: str, id_col: str = "doc_id", te
     return rows.mapInArrow(run, schema)
 
 
-def common_shingles(docs: DataFrame, **cols) -> np.ndarray:
-    """Sorted hashes of shingles met in many texts: each task names its most
-    frequent ones, their counts are summed and the largest are kept."""
-    rows = docs.select(text_of(cols.get("text_col", "text")).alias("text"))
+def _vector(s: np.ndarray) -> bytes:
+    counts = np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=GROUPS)
+    # one byte a group as long as the counts allow it
+    return counts.astype(np.uint8 if counts.max() < 256 else np.int32).tobytes()
+
+
+def described(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, np.ndarray]:
+    """(doc_id, n, sid, vec) of each document, and the sorted hashes of shingles met in many texts: each
+    task names its most frequent ones, their counts are summed and the largest are kept."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
+    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("sid", pa.binary()), ("vec", pa.binary()), ("key", pa.int64()), ("c", pa.int64())])
 
     def run(batches):
         keys, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
         for batch in batches:
-            for part in slices(batch, 0):
-                own = [s for s in shingle_sets(part.column(0)) if len(s)]
+            for part in slices(batch, 1):
+                sets = list(shingle_sets(part.column(1)))
+                yield _arrow(schema, [(d, len(s), _set_id(s), _vector(s), None, None) for d, s in zip(part.column(0).to_pylist(), sets)])
+                # copies of one set count once
+                own = list({s.tobytes(): s for s in sets if len(s)}.values())
                 if own:
-                    # copies of one set count once
-                    own = list({s.tobytes(): s for s in own}.values())
                     k, inverse = np.unique(np.concatenate([keys, *own]), return_inverse=True)
                     c = np.zeros(len(k), np.int64)
                     np.add.at(c, inverse, np.concatenate([counts, np.ones(sum(map(len, own)), np.int64)]))
@@ -194,11 +203,12 @@ def common_shingles(docs: DataFrame, **cols) -> np.ndarray:
                         keys, counts = keys[top], counts[top]
         stay = np.flatnonzero(counts >= COMMON_LEAST)
         stay = stay[np.argsort(-counts[stay], kind="stable")[:COMMON_LOCAL]]
-        yield pa.RecordBatch.from_arrays([pa.array(keys[stay].view(np.int64)), pa.array(counts[stay])], names=["key", "c"])
+        yield _arrow(schema, [(None, None, None, None, k, c) for k, c in zip(keys[stay].view(np.int64).tolist(), counts[stay].tolist())])
 
-    top = (rows.mapInArrow(run, "key long, c long").groupBy("key").agg(F.sum("c").alias("c"))
-           .orderBy(F.desc("c"), "key").limit(COMMON_MAX))
-    return np.sort(np.array([r["key"] for r in top.collect()], np.int64).view(np.uint64))
+    both = cut(rows.mapInArrow(run, "doc_id long, n long, sid binary, vec binary, key long, c long"))
+    top = both.filter("sid is null").groupBy("key").agg(F.sum("c").alias("c")).orderBy(F.desc("c"), "key").limit(COMMON_MAX)
+    return (both.filter("sid is not null").select("doc_id", "n", "sid", "vec"),
+            np.sort(np.array([r["key"] for r in top.collect()], np.int64).view(np.uint64)))
 
 
 def full_sets(docs: DataFrame, need: DataFrame, **cols) -> DataFrame:
@@ -523,12 +533,12 @@ def all_links(docs: DataFrame, **cols) -> DataFrame:
 
 def joined(docs: DataFrame, **cols) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """(rows, classes, components, sets): rows have doc_id, n and sid, classes sid, rep, n and cls, components
-    cls and comp, sets cls and shingles. The last two are of the classes that share a key."""
-    base = cut(over_texts(docs, lambda ids, sets: ((d, len(s), _set_id(s)) for d, s in zip(ids, sets)),
-                          "doc_id long, n long, sid binary", **cols))
-    classes = cut(base.filter("n > 0").groupBy("sid").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"))
+    cls and comp, sets cls and shingles. Components are of the classes that share a key, sets of those
+    that were verified with others."""
+    base, late = described(docs, **cols)
+    classes = cut(base.filter("n > 0").groupBy("sid").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.first("vec").alias("vec"))
                   .withColumn("cls", F.monotonically_increasing_id()))
-    common = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, **cols))
+    common = docs.sparkSession.sparkContext.broadcast(late)
 
     def prefixes(ids, sets):
         late = common.value
@@ -549,14 +559,15 @@ def joined(docs: DataFrame, **cols) -> tuple[DataFrame, DataFrame, DataFrame, Da
     # a seed is worth its verification if the two share a quarter of a prefix; other links are left to the trees
     seeds = cut(seeds.join(classes.select("cls", "n"), "cls").filter("16 * shared >= n").select("lo", "cls", "n"))
     nodes = cut(members.select("cls").distinct())
-    sets = full_sets(docs, nodes.join(classes.select("cls", "sid"), "cls"), **cols)
 
     # the partner stands in every block of its classes
     stars = seeds.groupBy("lo").agg(F.count("*").alias("m"), F.sum("n").alias("total"))
     stars = stars.select(F.col("lo").alias("ba"), blocks_for(F.col("m"), F.col("total")).alias("blocks"))
     ends = seeds.select(F.col("lo").alias("ba"), "cls").join(stars, "ba").select("ba", F.pmod(F.xxhash64("cls"), F.col("blocks")).alias("bb"), "cls")
     heads = stars.select("ba", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("bb"), F.col("ba").alias("cls"))
-    links = spanning(ends.union(heads).withColumn("comp", F.col("cls")), sets)
+    met = cut(ends.union(heads))
+    sets = full_sets(docs, met.select("cls").distinct().join(classes.select("cls", "sid"), "cls"), **cols)
+    links = spanning(met.withColumn("comp", F.col("cls")), sets)
     labels = cut(components(nodes, links))
 
     # blocks of the search: classes that the seeds connect, verified or not
@@ -565,20 +576,11 @@ def joined(docs: DataFrame, **cols) -> tuple[DataFrame, DataFrame, DataFrame, Da
     count = count.select("comp", blocks_for(F.col("m"), F.col("total")).alias("k"))
     dealt = near.join(count, "comp").select("cls", F.xxhash64("comp", F.pmod(F.xxhash64("cls"), F.col("k"))).alias("blk"))
 
-    def vectors(batches):
-        for batch in batches:
-            for part in slices(batch, 1):
-                rows = []
-                for c, x in zip(part.column(0).to_pylist(), part.column(1)):
-                    s = np.frombuffer(x.as_buffer(), np.uint64)
-                    counts = np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=GROUPS)
-                    # one byte a group as long as the counts allow it
-                    rows.append((c, len(s), counts.astype(np.uint8 if counts.max() < 256 else np.int32).tobytes()))
-                yield _arrow(pa.schema([("cls", pa.int64()), ("n", pa.int64()), ("vec", pa.binary())]), rows)
-
-    points = sets.mapInArrow(vectors, "cls long, n long, vec binary")
-    more = spanning(searched(members.select("key", "cls"), labels, points, dealt), sets)
-    return base, classes, cut(components(nodes, links.union(more).distinct())), sets
+    met = cut(searched(members.select("key", "cls"), labels, classes.select("cls", "n", "vec"), dealt))
+    rest = met.select("cls").distinct().join(sets, "cls", "left_anti").join(classes.select("cls", "sid"), "cls")
+    sets = sets.union(full_sets(docs, rest, **cols))
+    found = cut(components(nodes, links.union(spanning(met, sets)).distinct()))
+    return base, classes, found, sets
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
