@@ -355,21 +355,23 @@ def _search(table: pa.Table) -> pa.Table:
     classes, first, c = np.unique(cls, return_index=True, return_inverse=True)
     names, block = np.unique(blk, return_inverse=True)
     edges = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (cell[1:] != cell[:-1]), [True]]))
-    empty = (np.empty(0, np.int64),) * 4
-    total, waiting = empty, [empty]
+    group = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
+    total = (np.empty(0, np.int64),) * 4
 
     def ends(held):
-        """Both ends of survivors, folded; a key counts once for a class."""
+        """Both ends of survivors, folded; a group counts once for a class."""
         p, q = (np.concatenate(x) for x in zip(*held))
         pair = np.minimum(block[p], block[q]) * len(names) + np.maximum(block[p], block[q])
         codes = np.concatenate([pair * len(classes) + c[p], pair * len(classes) + c[q]])
-        partner = np.concatenate([size[q], size[p]])
-        codes, low, high, _ = _fold(codes, partner, partner, np.ones(len(codes), np.int64))
-        return codes, low, high, np.ones(len(codes), np.int64)
+        partner, met = np.concatenate([size[q], size[p]]), np.concatenate([group[p], group[p]])
+        order = np.lexsort((met, codes))
+        codes, partner, met = codes[order], partner[order], met[order]
+        again = np.concatenate([[False], (codes[1:] == codes[:-1]) & (met[1:] == met[:-1])])
+        return _fold(codes, partner, partner, (~again).astype(np.int64))
 
+    held, n = [], 0
     for lo, hi in zip(edges[:-1], edges[1:]):
         if hi - lo > 1 and (comp[lo:hi] != comp[lo]).any():
-            held, n = [], 0
             for p, q in Tree(points[lo:hi], size[lo:hi], comp[lo:hi]).pairs():
                 p, q = p + lo, q + lo
                 # of the cells that two classes of a block share, one counts the pair
@@ -378,14 +380,11 @@ def _search(table: pa.Table) -> pa.Table:
                     held.append((p[mine], q[mine]))
                     n += int(mine.sum())
                 if n > FOLD:
-                    waiting.append(ends(held))
+                    total = _fold(*(np.concatenate(x) for x in zip(total, ends(held))))
                     held, n = [], 0
-            if held:
-                waiting.append(ends(held))
-            if sum(len(x[0]) for x in waiting) > FOLD:
-                total = _fold(*(np.concatenate(x) for x in zip(total, *waiting)))
-                waiting = [empty]
-    codes, low, high, count = _fold(*(np.concatenate(x) for x in zip(total, *waiting)))
+    if held:
+        total = _fold(*(np.concatenate(x) for x in zip(total, ends(held))))
+    codes, low, high, count = total
     pair, who = np.divmod(codes, len(classes))
     a, b = np.divmod(pair, len(names))
     columns = {"ba": names[a], "bb": names[b], "cls": classes[who], "comp": comp[first][who], "n": size[first][who],
