@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.functions import MONEY, RATE
-from ledgerlake.sources.driver_tables import SHIFT_DAYS, netsuite_line_id
+from ledgerlake.sources.driver_tables import SHIFT_DAYS, netsuite_accounts, netsuite_line_id
 
 DEFAULT_MIN_DATE = dt.date(2020, 1, 1)
 
@@ -131,6 +131,13 @@ def system_vendors(supplier: DataFrame) -> DataFrame:
     )
 
 
+def system_accounts(supplier: DataFrame) -> DataFrame:
+    raw = netsuite_accounts(supplier)
+    return raw.select("id", F.col("acct_name").alias("acctName"), F.col("acct_number").alias("acctNumber"),
+                      F.col("acct_type").alias("acctType"), F.col("general_rate_type").alias("generalRateType"),
+                      "parent", F.col("is_inactive").alias("isInactive"))
+
+
 def system_subsidiaries(nation: DataFrame) -> DataFrame:
     return nation.select(_s("n_nationkey").alias("id"), F.col("n_name").alias("name"),
                          F.concat(F.lit("R"), _s("n_regionkey")).alias("country"), F.lit("USD").alias("currency"),

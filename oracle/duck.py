@@ -788,6 +788,10 @@ SELECT 'VEND-' || {s('s_suppkey')} AS id, 'VEND' || {s('s_suppkey')} AS entityId
   {epoch_ts('1483228800 + (s_suppkey % 10000) * 3600')} AS dateCreated
 FROM supplier""")
 
+cte("ns_system_accounts", """
+SELECT id, acct_name AS acctName, acct_number AS acctNumber, acct_type AS acctType, general_rate_type AS generalRateType,
+  parent, is_inactive AS isInactive FROM raw_ns_accounts""")
+
 cte("ns_system_subsidiaries", f"""
 SELECT {s('n_nationkey')} AS id, n_name AS name, 'R' || {s('n_regionkey')} AS country, 'USD' AS currency,
   false AS isInactive FROM nation""")

@@ -8,8 +8,10 @@ oracle side is the final SELECT over the DuckDB CTEs of ``oracle.duck``
 from __future__ import annotations
 
 import datetime as _dt
+import uuid as _uuid
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce as _reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,13 +21,16 @@ from ledgerlake.functions import classify_amount as _classify
 from ledgerlake.operators import checks as _checks
 from ledgerlake.operators import joins as _joins
 from ledgerlake.operators import snapshot as _snap
+from ledgerlake.operators.json_rows import json_entries as _json_entries
 from ledgerlake.plans import checks_suite as _suite
 from ledgerlake.plans import marts, quality
 from ledgerlake.plans import intermediate as _inter
 from ledgerlake.plans import vault_models as _vm
 from ledgerlake.plans.model import Model
+from ledgerlake.session import shared_folder as _shared
 from ledgerlake.sources import landing as _land
 from ledgerlake.sources import netsuite as _ns
+from ledgerlake.sources import seeds as _seeds
 from ledgerlake.sources.driver_tables import MONEY as _MONEY, event_order
 
 
@@ -425,6 +430,31 @@ def _s11v(m: Model) -> DataFrame:
     return _ns.pull_entities(_ns.system_vendors(m.raw.driver("supplier")))
 
 
+@register("s11_netsuite_accounts_pull", """SELECT id, acctName AS acct_name, acctNumber AS acct_number, acctType AS acct_type,
+  generalRateType AS general_rate_type, parent, isInactive AS is_inactive FROM ns_system_accounts""")
+def _s11a(m: Model) -> DataFrame:
+    """NetSuite account master pull."""
+    return _ns.pull_accounts(_ns.system_accounts(m.raw.driver("supplier")))
+
+
+@register("s13_currency_totals", """
+SELECT c.currency_code, c.currency_name, c.symbol, c.decimal_places, count(i.invoice_id) AS invoices,
+  CAST(sum(i.total_amount) AS DECIMAL(28,4)) AS total
+FROM (VALUES ('USD', 'US Dollar', '$', 2), ('EUR', 'Euro', '€', 2), ('GBP', 'British Pound', '£', 2), ('CAD', 'Canadian Dollar', 'C$', 2),
+  ('AUD', 'Australian Dollar', 'A$', 2), ('JPY', 'Japanese Yen', '¥', 0), ('CHF', 'Swiss Franc', 'CHF', 2))
+  c(currency_code, currency_name, symbol, decimal_places)
+LEFT JOIN stg_qb_invoices i ON i.currency_code = c.currency_code GROUP BY ALL""")
+def _s13(m: Model) -> DataFrame:
+    """The currency seed, written as its CSV file and read with the pinned schema, beside the invoices of each currency."""
+    path = f"{_shared(m.spark)}/s13-{_uuid.uuid4().hex}"
+    _seeds.currency_codes(m.spark).coalesce(1).write.option("header", True).csv(path)
+    seed = _seeds.currency_codes(m.spark, path)
+    sums = m.stg.qb_invoices().groupBy(F.col("currency_code").alias("_code")).agg(
+        F.count("invoice_id").alias("invoices"), F.sum("total_amount").cast("decimal(28,4)").alias("total"))
+    return seed.join(sums, F.col("currency_code") == F.col("_code"), "left").select(
+        "currency_code", "currency_name", "symbol", "decimal_places", F.coalesce("invoices", F.lit(0)).alias("invoices"), "total")
+
+
 @register("s11_netsuite_subsidiaries_pull", """SELECT id, name, country, currency, isInactive AS is_inactive
 FROM ns_system_subsidiaries""")
 def _s11s(m: Model) -> DataFrame:
@@ -583,6 +613,25 @@ def _a3(m: Model) -> DataFrame:
     return marts.customer_metrics(m.fct_transactions)
 
 
+def _entries_sql(name: str, table: str, col: str, key: str) -> str:
+    return f"""SELECT '{name}' AS document, id, field, json_extract_string(doc, path) AS value,
+  json_type(doc, path) IN ('OBJECT', 'ARRAY') AS is_nested
+FROM (SELECT *, '$."' || field || '"' AS path FROM (SELECT id, doc, unnest(json_keys(doc)) AS field
+  FROM (SELECT {key} AS id, CASE WHEN json_valid({col}) THEN {col} END AS doc FROM {table}) d WHERE doc IS NOT NULL) k) p"""
+
+
+@register("x7_x8_json_entries", "\nUNION ALL\n".join(_entries_sql(*d) for d in (
+    ("customer.metadata", "raw_stripe_customers", "metadata", "id"), ("customer.address", "raw_stripe_customers", "address", "id"),
+    ("charge.metadata", "raw_stripe_charges", "metadata", "id"))))
+def _x78(m: Model) -> DataFrame:
+    """X7 + X8: every key of the customers' metadata and address documents and of
+    the charges' metadata, as rows; no key is named."""
+    docs = (("customer.metadata", "stripe.customers", "metadata"), ("customer.address", "stripe.customers", "address"),
+            ("charge.metadata", "stripe.charges", "metadata"))
+    parts = [_json_entries(m.raw(t), c, ["id"]).withColumn("document", F.lit(name)) for name, t, c in docs]
+    return _reduce(DataFrame.unionByName, parts)
+
+
 @register("w1_w4_rolling_stats", "SELECT * FROM anomalies_all")
 def _w(m: Model) -> DataFrame:
     """Trailing 30-row mean / stddev, guarded z-scores and 2-sigma flags, every day."""
