@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -32,6 +33,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` from Parquet files in a new folder of the shared one: less disk than a checkpoint, and columns can be read apart."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def text_of(col: str) -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 

@@ -6,10 +6,12 @@ The work is cut into pieces that fit a task before any suffix is sorted:
 1. Each 200-byte window names its anchor, the least of the hashes of its
    64-byte strings. Equal windows name equal anchors, and the windows of one
    anchor stand side by side; together they are the anchor's context, which
-   belongs to no other. Only (anchor, context hash) travels.
-2. An anchor met once has no repeat. A context met twice is repeated whole.
-   What is left are anchors with several different contexts: one copy of
-   each such context is fetched, and anchors are dealt to slices.
+   belongs to no other. Only hashes and places travel, and only once: rows
+   are dealt by anchor and read in order of (anchor, context).
+2. A context met twice is repeated whole; an anchor met with one context only
+   has no other repeat. What is left are anchors with several different
+   contexts: one copy of each such context is fetched, and anchors are dealt
+   to slices.
 3. In a slice, shards of contexts get their suffixes sorted and become
    Burrows-Wheeler transforms. The transforms are merged by interleave
    refinement: all suffixes start in blocks by first symbol, and each round
@@ -23,6 +25,12 @@ The work is cut into pieces that fit a task before any suffix is sorted:
    its windows are counted by hash, dealt by window.
 5. Repeated starts become byte ranges of documents, and ranges are united.
 
+What would crowd one task is named beforehand by a sample of the documents,
+in two lists of at most LISTED hashes: contexts with very many copies, whose
+rows are known to be repeated and need not meet, and anchors with very many
+contexts, which are dealt by context. The lists say where rows go, never
+what is found: with other lists, or none, the result is the same.
+
 Defined results: a null text is an empty one; texts under 200 bytes keep all
 bytes; repeated rows are copies of each other; an empty table gives an empty
 result; other columns are not looked at.
@@ -37,12 +45,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, read, slices, text_of
+from .common import read, slices, text_of, written
 from .ngram_join import MULT, INVERSE, mixed, powers
 
 LENGTH, KMER, SYMBOL = 200, 64, 25
 SHARD, SLICE_ROWS, HOT = 1 << 19, 3_000, 2048
-BROADCAST_ROWS = 400_000
+#: the sample of the documents, how many copies or contexts in it make a hash a crowded one, how many are listed
+SAMPLED, CROWD_COPIES, CROWD_KINDS, LISTED = 1 / 32, 16, 64, 20_000
+#: rows of one anchor that are held at once; beyond it the anchor counts as one of more than HOT contexts
+HELD = 1 << 18
 BLOCK = 1 << 20
 _LOW = np.uint64((1 << 24) - 1)
 BYTE = np.random.default_rng(4).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -91,19 +102,121 @@ def _bytes(column) -> list[np.ndarray]:
     return [np.frombuffer(x.as_buffer(), np.uint8) for x in column.cast(pa.binary())]
 
 
-def contexts(docs: DataFrame) -> DataFrame:
-    """(uid, anchor, ctx, first, last) of all contexts of ``docs`` (uid, text)."""
+#: how a row travels: by its anchor, by its context, or as a range that is known to be repeated
+BY_ANCHOR, BY_CONTEXT, KNOWN = 0, 1, 2
+CONTEXTS = "uid long, anchor long, ctx long, first long, last long, how byte, n byte"
+
+
+def contexts(docs: DataFrame, copied: np.ndarray | None = None, crowded: np.ndarray | None = None) -> DataFrame:
+    """CONTEXTS of ``docs`` (uid, text); ranges of ``copied`` contexts, side by side, are one row each."""
+    copied = np.empty(0, np.int64) if copied is None else copied
+    crowded = np.empty(0, np.int64) if crowded is None else crowded
+    types = [pa.int64()] * 5 + [pa.int8()] * 2
+
+    def rows_of(u: int, data: np.ndarray):
+        for a, c, s, e in anchors(data):
+            a, c = a.view(np.int64), c.view(np.int64)
+            known = np.isin(c, copied)
+            own = ~known
+            yield np.full(own.sum(), u), a[own], c[own], s[own], e[own], np.where(np.isin(a[own], crowded), BY_CONTEXT, BY_ANCHOR), np.ones(own.sum(), np.int64)
+            lo, hi = runs(known).reshape(-1, 2).T
+            none = np.zeros(len(lo), np.int64)
+            yield np.full(len(lo), u), none, none, s[lo], e[hi], none + KNOWN, none + 1
+
     def run(batches):
         for batch in batches:
             for part in slices(batch, 1):
-                out: list[list] = [[np.empty(0, np.int64)] for _ in range(5)]
-                for u, data in zip(part.column(0).to_pylist(), _bytes(part.column(1))):
-                    for a, c, s, e in anchors(data):
-                        for col, x in zip(out, (np.full(len(a), u, np.int64), a.view(np.int64), c.view(np.int64), s, e)):
-                            col.append(x)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], names=["uid", "anchor", "ctx", "first", "last"])
+                found = [r for u, data in zip(part.column(0).to_pylist(), _bytes(part.column(1))) for r in rows_of(u, data)]
+                cols = [np.concatenate(x) for x in zip(*found)] if found else [np.empty(0)] * 7
+                yield pa.RecordBatch.from_arrays([pa.array(c.astype(t.to_pandas_dtype()), t) for c, t in zip(cols, types)],
+                                                 names=["uid", "anchor", "ctx", "first", "last", "how", "n"])
+
+    return docs.mapInArrow(run, CONTEXTS)
+
+
+def crowds(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, list]:
+    """(contexts with very many copies, anchors with very many contexts, one row for each of those contexts)."""
+    kinds = contexts(docs.sample(SAMPLED, 4)).groupBy("anchor", "ctx").agg(
+        F.count("*").alias("copies"), F.min(F.struct("uid", "first", "last")).alias("one"))
+    copied = kinds.filter(F.col("copies") >= CROWD_COPIES).orderBy(F.desc("copies"), "ctx").limit(LISTED).select("one.uid", "anchor", "ctx", "one.first", "one.last").collect()
+    crowded = kinds.groupBy("anchor").agg(F.count("*").alias("d")).filter(F.col("d") >= CROWD_KINDS).orderBy(F.desc("d"), "anchor").limit(LISTED).collect()
+    of = np.array([r.anchor for r in crowded], np.int64)
+    named = [(*r, BY_CONTEXT if r.anchor in of else BY_ANCHOR, 2) for r in copied]
+    return np.array([r.ctx for r in copied], np.int64), of, named
 
-    return docs.mapInArrow(run, "uid long, anchor long, ctx long, first long, last long")
+
+SETTLED = "whole boolean, uid long, anchor long, ctx long, first long, last long, twice boolean, hot boolean"
+
+
+def settle(most: int, hold: int):
+    """Rows in order of (anchor, ctx) become ranges that are repeated whole and,
+    where an anchor has other contexts beside one met once, one row per context.
+    An anchor with more than ``most`` contexts, or more than ``hold`` rows, is hot."""
+    names = [c.split()[0] for c in SETTLED.split(", ")]
+
+    def run(batches):
+        held, over = None, None
+
+        def table(whole, uid, anchor, ctx, first, last, twice, hot):
+            n = len(uid)
+            flags = [np.full(n, x, bool) if np.ndim(x) == 0 else x for x in (whole, twice, hot)]
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in (flags[0], uid, anchor, ctx, first, last, *flags[1:])], names=names)
+
+        def answer(uid, anchor, ctx, first, last, how, n):
+            if not len(uid):
+                return
+            new_anchor = np.concatenate([[True], anchor[1:] != anchor[:-1]])
+            new = new_anchor | np.concatenate([[True], ctx[1:] != ctx[:-1]])
+            start = np.flatnonzero(new)
+            run, total = np.cumsum(new) - 1, np.add.reduceat(n.astype(np.int64), start)
+            twice = total > 1
+            rep = twice[run]
+            none = np.zeros(rep.sum(), np.int64)
+            yield table(True, uid[rep], none, none, first[rep], last[rep], True, False)
+            group = np.cumsum(new_anchor[start]) - 1
+            d = np.bincount(group)
+            hot = (d > most) | (how[start[np.flatnonzero(new_anchor[start])]] == BY_CONTEXT)
+            if over is not None:
+                hot |= anchor[start[np.flatnonzero(new_anchor[start])]] == over
+            open_ = hot | (d > 1) & (np.bincount(group, ~twice) > 0)
+            at = start[open_[group]]
+            yield table(False, uid[at], anchor[at], ctx[at], first[at], last[at], twice[open_[group]], hot[group][open_[group]])
+
+        for batch in batches:
+            rows = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            known = rows[5] == KNOWN
+            if known.any():
+                zero = np.zeros(known.sum(), np.int64)
+                yield table(True, rows[0][known], zero, zero, rows[3][known], rows[4][known], True, False)
+                rows = [c[~known] for c in rows]
+            held = rows if held is None else [np.concatenate(x) for x in zip(held, rows)]
+            if not len(held[0]):
+                continue
+            tail = int(np.searchsorted(held[1], held[1][-1]))
+            yield from answer(*[c[:tail] for c in held])
+            held = [c[tail:] for c in held]
+            if len(held[0]) > hold:
+                over = held[1][-1]
+                tail = int(np.searchsorted(held[2], held[2][-1]))
+                yield from answer(*[c[:tail] for c in held])
+                held = [c[tail:].copy() for c in held]
+                if len(held[0]) > hold:  # copies of one context: one of them stands for the others
+                    zero = np.zeros(len(held[0]) - 1, np.int64)
+                    yield table(True, held[0][1:], zero, zero, held[3][1:], held[4][1:], True, False)
+                    held = [c[:1] for c in held]
+                    held[6][:] = 2
+        if held is not None:
+            yield from answer(*held)
+
+    return run
+
+
+def settled(docs: DataFrame) -> DataFrame:
+    """SETTLED of ``docs`` (uid, text), from a table in the shared folder."""
+    copied, crowded, named = crowds(docs)
+    rows = contexts(docs, copied, crowded).unionByName(docs.sparkSession.createDataFrame(named, CONTEXTS))
+    to = F.when(F.col("how") == BY_ANCHOR, F.col("anchor")).when(F.col("how") == BY_CONTEXT, F.col("ctx")).otherwise(F.xxhash64("uid", "first"))
+    return written(rows.repartition(to).sortWithinPartitions("anchor", "ctx").mapInArrow(settle(HOT, HELD), SETTLED), "contexts")
 
 
 def build(strings: list[np.ndarray]):
@@ -217,47 +330,52 @@ def runs(mark: np.ndarray) -> np.ndarray:
 
 def _slice(table: pa.Table) -> pa.Table:
     strings = [np.frombuffer(x.as_buffer(), np.uint8) for x in table["bytes"].combine_chunks()]
-    marks = repeated_starts(strings)
-    return table.select(["anchor", "ctx"]).append_column("starts", pa.array([runs(m) for m in marks], pa.list_(pa.int64())))
+    out = []
+    # a context met twice is repeated whole already, it stands here for the others
+    for mark, uid, first, twice in zip(repeated_starts(strings), table["uid"].to_pylist(), table["first"].to_pylist(), table["twice"].to_pylist()):
+        if not twice:
+            pairs = runs(mark).reshape(-1, 2) + first
+            out.append(np.column_stack([np.full(len(pairs), uid), pairs]))
+    rows = np.concatenate(out) if out else np.empty((0, 3), np.int64)
+    return pa.table({"uid": pa.array(rows[:, 0]), "first": pa.array(rows[:, 1]), "last": pa.array(rows[:, 2])})
 
 
 def fetched(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(anchor, ctx, bytes) for ``wanted`` (uid, anchor, ctx, first, last)."""
-    wanted = cut(wanted)
-    lists = wanted.groupBy("uid").agg(F.collect_list(F.struct("anchor", "ctx", "first", "last")).alias("w")).withColumnRenamed("uid", "_uid")
-    joined = docs.join(F.broadcast(lists) if wanted.count() <= BROADCAST_ROWS else lists, F.col("uid") == F.col("_uid")).select("text", "w")
+    """``wanted`` (uid, anchor, first, last, twice, hot) with the bytes of their windows."""
+    names = ["anchor", "first", "last", "twice", "hot"]
+    lists = wanted.groupBy(F.col("uid").alias("_uid")).agg(F.collect_list(F.struct(*names)).alias("w"))
+    joined = docs.join(lists.hint("merge"), F.col("uid") == F.col("_uid")).select("text", "w", "uid")
 
     def run(batches):
         for batch in batches:
             for part in slices(batch, 0):
-                rows = [(w["anchor"], w["ctx"], data[w["first"]:w["last"] + LENGTH].tobytes())
-                        for data, ws in zip(_bytes(part.column(0)), part.column(1).to_pylist()) for w in ws]
-                a, c, b = zip(*rows) if rows else ((), (), ())
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(c, pa.int64()), pa.array(b, pa.binary())], names=["anchor", "ctx", "bytes"])
+                rows = [(u, w["anchor"], w["first"], w["twice"], w["hot"], data[w["first"]:w["last"] + LENGTH].tobytes())
+                        for data, ws, u in zip(_bytes(part.column(0)), part.column(1).to_pylist(), part.column(2).to_pylist()) for w in ws]
+                cols = zip(*rows) if rows else [()] * 6
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, [pa.int64()] * 3 + [pa.bool_()] * 2 + [pa.binary()])],
+                                                 names=["uid", "anchor", "first", "twice", "hot", "bytes"])
 
-    return joined.mapInArrow(run, "anchor long, ctx long, bytes binary")
+    return joined.mapInArrow(run, "uid long, anchor long, first long, twice boolean, hot boolean, bytes binary")
 
 
 def _hot(strings: DataFrame) -> DataFrame:
-    """Repeated starts of the contexts of very common anchors: windows counted by hash."""
+    """(uid, first, last) of the repeated windows of contexts of very common anchors: windows counted by hash."""
     def run(batches):
         for batch in batches:
             for lo in range(0, batch.num_rows, 2000):
                 part = batch.slice(lo, 2000)
-                rows = [np.empty(0, np.int64)] * 4
-                cols = [[], [], [], []]
-                for a, c, x in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2)):
+                cols = [[np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, bool)]]
+                for u, first, twice, x in zip(*[part.column(i).to_pylist() for i in range(3)], part.column(3)):
                     data = np.frombuffer(x.as_buffer(), np.uint8)
                     s = np.arange(len(data) - LENGTH + 1)
-                    for col, v in zip(cols, (np.full(len(s), a), np.full(len(s), c), s, Hasher(data).ranges(s, s + LENGTH).view(np.int64))):
+                    window = Hasher(data).ranges(s, s + LENGTH).view(np.int64)
+                    for col, v in zip(cols, (np.full(len(s), u), s + first, window, np.full(len(s), twice))):
                         col.append(v)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c) if c else r) for c, r in zip(cols, rows)], names=["anchor", "ctx", "start", "window"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in cols], names=["uid", "start", "window", "twice"])
 
-    windows = strings.mapInArrow(run, "anchor long, ctx long, start long, window long")
-    met = windows.groupBy("anchor", "window").agg(F.count("*").alias("n")).filter("n > 1").select("anchor", "window")
-    hits = windows.join(met, ["anchor", "window"])
-    pair = F.flatten(F.transform(F.array_sort(F.collect_list("start")), lambda s: F.array(s, s)))
-    return hits.groupBy("anchor", "ctx").agg(pair.alias("starts"))
+    windows = strings.select("uid", "first", "twice", "bytes").mapInArrow(run, "uid long, start long, window long, twice boolean")
+    met = windows.groupBy(F.col("window").alias("_w")).agg(F.count("*").alias("n")).filter("n > 1").select("_w")
+    return windows.filter("not twice").join(met, F.col("window") == F.col("_w")).select("uid", F.col("start").alias("first"), F.col("start").alias("last"))
 
 
 def _cut_text(batches):
@@ -294,31 +412,14 @@ def _unite(batches):
 
 def spans(docs: DataFrame) -> DataFrame:
     """(uid, lo, hi): the byte ranges to remove; they may meet."""
-    rows = contexts(docs)
-    anchor = rows.groupBy(F.col("anchor").alias("_a")).agg(F.count("*").alias("n"), F.min("ctx").alias("lo"), F.max("ctx").alias("hi")).filter("n > 1")
-    found = cut(rows.join(anchor, F.col("anchor") == F.col("_a")).select(*rows.columns, (F.col("lo") == F.col("hi")).alias("whole")))
-    kinds = cut(found.filter("not whole").groupBy("anchor", "ctx").agg(F.count("*").alias("n"), F.min(F.struct("uid", "first", "last")).alias("one")))
-    per_anchor = kinds.groupBy(F.col("anchor").alias("_a")).agg(F.count("*").alias("d"), F.min("n").alias("least"))
-    marked = kinds.join(per_anchor, F.col("anchor") == F.col("_a"))
-    strings = cut(fetched(docs, marked.filter("least = 1").select("one.*", "anchor", "ctx"))
-                  .join(marked.select(F.col("anchor").alias("_a"), F.col("ctx").alias("_c"), "d"), (F.col("anchor") == F.col("_a")) & (F.col("ctx") == F.col("_c")))
-                  .groupBy("anchor", "ctx").agg(F.first("bytes").alias("bytes"), F.first("d").alias("d")))
-    usual, hot = strings.filter(F.col("d") <= HOT), strings.filter(F.col("d") > HOT).select("anchor", "ctx", "bytes")
-    slices_n = max(1, -(-usual.count() // SLICE_ROWS))
-    in_slices = usual.select("anchor", "ctx", "bytes", F.pmod(F.xxhash64("anchor"), F.lit(slices_n)).alias("_s")).groupBy("_s").applyInArrow(
-        _slice, "anchor long, ctx long, starts array<long>")
-    decided = cut(in_slices.unionByName(_hot(hot)).filter(F.size("starts") > 0))
-
-    # contexts met twice are repeated whole, whatever else is known of their anchor
-    twice = kinds.filter("n > 1").select("anchor", "ctx").withColumn("starts", F.lit(None).cast("array<long>"))
-    answer = decided.join(twice.select("anchor", "ctx"), ["anchor", "ctx"], "left_anti").unionByName(twice)
-    whole = found.filter("whole").select("uid", F.col("first").alias("lo"), (F.col("last") + LENGTH).alias("hi"))
-    part = found.filter("not whole").join(answer, ["anchor", "ctx"])
-    entire = part.filter("starts is null").select("uid", F.col("first").alias("lo"), (F.col("last") + LENGTH).alias("hi"))
-    pairs = F.transform(F.sequence(F.lit(0), F.size("starts") - 1, F.lit(2)), lambda i: F.struct(
-        (F.col("first") + F.get("starts", i)).alias("lo"), (F.col("first") + F.get("starts", i + 1) + LENGTH).alias("hi")))
-    some = part.filter("starts is not null").select("uid", F.explode(pairs).alias("p")).select("uid", "p.lo", "p.hi")
-    return whole.unionByName(entire).unionByName(some)
+    rows = settled(docs)
+    wanted = rows.filter("not whole")
+    strings = written(fetched(docs, wanted), "strings")
+    slices_n = max(1, -(-wanted.filter("not hot").count() // SLICE_ROWS))
+    usual = strings.filter("not hot").select("uid", "first", "twice", "bytes", F.pmod(F.xxhash64("anchor"), F.lit(slices_n)).alias("_s"))
+    found = usual.groupBy("_s").applyInArrow(_slice, "uid long, first long, last long").unionByName(_hot(strings.filter("hot")))
+    return rows.filter("whole").select("uid", "first", "last").unionByName(found).select(
+        "uid", F.col("first").alias("lo"), (F.col("last") + LENGTH).alias("hi"))
 
 
 def decide(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -326,10 +427,8 @@ def decide(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     text = text_of(text_col)
     keyed = docs.select(F.xxhash64(F.col(id_col), text).alias("uid"), text.alias("text"), F.col(id_col).cast("long").alias("doc_id"))
     met = spans(keyed.select("uid", "text")).groupBy("uid").agg(F.collect_list("lo").alias("lo"), F.collect_list("hi").alias("hi"))
-    ranges = cut(met.mapInArrow(_unite, "uid long, spans array<long>"))
-    few = ranges.agg(F.coalesce(F.sum(F.size("spans")), F.lit(0))).first()[0] <= BROADCAST_ROWS
-    ranges = ranges.withColumnRenamed("uid", "_uid")
-    joined = keyed.join(F.broadcast(ranges) if few else ranges, F.col("uid") == F.col("_uid"), "left")
+    ranges = met.mapInArrow(_unite, "uid long, spans array<long>").withColumnRenamed("uid", "_uid")
+    joined = keyed.join(ranges.hint("merge"), F.col("uid") == F.col("_uid"), "left")
     return joined.select("doc_id", "text", "spans").mapInArrow(_cut_text, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 

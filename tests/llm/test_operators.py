@@ -142,13 +142,30 @@ def brute_removed(rows):
 
 
 def test_suffix_dedup_equals_brute_force(spark, odd, monkeypatch):
-    for hot in (2048, 1):
-        monkeypatch.setattr(suffix_dedup, "HOT", hot)
-        got = Counter(tuple(r) for r in suffix_dedup.decide(odd).collect())
-        assert got == brute_removed([(d, x.encode()) for d, x in texts(odd)])
+    want = brute_removed([(d, x.encode()) for d, x in texts(odd)])
+    # usual; every anchor hot; no more than a row of an anchor held; all lists filled from all documents
+    for limits in ({}, {"HOT": 1}, {"HELD": 1}, {"SAMPLED": 1.0, "CROWD_COPIES": 2, "CROWD_KINDS": 2}, {"SAMPLED": 1.0, "CROWD_COPIES": 3, "CROWD_KINDS": 1, "HELD": 2}):
+        with monkeypatch.context() as m:
+            for name, value in limits.items():
+                m.setattr(suffix_dedup, name, value)
+            assert Counter(tuple(r) for r in suffix_dedup.decide(odd).collect()) == want, limits
     assert suffix_dedup.decide(odd.limit(0)).count() == 0
 
 
+def test_a_passage_among_many_neighbours_is_dealt_by_context(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    word = lambda n: bytes(rng.integers(97, 123, n).astype(np.uint8)).decode()
+    shared, short = word(230), word(120)
+    rows = [(i, word(150) + (shared if i % 2 else short) + word(150)) for i in range(60)] + [(100 + i, shared + "x" * (i % 3)) for i in range(20)] + [(0, None), (7, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute_removed([(d, (x or "").encode()) for d, x in rows])
+    for limits in ({}, {"HOT": 4, "HELD": 6}, {"SAMPLED": 1.0, "CROWD_COPIES": 4, "CROWD_KINDS": 4, "LISTED": 3}):
+        with monkeypatch.context() as m:
+            for name, value in limits.items():
+                m.setattr(suffix_dedup, name, value)
+            assert Counter(tuple(r) for r in suffix_dedup.decide(docs).collect()) == want, limits
+
+
 def test_merged_transforms_find_repeats_across_shards():
     rng = np.random.default_rng(3)
     seed = rng.integers(97, 100, 700).astype(np.uint8)
