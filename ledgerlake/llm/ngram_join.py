@@ -64,12 +64,14 @@ COMMON_MAX, COMMON_LOCAL, COMMON_LEAST = 100_000, 10_000, 4
 CELL = 1024
 #: a block of a component holds about this many classes and shingles; columns of one product
 BLOCK_CLASSES, BLOCK_SHINGLES, COLUMNS = 512, 1 << 20, 4096
+#: a cell of a component's links holds two blocks of this many classes, compared BLOCK_CLASSES by BLOCK_CLASSES
+LINK_CLASSES = 4096
 LEAF = 32
 #: rows (cls, sid) of 24 bytes each
 BROADCAST_ROWS = 250_000
 #: pairs of points a search holds before it folds them
 FOLD = 1 << 19
-BLOCK = 4 << 20
+BLOCK = 1 << 19
 
 _rng = np.random.default_rng(20240131)
 BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -87,10 +89,19 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+_powers: dict[int, np.ndarray] = {}
+
+
 def powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[:1] = 1
-    return np.cumprod(out, dtype=np.uint64)
+    """base ** 0 .. base ** (n - 1), to be read only: up to two blocks of them are kept."""
+    kept = _powers.get(int(base))
+    if kept is None or len(kept) < n:
+        kept = np.full(max(n, min(2 * n, 2 * BLOCK)), base, np.uint64)
+        kept[:1] = 1
+        kept = np.cumprod(kept, dtype=np.uint64)
+        if len(kept) <= 2 * BLOCK:
+            _powers[int(base)] = kept
+    return kept[:n]
 
 
 def word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -259,9 +270,9 @@ def spanning(rows: DataFrame, sets: DataFrame) -> DataFrame:
     return cut(dealt.mapInArrow(run, "a long, b long"))
 
 
-def blocks_for(classes, shingles):
+def blocks_for(classes, shingles, most: int = BLOCK_CLASSES):
     """How many blocks a group of so many classes and shingles is dealt in."""
-    return F.greatest(F.ceil(classes / BLOCK_CLASSES), F.ceil(shingles / BLOCK_SHINGLES)).cast("long")
+    return F.greatest(F.ceil(classes / most), F.ceil(shingles / BLOCK_SHINGLES)).cast("long")
 
 
 def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
@@ -343,6 +354,28 @@ def _fold(codes: np.ndarray, low: np.ndarray, high: np.ndarray, count: np.ndarra
     return codes[at], np.minimum.reduceat(low[order], at), np.maximum.reduceat(high[order], at), np.add.reduceat(count[order], at)
 
 
+def _leaves(lo: np.ndarray, hi: np.ndarray, points: np.ndarray, size: np.ndarray, comp: np.ndarray):
+    """Survivors (p, q) of the groups lo .. hi that are a leaf on their own: a tree without boxes, for many groups at once."""
+    one = (hi - lo > 1) & (hi - lo <= LEAF)
+    lo, hi = lo[one], hi[one]
+    at = np.arange((hi - lo).sum()) + np.repeat(lo - (np.cumsum(hi - lo) - (hi - lo)), hi - lo)
+    later = np.repeat(hi, hi - lo) - at - 1
+    ends = np.cumsum(later)
+    start = 0
+    while start < len(at):
+        stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + (1 << 15), side="right")))
+        p, times = at[start:stop], later[start:stop]
+        first = np.cumsum(times) - times
+        p = np.repeat(p, times)
+        q = p + 1 + np.arange(len(p)) - np.repeat(first, times)
+        ok = (comp[p] != comp[q]) & (4 * size[p] >= 3 * size[q]) & (4 * size[q] >= 3 * size[p])
+        p, q = p[ok], q[ok]
+        bound = np.minimum(points[p], points[q]).sum(axis=1, dtype=np.int64)
+        ok = 7 * bound >= 3 * (size[p] + size[q])
+        yield p[ok], q[ok]
+        start = stop
+
+
 def _search(table: pa.Table) -> pa.Table:
     """Survivors of one bucket of (key, cell) groups: for each pair of blocks the
     classes that have some, with the sizes of their partners and at how many keys."""
@@ -370,8 +403,18 @@ def _search(table: pa.Table) -> pa.Table:
         return _fold(codes, partner, partner, (~again).astype(np.int64))
 
     held, n = [], 0
-    for lo, hi in zip(edges[:-1], edges[1:]):
-        if hi - lo > 1 and (comp[lo:hi] != comp[lo]).any():
+    # groups of one leaf are compared side by side
+    for p, q in _leaves(edges[:-1], edges[1:], points, size, comp):
+        mine = np.minimum(own[p], own[q]) * blocks[p] + np.maximum(own[p], own[q]) == cell[p]
+        if mine.any():
+            held.append((p[mine], q[mine]))
+            n += int(mine.sum())
+        if n > FOLD:
+            total = _fold(*(np.concatenate(x) for x in zip(total, ends(held))))
+            held, n = [], 0
+    large = np.flatnonzero(np.diff(edges) > LEAF)
+    for lo, hi in zip(edges[large], edges[large + 1]):
+        if (comp[lo:hi] != comp[lo]).any():
             for p, q in Tree(points[lo:hi], size[lo:hi], comp[lo:hi]).pairs():
                 p, q = p + lo, q + lo
                 # of the cells that two classes of a block share, one counts the pair
@@ -437,6 +480,21 @@ def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
 
     if len(both):
         (ri, ci), (rj, cj) = places(left), places(right)
+        # shingles of few sets are counted pair by pair, the others by products
+        ti, tj = np.bincount(ci, minlength=len(both)), np.bincount(cj, minlength=len(both))
+        few = 512 * ti * tj <= len(left) * len(right)
+        flat = out.ravel()
+        i, j = few[ci], few[cj]
+        (pi, qi), pj = (ri[i], ci[i]), rj[j]
+        begin = np.cumsum(np.where(few, tj, 0)) - np.where(few, tj, 0)
+        for lo in range(0, len(pi), 1 << 16):
+            p, q = pi[lo:lo + (1 << 16)], qi[lo:lo + (1 << 16)]
+            times = tj[q]
+            offset = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+            np.add.at(flat, np.repeat(p, times) * len(right) + pj[np.repeat(begin[q], times) + offset], 1)
+        name = np.cumsum(~few) - 1
+        (ri, ci), (rj, cj) = (ri[~i], name[ci[~i]]), (rj[~j], name[cj[~j]])
+        both = both[~few]
         for lo in range(0, len(both), COLUMNS):
             width = min(COLUMNS, len(both) - lo)
             x, y = np.zeros((len(left), width), np.float32), np.zeros((len(right), width), np.float32)
@@ -455,22 +513,32 @@ def _cell_links(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
     left, right = [r for r in rows if r[3] == i], [r for r in rows if r[3] == j]
     if not left or not right:
         return none, none
+    found = [(none, none)]
+    for x in range(0, len(left), BLOCK_CLASSES):
+        for y in range(x if i == j else 0, len(right), BLOCK_CLASSES):
+            found.append(_linked(left[x:x + BLOCK_CLASSES], right[y:y + BLOCK_CLASSES], i == j and x == y))
+    a, b = (np.concatenate(x) for x in zip(*found))
+    return np.minimum(a, b), np.maximum(a, b)
+
+
+def _linked(left: list[tuple], right: list[tuple], same: bool) -> tuple[np.ndarray, np.ndarray]:
+    """The linked pairs of two blocks, or of one with itself."""
     a, b = (np.array([r[2] for r in side], np.int64) for side in (left, right))
     x = [np.frombuffer(r[5], np.uint64) for r in left]
-    y = x if i == j else [np.frombuffer(r[5], np.uint64) for r in right]
+    y = x if same else [np.frombuffer(r[5], np.uint64) for r in right]
     na, nb = (np.array([len(s) for s in side], np.int64) for side in (x, y))
     ok = 7 * overlaps(x, y) >= 3 * (na[:, None] + nb[None])
-    if i == j:
+    if same:
         ok &= a[:, None] < b[None]
     p, q = np.nonzero(ok)
-    return np.minimum(a[p], b[q]), np.maximum(a[p], b[q])
+    return a[p], b[q]
 
 
 def inside(found: DataFrame, sets: DataFrame, classes: DataFrame, pairs: bool = False) -> DataFrame:
     """All links of the components ``found`` (cls, comp): n_links of each linked
     class or, with ``pairs``, the links (a, b)."""
     sizes = found.join(classes.select("cls", "n"), "cls").groupBy("comp").agg(F.count("*").alias("m"), F.sum("n").alias("total")).filter("m > 1")
-    blocks = blocks_for(F.col("m"), F.col("total"))
+    blocks = blocks_for(F.col("m"), F.col("total"), LINK_CLASSES)
     need = found.join(sizes.select("comp", blocks.alias("blocks")), "comp")
     own = F.pmod(F.xxhash64("cls"), F.col("blocks"))
     # a pair of two blocks meets in their one cell, a pair of one block is counted in the block's own cell

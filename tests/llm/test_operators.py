@@ -221,6 +221,7 @@ def brute_links(rows):
 @pytest.mark.parametrize("block, shingles", [(512, 1 << 20), (5, 1 << 20), (512, 2000)])
 def test_ngram_join_counts_all_links(spark, odd, monkeypatch, block, shingles):
     monkeypatch.setattr(ngram_join, "BLOCK_CLASSES", block)
+    monkeypatch.setattr(ngram_join, "LINK_CLASSES", block)
     monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", shingles)
     words = [f"u{i}" for i in range(120)]
     # all linked to each other, then a chain whose ends are not
@@ -404,3 +405,41 @@ def test_pipeline_stages(spark):
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
     out = corpus_pipeline.run(spark, SF).toPandas()
     assert len(out) and out.groupby("sequence_id").length.sum().max() <= 4096
+
+
+def test_small_groups_are_compared_like_trees(monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = []
+    for key in range(40):
+        base = rng.integers(0, 6, ngram_join.GROUPS)
+        for cls in rng.choice(300, rng.integers(1, 50), replace=False):
+            rows.append((key, 0, int(cls), int(cls) % 7, 0, 1, int(cls) % 5, base))
+    size = {r[2]: int(rng.integers(150, 190)) for r in rows}
+    vec = {r[2]: (r[7] + rng.integers(0, 2, ngram_join.GROUPS)).astype(np.uint8).tobytes() for r in rows}
+    names = ("key", "cell", "cls", "comp", "own", "blocks", "blk")
+    table = pa.table({**{n: pa.array([r[i] for r in rows], pa.int64()) for i, n in enumerate(names)},
+                      "n": pa.array([size[r[2]] for r in rows], pa.int64()), "vec": pa.array([vec[r[2]] for r in rows], pa.binary())})
+    got = []
+    for leaf in (2, 8, 32, 64):
+        monkeypatch.setattr(ngram_join, "LEAF", leaf)
+        got.append(sorted(map(tuple, ngram_join._search(table).to_pandas().itertuples(index=False))))
+    assert got[0] and all(g == got[0] for g in got)
+
+
+def test_cells_and_overlaps_equal_plain_sets(monkeypatch):
+    rng = np.random.default_rng(6)
+    core, other = rng.integers(1, 1 << 62, 40), rng.integers(1, 1 << 62, 200)
+    sets = [np.unique(np.concatenate([core[rng.random(40) < .95], rng.choice(other, rng.integers(0, 12))])).astype(np.uint64) for _ in range(90)]
+    plain = [set(s.tolist()) for s in sets]
+    got = ngram_join.overlaps(sets[:50], sets[50:])
+    assert got.tolist() == [[len(a & b) for b in plain[50:]] for a in plain[:50]]
+    want = {(i, j) for i in range(90) for j in range(i + 1, 90) if 4 * len(plain[i] & plain[j]) >= 3 * len(plain[i] | plain[j])}
+    assert 0 < len(want) < 90 * 89 / 2
+    for most in (512, 7):
+        monkeypatch.setattr(ngram_join, "BLOCK_CLASSES", most)
+        found = []
+        for i in range(3):
+            for j in range(i, 3):
+                rows = [(0, i * 3 + j, c, c % 3, 3, sets[c].tobytes()) for c in range(90) if c % 3 in (i, j)]
+                found += list(zip(*(x.tolist() for x in ngram_join._cell_links(rows))))
+        assert len(found) == len(set(found)) and set(found) == want
