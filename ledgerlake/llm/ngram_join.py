@@ -60,7 +60,8 @@ from .common import cut, read, slices, text_of
 
 WORDS = 5
 GROUPS = 64
-COMMON_MAX, COMMON_LOCAL, COMMON_LEAST = 100_000, 10_000, 4
+#: the common shingles: listed in all, named by a task, texts of a task that make one; counters of a task
+COMMON_MAX, COMMON_LOCAL, COMMON_LEAST, COUNTERS = 200_000, 30_000, 4, 1 << 24
 CELL = 1024
 #: a block of a component holds about this many classes and shingles; columns of one product
 BLOCK_CLASSES, BLOCK_SHINGLES, COLUMNS = 512, 1 << 20, 4096
@@ -71,6 +72,8 @@ LEAF = 32
 BROADCAST_ROWS = 250_000
 #: pairs of points a search holds before it folds them
 FOLD = 1 << 19
+#: rows of a bucket of the search
+BUCKET_ROWS = 20_000
 BLOCK = 1 << 19
 
 _rng = np.random.default_rng(20240131)
@@ -196,7 +199,9 @@ def described(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("sid", pa.binary()), ("vec", pa.binary()), ("key", pa.int64()), ("c", pa.int64())])
 
     def run(batches):
-        keys, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
+        # a counter stands for all shingles that fall on it, so a count may be too high, never too low
+        counters, keys = np.zeros(COUNTERS, np.uint16), np.empty(0, np.uint64)
+        slot = np.uint64(COUNTERS - 1)
         for batch in batches:
             for part in slices(batch, 1):
                 sets = list(shingle_sets(part.column(1)))
@@ -204,22 +209,20 @@ def described(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
                 # copies of one set count once
                 own = list({s.tobytes(): s for s in sets if len(s)}.values())
                 if own:
-                    k, inverse = np.unique(np.concatenate([keys, *own]), return_inverse=True)
-                    c = np.zeros(len(k), np.int64)
-                    np.add.at(c, inverse, np.concatenate([counts, np.ones(sum(map(len, own)), np.int64)]))
-                    stay = c > 1
-                    keys, counts = k[stay], c[stay]
-                    if len(keys) > 4 * COMMON_LOCAL:
-                        top = np.sort(np.argpartition(counts, -2 * COMMON_LOCAL)[-2 * COMMON_LOCAL:])
-                        keys, counts = keys[top], counts[top]
-        stay = np.flatnonzero(counts >= COMMON_LEAST)
-        stay = stay[np.argsort(-counts[stay], kind="stable")[:COMMON_LOCAL]]
+                    k, c = np.unique(np.concatenate(own), return_counts=True)
+                    at = k & slot
+                    counters[at] = np.minimum(counters[at] + c, 60_000)
+                    keys = np.union1d(keys, k[counters[at] >= COMMON_LEAST])
+                    if len(keys) > 8 * COMMON_LOCAL:
+                        keys = np.sort(keys[np.argpartition(counters[keys & slot], -4 * COMMON_LOCAL)[-4 * COMMON_LOCAL:]])
+        counts = counters[keys & slot].astype(np.int64)
+        stay = np.argsort(-counts, kind="stable")[:COMMON_LOCAL]
         yield _arrow(schema, [(None, None, None, None, k, c) for k, c in zip(keys[stay].view(np.int64).tolist(), counts[stay].tolist())])
 
     both = cut(rows.mapInArrow(run, "doc_id long, n long, sid binary, vec binary, key long, c long"))
     top = both.filter("sid is null").groupBy("key").agg(F.sum("c").alias("c")).orderBy(F.desc("c"), "key").limit(COMMON_MAX)
     return (both.filter("sid is not null").select("doc_id", "n", "sid", "vec"),
-            np.sort(np.array([r["key"] for r in top.collect()], np.int64).view(np.uint64)))
+            np.sort(top.select("key").toArrow()["key"].to_numpy().astype(np.int64).view(np.uint64)))
 
 
 def full_sets(docs: DataFrame, need: DataFrame, **cols) -> DataFrame:
@@ -389,10 +392,11 @@ def _search(table: pa.Table) -> pa.Table:
     names, block = np.unique(blk, return_inverse=True)
     edges = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (cell[1:] != cell[:-1]), [True]]))
     group = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
+    weight = table["w"].to_numpy()[order][edges[:-1]]
     total = (np.empty(0, np.int64),) * 4
 
     def ends(held):
-        """Both ends of survivors, folded; a group counts once for a class."""
+        """Both ends of survivors, folded; a group counts once for a class, with all its keys."""
         p, q = (np.concatenate(x) for x in zip(*held))
         pair = np.minimum(block[p], block[q]) * len(names) + np.maximum(block[p], block[q])
         codes = np.concatenate([pair * len(classes) + c[p], pair * len(classes) + c[q]])
@@ -400,12 +404,19 @@ def _search(table: pa.Table) -> pa.Table:
         order = np.lexsort((met, codes))
         codes, partner, met = codes[order], partner[order], met[order]
         again = np.concatenate([[False], (codes[1:] == codes[:-1]) & (met[1:] == met[:-1])])
-        return _fold(codes, partner, partner, (~again).astype(np.int64))
+        return _fold(codes, partner, partner, np.where(again, 0, weight[met]))
+
+    ct, beyond = table["ct"].to_numpy()[order], -(-3 * size // 4) - 1
+
+    def counted_here(p, q):
+        # the bound of ``reaches`` below, with all keys of a class; of the cells that two classes of a block share, one counts the pair
+        near = 7 * (np.minimum(ct[p], ct[q]) + np.maximum(beyond[p], beyond[q])) >= 3 * (size[p] + size[q])
+        return near & (np.minimum(own[p], own[q]) * blocks[p] + np.maximum(own[p], own[q]) == cell[p])
 
     held, n = [], 0
     # groups of one leaf are compared side by side
     for p, q in _leaves(edges[:-1], edges[1:], points, size, comp):
-        mine = np.minimum(own[p], own[q]) * blocks[p] + np.maximum(own[p], own[q]) == cell[p]
+        mine = counted_here(p, q)
         if mine.any():
             held.append((p[mine], q[mine]))
             n += int(mine.sum())
@@ -417,8 +428,7 @@ def _search(table: pa.Table) -> pa.Table:
         if (comp[lo:hi] != comp[lo]).any():
             for p, q in Tree(points[lo:hi], size[lo:hi], comp[lo:hi]).pairs():
                 p, q = p + lo, q + lo
-                # of the cells that two classes of a block share, one counts the pair
-                mine = np.minimum(own[p], own[q]) * blocks[lo] + np.maximum(own[p], own[q]) == cell[lo]
+                mine = counted_here(p, q)
                 if mine.any():
                     held.append((p[mine], q[mine]))
                     n += int(mine.sum())
@@ -439,16 +449,24 @@ def searched(members: DataFrame, labels: DataFrame, vectors: DataFrame, dealt: D
     """(ba, bb, cls, comp): the classes that the trees leave over for each pair of blocks, from
     keys whose classes lie in several components. ``dealt`` (cls, blk) names each class's block."""
     rows = members.join(labels, "cls")
-    open_keys = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m")).filter("lo < hi")
-    rows = rows.join(open_keys.select("key", "m"), "key")
+    # keys of the very same classes, such as those of one passage, are one key that counts so often
+    same = [F.bit_xor(F.xxhash64("cls")).alias("x"), F.bit_xor(F.xxhash64("cls", F.lit(1))).alias("y")]
+    open_keys = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m"),
+                                         F.min("cls").alias("head"), *same).filter("lo < hi")
+    open_keys = open_keys.groupBy("m", "x", "y").agg(F.min("key").alias("key"), F.count("*").alias("w"), F.first("head").alias("head"))
+    rows = rows.join(open_keys.select("key", "m", "w", "head"), "key")
     # cells of a common key: a class joins one row and one column of the triangle of blocks
     blocks = F.ceil(F.col("m") / CELL).cast("int")
     own = F.pmod(F.xxhash64("cls"), blocks).cast("int")
     cells = F.transform(F.sequence(F.lit(0), blocks - 1), lambda j: F.least(own, j) * blocks + F.greatest(own, j))
-    rows = cut(rows.select("key", "cls", "comp", own.alias("own"), blocks.alias("blocks"), F.explode(cells).alias("cell"))
-               .join(vectors.join(dealt, "cls"), "cls"))
-    buckets = max(1, -(-rows.count() // 20_000))
-    rows = rows.withColumn("_b", F.pmod(F.xxhash64("key", "cell"), F.lit(buckets)))
+    # no pair shares more of these keys than either of its classes has
+    most = rows.groupBy("cls").agg(F.sum("w").alias("ct"))
+    rows = cut(rows.select("key", "head", "w", "cls", "comp", own.alias("own"), blocks.alias("blocks"), F.explode(cells).alias("cell"))
+               .join(vectors.join(dealt, "cls").join(most, "cls"), "cls"))
+    buckets = max(1, -(-rows.count() // BUCKET_ROWS))
+    # keys with one smallest class mostly hold the same classes: they share a bucket as far as they fit, and fold there
+    heads = rows.groupBy("head", "cell").agg(F.ceil(F.count("*") / BUCKET_ROWS).alias("parts"))
+    rows = rows.join(heads, ["head", "cell"]).withColumn("_b", F.pmod(F.xxhash64("head", "cell", F.pmod(F.xxhash64("key"), F.col("parts"))), F.lit(buckets))).drop("head", "parts")
     ends = rows.groupBy("_b").applyInArrow(_search, "ba long, bb long, cls long, comp long, n long, low long, high long, c long")
     ends = ends.groupBy("ba", "bb", "cls", "comp", "n").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("c").alias("c"))
 

@@ -416,9 +416,11 @@ def test_small_groups_are_compared_like_trees(monkeypatch):
             rows.append((key, 0, int(cls), int(cls) % 7, 0, 1, int(cls) % 5, base))
     size = {r[2]: int(rng.integers(150, 190)) for r in rows}
     vec = {r[2]: (r[7] + rng.integers(0, 2, ngram_join.GROUPS)).astype(np.uint8).tobytes() for r in rows}
+    rows = [(*r, 1 + r[0] % 3) for r in rows]
     names = ("key", "cell", "cls", "comp", "own", "blocks", "blk")
     table = pa.table({**{n: pa.array([r[i] for r in rows], pa.int64()) for i, n in enumerate(names)},
-                      "n": pa.array([size[r[2]] for r in rows], pa.int64()), "vec": pa.array([vec[r[2]] for r in rows], pa.binary())})
+                      "n": pa.array([size[r[2]] for r in rows], pa.int64()), "vec": pa.array([vec[r[2]] for r in rows], pa.binary()),
+                      "w": pa.array([r[8] for r in rows], pa.int64()), "ct": pa.array([10 + r[2] % 20 for r in rows], pa.int64())})
     got = []
     for leaf in (2, 8, 32, 64):
         monkeypatch.setattr(ngram_join, "LEAF", leaf)
