@@ -61,7 +61,7 @@ from .common import cut, read, slices, text_of
 WORDS = 5
 GROUPS = 64
 #: the common shingles: listed in all, named by a task, texts of a task that make one; counters of a task
-COMMON_MAX, COMMON_LOCAL, COMMON_LEAST, COUNTERS = 200_000, 30_000, 4, 1 << 24
+COMMON_MAX, COMMON_LOCAL, COMMON_LEAST, COUNTERS = 100_000, 30_000, 4, 1 << 24
 CELL = 1024
 #: a block of a component holds about this many classes and shingles; columns of one product
 BLOCK_CLASSES, BLOCK_SHINGLES, COLUMNS = 512, 1 << 20, 4096
@@ -230,7 +230,7 @@ def described(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
         least = r["step"]
     top = top.filter(F.col("step") >= F.lit(least))
     return (both.filter("sid is not null").select("doc_id", "n", "sid", "vec"),
-            np.sort(top.select("key").toArrow()["key"].to_numpy().astype(np.int64).view(np.uint64)))
+            np.sort(np.array([r["key"] for r in top.select("key").collect()], np.int64).view(np.uint64)))
 
 
 def full_sets(docs: DataFrame, need: DataFrame, **cols) -> DataFrame:
@@ -462,7 +462,7 @@ def searched(members: DataFrame, labels: DataFrame, vectors: DataFrame, dealt: D
     open_keys = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m"),
                                          F.min("cls").alias("head"), *same).filter("lo < hi")
     open_keys = open_keys.groupBy("m", "x", "y").agg(F.min("key").alias("key"), F.count("*").alias("w"), F.first("head").alias("head"))
-    rows = rows.join(open_keys.select("key", "m", "w", "head"), "key")
+    rows = cut(rows.join(open_keys.select("key", "m", "w", "head"), "key"))
     # cells of a common key: a class joins one row and one column of the triangle of blocks
     blocks = F.ceil(F.col("m") / CELL).cast("int")
     own = F.pmod(F.xxhash64("cls"), blocks).cast("int")
