@@ -462,19 +462,20 @@ def searched(members: DataFrame, labels: DataFrame, vectors: DataFrame, dealt: D
     open_keys = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m"),
                                          F.min("cls").alias("head"), *same).filter("lo < hi")
     open_keys = open_keys.groupBy("m", "x", "y").agg(F.min("key").alias("key"), F.count("*").alias("w"), F.first("head").alias("head"))
-    rows = cut(rows.join(open_keys.select("key", "m", "w", "head"), "key"))
+    # keys with one smallest class mostly hold the same classes: they share a bucket as far as they fit, and fold there
+    fit = open_keys.groupBy("head").agg(F.ceil(F.sum(F.col("m") * F.ceil(F.col("m") / CELL)) / BUCKET_ROWS).alias("parts"))
+    rows = cut(rows.join(open_keys.join(fit, "head").select("key", "m", "w", "head", "parts"), "key"))
     # cells of a common key: a class joins one row and one column of the triangle of blocks
     blocks = F.ceil(F.col("m") / CELL).cast("int")
     own = F.pmod(F.xxhash64("cls"), blocks).cast("int")
     cells = F.transform(F.sequence(F.lit(0), blocks - 1), lambda j: F.least(own, j) * blocks + F.greatest(own, j))
     # no pair shares more of these keys than either of its classes has
     most = rows.groupBy("cls").agg(F.sum("w").alias("ct"))
-    rows = cut(rows.select("key", "head", "w", "cls", "comp", own.alias("own"), blocks.alias("blocks"), F.explode(cells).alias("cell"))
+    rows = cut(rows.select("key", "head", "parts", "w", "cls", "comp", own.alias("own"), blocks.alias("blocks"), F.explode(cells).alias("cell"))
                .join(vectors.join(dealt, "cls").join(most, "cls"), "cls"))
     buckets = max(1, -(-rows.count() // BUCKET_ROWS))
-    # keys with one smallest class mostly hold the same classes: they share a bucket as far as they fit, and fold there
-    heads = rows.groupBy("head", "cell").agg(F.ceil(F.count("*") / BUCKET_ROWS).alias("parts"))
-    rows = rows.join(heads, ["head", "cell"]).withColumn("_b", F.pmod(F.xxhash64("head", "cell", F.pmod(F.xxhash64("key"), F.col("parts"))), F.lit(buckets))).drop("head", "parts")
+    family = F.xxhash64("head", "cell", F.pmod(F.xxhash64("key"), F.col("parts")))
+    rows = rows.withColumn("_b", F.pmod(family, F.lit(buckets))).drop("head", "parts")
     ends = rows.groupBy("_b").applyInArrow(_search, "ba long, bb long, cls long, comp long, n long, low long, high long, c long")
     ends = ends.groupBy("ba", "bb", "cls", "comp", "n").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("c").alias("c"))
 
