@@ -9,6 +9,7 @@ import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
 from ledgerlake.llm import (exact_dedup, language_id, license_scan, mixing, ngram_join, packing, pii, quality,
@@ -381,6 +382,21 @@ def test_license_scan_leaves_prose_alone_and_reads_short_lines(spark):
     assert len(prose) > 800 and flagged < 0.01 * len(prose), flagged
 
 
+def test_license_scan_weighs_lines_as_the_model_does(spark):
+    lines = [["mit"], ["ünïcode", "日本語", "a", "a", "a"], ["x" * 1000, "y"], ["the"] * 50, [], ["released", "under", "the", "mit", "license"]]
+    rows = spark.createDataFrame([(i, w) for i, w in enumerate(lines)], "i long, words array<string>")
+    labelled = license_scan.template_rows(spark).withColumn("label", F.when(F.col("family") == "mit", 1.0).when(F.col("family") == "bsd", 2.0).otherwise(0.0))
+    model = LogisticRegression(maxIter=3, regParam=1e-3, family="multinomial", standardization=False).fit(license_scan.features(labelled))
+    made = license_scan.features(rows)
+    want = {r.i: (sorted(r.features.indices.tolist()), r.probability.toArray().tolist()) for r in model.transform(made).collect()}
+    line, bucket = license_scan.gram_buckets(pa.array(lines, pa.list_(pa.string())).slice(0))
+    assert [sorted(bucket[line == i].tolist()) for i in want] == [want[i][0] for i in want]
+    got = {r.i: r.p for r in license_scan.probable(rows, model).collect()}
+    assert got.keys() == want.keys() and all(got[i] == pytest.approx(want[i][1], abs=1e-12) for i in want)
+    few = {r.i for r in license_scan.probable(rows, model, 0.5).collect()}
+    assert few == {i for i in want if want[i][1][0] < 0.5}
+
+
 def test_license_scan_finds_whole_texts_and_embedded_notices(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").filter("doc_id >= 60")
     prose = " ".join(x for _, x in texts(docs.filter("doc_id < 70")) if x).replace("\n", " ").split()
