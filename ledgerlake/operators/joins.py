@@ -6,6 +6,9 @@
   a third of the rows unmatchable (e.g. every Plaid row in the customer
   lookup) this keeps the sort-merge join balanced; AQE's skew-join split
   handles hot *matching* keys.
+* ``left_join_matchable`` -- the same join for a left side that is cheap to
+  read twice: rows that can never match pass beside the join and are not
+  shuffled at all.
 * ``id_lookup`` (J10) -- one-pass unpivot of several id columns into a
   ``(owner, source_id, system)`` lookup.
 * ``not_in`` (J7) and ``anti_join_target`` (J8/J9) -- NULL-safe anti-joins.
@@ -62,6 +65,25 @@ def left_join_spread(
     return out.drop(*jks, *rks)
 
 
+def left_join_matchable(
+    left: DataFrame,
+    right: DataFrame,
+    pairs: list[tuple[str, str]],
+    matchable: Column | None = None,
+) -> DataFrame:
+    """``left LEFT JOIN right ON left.a = right.b AND ...`` (string keys), rows as from ``left_join_spread``.
+
+    ``left`` is read twice, so it must be a table or a row-local projection of one."""
+    ok = F.lit(True) if matchable is None else F.coalesce(matchable, F.lit(False))
+    for lc, _ in pairs:
+        ok = ok & F.col(lc).isNotNull()
+    l2 = left.filter(ok)
+    cond = [l2[lc].cast("string") == right[rc].cast("string") for lc, rc in pairs]
+    joined = l2.join(right, cond, "left")
+    rest = left.filter(~ok).withColumns({f.name: F.lit(None).cast(f.dataType) for f in right.schema})
+    return joined.unionByName(rest)
+
+
 def id_lookup(df: DataFrame, owner: str, id_cols: dict[str, str]) -> DataFrame:
     """Unpivot ``{system: id column}`` into (owner, source_id, sys), no NULL ids."""
     n = len(id_cols)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,7 +18,7 @@ from ledgerlake.functions import (
     surrogate_key,
     week_of_year_sunday,
 )
-from ledgerlake.operators.joins import id_lookup, left_join_spread
+from ledgerlake.operators.joins import id_lookup, left_join_matchable, left_join_spread
 from ledgerlake.params import DEFAULT, RunParams
 
 # decimal type of aggregated money columns (sum of BASE, cast back)
@@ -33,18 +35,21 @@ def customer_lookup(golden: DataFrame) -> DataFrame:
     return id_lookup(golden, "customer_golden_id", LOOKUP_SYSTEMS)
 
 
-def fct_transactions(utx: DataFrame, golden: DataFrame) -> DataFrame:
-    """M26. The runtime broadcasts the lookup if its measured size allows."""
+def fct_transactions(utx: DataFrame, golden: DataFrame, finish: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """M26. The lookup grows with the customers, and the size estimated from its compressed files is a
+    tenth of its rows': it is never broadcast on that estimate, the join is the same at every size.
+
+    ``utx`` may be the spine's narrower rows with ``finish`` to make whole rows of them after the join."""
     lk = customer_lookup(golden)
     # rows from systems without a lookup (plaid) or with no entity id can
-    # never match: spread them instead of piling them on the NULL key
-    j = left_join_spread(
+    # never match: they pass beside the join
+    j = left_join_matchable(
         utx,
-        lk,
+        lk.hint("merge"),
         [("source_entity_id", "source_id"), ("source_system", "sys")],
-        spread_col="transaction_unified_id",
         matchable=F.col("source_system").isin(*LOOKUP_SYSTEMS),
     )
+    j = finish(j) if finish else j
     cat = F.col("transaction_category")
     amt = F.col("amount")
     zero = F.lit(0).cast(AMT)

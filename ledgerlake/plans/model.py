@@ -72,17 +72,18 @@ class Model:
             clone.__dict__[n] = cut(df)
         return clone
 
-    def _table(self, df: DataFrame, name: str, partition_by: tuple[str, str] | None = None) -> DataFrame:
+    def _table(self, df: DataFrame, name: str, partition_by: tuple[str, str] | None = None, finish=None) -> DataFrame:
         """A model the reference materializes as a table and several jobs read:
         written once per run as parquet files in the shared folder, so readers
         get the columns and partitions they need and a lost executor's tasks read the files again."""
         if not self.materialize_tables:
+            df = finish(df) if finish else df
             return sinks.partition_column(df, *partition_by)[0] if partition_by else df
         # a new Dataset over the shared (already analysed) plan: fresh physical
         # plan and shuffles, so a new run never reuses an earlier run's output
         df = df.select("*")
         path = f"{shared_folder(self.spark)}/{name}-{uuid.uuid4().hex}"
-        sinks.write_table(df, path, partition_by, compression="snappy")  # read a few times, then gone
+        sinks.write_table(df, path, partition_by, finish=finish)
         return sinks.read_table(self.spark, path)
 
     # intermediate ---------------------------------------------------------
@@ -92,16 +93,29 @@ class Model:
             self.stg.stripe_customers(), self.stg.qb_customers(), self.stg.sf_accounts(), self.p
         )), "golden_customers")
 
+    @property
+    def spine_rows(self) -> DataFrame:
+        """The spine's plan, its rows without the columns that ``_with_ids`` makes."""
+        return self._plan("utx", lambda: intermediate.spine_rows(self.stg, self.p, self.watermarks))
+
+    def _with_ids(self, rows: DataFrame) -> DataFrame:
+        return intermediate.with_ids(rows, self.p)
+
     @cached_property
     def utx_by_month(self) -> DataFrame:
         """The spine as its month-partitioned table (S19), with the month column."""
-        return self._table(self._plan("utx", lambda: intermediate.unified_transactions(
-            self.stg, self.p, self.watermarks)), "unified_transactions", ("transaction_date", "month"))
+        return self._table(self.spine_rows, "unified_transactions", ("transaction_date", "month"), self._with_ids)
 
     @cached_property
     def utx(self) -> DataFrame:
         return self.utx_by_month.drop("transaction_date_month")
 
+    @property
+    def spine(self) -> DataFrame:
+        """The spine for a job that deals all its rows anew: from the month table
+        where a job has made it, else its plan, without a table in between."""
+        return self.utx if "utx_by_month" in self.__dict__ else self._with_ids(self.spine_rows)
+
     @cached_property
     def chart_of_accounts(self) -> DataFrame:
         return intermediate.unified_chart_of_accounts(
@@ -111,7 +125,13 @@ class Model:
     # marts ----------------------------------------------------------------
     @cached_property
     def fct_transactions(self) -> DataFrame:
-        return self._table(marts.fct_transactions(self.utx, self.golden), "fct_transactions")
+        """M26 from the spine's table where a job has made it, else from the spine's plan: the
+        month table serves readers of single months, this job reads every row once."""
+        if "utx_by_month" in self.__dict__:
+            fct = marts.fct_transactions(self.utx, self.golden)
+        else:
+            fct = marts.fct_transactions(self.spine_rows, self.golden, self._with_ids)
+        return self._table(fct, "fct_transactions")
 
     @cached_property
     def fct_revenue(self) -> DataFrame:

@@ -22,6 +22,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import uuid
+from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -94,10 +95,10 @@ def _dealt(df: DataFrame, parts: list[str], cluster_by: list[str]) -> DataFrame:
     return df
 
 
-def _write(df: DataFrame, path: str, parts: list[str], cluster_by: list[str], mode: str, compression: str | None = None) -> None:
-    w = _dealt(df, parts, cluster_by).write.mode(mode).option("partitionOverwriteMode", "static")
-    if compression:
-        w = w.option("compression", compression)
+def _write(df: DataFrame, path: str, parts: list[str], cluster_by: list[str], mode: str,
+           finish: Callable[[DataFrame], DataFrame] | None = None) -> None:
+    out = _dealt(df, parts, cluster_by)
+    w = (finish(out) if finish else out).write.mode(mode).option("partitionOverwriteMode", "static")
     if parts:
         w = w.partitionBy(*parts)
     w.parquet(path)
@@ -109,10 +110,11 @@ def write_table(
     partition_by: tuple[str, str] | None = None,
     cluster_by: list[str] | None = None,
     mode: str = "overwrite",
-    compression: str | None = None,
+    finish: Callable[[DataFrame], DataFrame] | None = None,
 ) -> None:
-    """S3/S15 (+S19/S20/S21). ``partition_by`` = (column, 'month'|'day'),
-    ``compression`` other than the session's.
+    """S3/S15 (+S19/S20/S21). ``partition_by`` = (column, 'month'|'day').
+    ``finish`` (of a rebuild) makes columns row by row once the rows are
+    dealt, so that columns which follow from others are not shuffled.
 
     A rebuild is staged: until the new table is complete the old one stays,
     and a failed rebuild leaves it. ``mode='append'`` adds files in place."""
@@ -128,15 +130,15 @@ def write_table(
             out = conform(out, schema)
             if schema != stored:
                 Files(df.sparkSession, path).write(f"{path}/{SCHEMA_FILE}", schema.json())
-        _write(out, path, parts, cluster_by or [], "append", compression)
+        _write(out, path, parts, cluster_by or [], "append")
         if stored is None:
             Files(df.sparkSession, path).write(f"{path}/{SCHEMA_FILE}", _ordered(out.schema, parts).json())
         return
     spark = df.sparkSession
     recover(spark, path)
     staged = staged_path(path)
-    _write(out, staged, parts, cluster_by or [], "overwrite", compression)
-    Files(spark, staged).write(f"{staged}/{SCHEMA_FILE}", _ordered(out.schema, parts).json())
+    _write(out, staged, parts, cluster_by or [], "overwrite", finish)
+    Files(spark, staged).write(f"{staged}/{SCHEMA_FILE}", _ordered((finish(out) if finish else out).schema, parts).json())
     publish_whole(spark, path)
 
 
@@ -358,7 +360,9 @@ def write_snapshot(current: DataFrame, path: str, unique_key: str, updated_at: s
     name = uuid.uuid4().hex
     rows = rows.withColumns({ZONE: F.when(is_open, "open").otherwise("closed"), BATCH: F.lit(name)})
     staged = staged_path(path)
-    _write(rows, staged, [ZONE, BATCH], [], "overwrite")
+    # two folders: a task writes two files at most, so no exchange deals the rows to them
+    (rows.sortWithinPartitions(ZONE, BATCH).write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .partitionBy(ZONE, BATCH).parquet(staged))
     schema = _ordered(rows.schema, [ZONE, BATCH]).json()
     files = Files(spark, staged)
     if did == "created":
