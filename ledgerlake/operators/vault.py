@@ -35,12 +35,21 @@ def _earliest_per_key(df: DataFrame, key: str, load_date: str = "load_date") ->
     return df.groupBy(*group).agg(F.min(load_date).alias(load_date)).select(*df.columns)
 
 
+def _dealt(df: DataFrame, deal_once: bool, *key: Column) -> DataFrame:
+    """``deal_once``: the rows dealt by a key that is made again after it: the
+    key is not shuffled, and neither grouping by it nor joining on it deals
+    them again. For keys of few rows each, as without it rows are combined
+    before the shuffle, and for a target that is not bucketed, as a batch that
+    is dealt already does not follow the buckets."""
+    return df.repartition(*key) if deal_once else df
+
+
 def hub(sources: list[tuple[DataFrame, str, str | Column, str]], key_name: str, bk_name: str,
-        target: DataFrame | None = None) -> DataFrame:
+        target: DataFrame | None = None, deal_once: bool = False) -> DataFrame:
     """Hub rows to insert.
 
     ``sources``: (frame, business-key column, record_source (literal or
-    column name prefixed with '@'), load_date column).
+    column name prefixed with '@'), load_date column). ``deal_once``: see ``_dealt``.
     """
     parts = []
     for df, bk, rs, ld in sources:
@@ -48,17 +57,17 @@ def hub(sources: list[tuple[DataFrame, str, str | Column, str]], key_name: str,
         parts.append(df.select(
             F.col(bk).alias(bk_name), rs_col.alias("record_source"), F.col(ld).alias("load_date")
         ))
-    u = reduce(DataFrame.unionByName, parts)
+    u = _dealt(reduce(DataFrame.unionByName, parts), deal_once, surrogate_key(bk_name, "record_source"))
     keyed = u.select(surrogate_key(bk_name, "record_source").alias(key_name), bk_name, "record_source", "load_date")
     new = _earliest_per_key(keyed, key_name)
     return anti_join_target(new, target, [key_name]).select(key_name, bk_name, "record_source", "load_date")
 
 
 def link(df: DataFrame, key_name: str, hub_keys: dict[str, Column], record_source: Column, load_date: Column,
-         target: DataFrame | None = None) -> DataFrame:
-    """Link rows to insert: one per distinct pair of hub keys."""
+         target: DataFrame | None = None, deal_once: bool = False) -> DataFrame:
+    """Link rows to insert: one per distinct pair of hub keys. ``deal_once``: see ``_dealt``."""
     names = list(hub_keys)
-    rel = df.select(*[c.alias(n) for n, c in hub_keys.items()], record_source.alias("record_source"),
+    rel = _dealt(df, deal_once, surrogate_key(*hub_keys.values())).select(*[c.alias(n) for n, c in hub_keys.items()], record_source.alias("record_source"),
                     load_date.alias("load_date"))
     keyed = rel.select(surrogate_key(*names).alias(key_name), *names, "record_source", "load_date")
     new = _earliest_per_key(keyed, key_name)
@@ -67,20 +76,22 @@ def link(df: DataFrame, key_name: str, hub_keys: dict[str, Column], record_sourc
 
 def satellite(df: DataFrame, key_name: str, hub_key: Column, hub_key_name: str, hash_cols: list[str],
               payload: dict[str, Column], record_source: Column, load_date: Column,
-              target: DataFrame | None = None, compare: str = "any") -> DataFrame:
-    """Satellite rows to insert.
+              target: DataFrame | None = None, compare: str = "any", deal_once: bool = False) -> DataFrame:
+    """Satellite rows to insert. ``deal_once``: the batch is dealt by (hub key,
+    hash_diff) before they are made, as by ``_dealt``.
 
     ``compare='any'`` (reference behaviour): skip a row when its (hub key,
     hash_diff) pair exists anywhere in the target, so A -> B -> A does not
     record the return to A. ``compare='latest'``: compare with the latest
     version of the key only.
     """
-    s = df.select(
+    hash_diff = surrogate_key(*[df[c] if c in df.columns else F.col(c) for c in hash_cols])
+    s = _dealt(df, deal_once and target is not None, hub_key, hash_diff).select(
         hub_key.alias(hub_key_name),
         *[c.alias(n) for n, c in payload.items()],
         record_source.alias("record_source"),
         load_date.alias("load_date"),
-        surrogate_key(*[df[c] if c in df.columns else F.col(c) for c in hash_cols]).alias("hash_diff"),
+        hash_diff.alias("hash_diff"),
     )
     out = s.select(
         surrogate_key(hub_key_name, "load_date").alias(key_name), hub_key_name, "hash_diff",

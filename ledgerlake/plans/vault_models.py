@@ -1,7 +1,7 @@
 """Data-vault models M17-M25 over the staged tables and the unified spine.
 
 Each function returns the rows to insert given the current target (``None``
-on a first run = full build).
+on a first run = full build). ``deal_once`` (see ``vault``) is for a target that is no bucketed table.
 """
 
 from __future__ import annotations
@@ -31,9 +31,9 @@ def hub_account(qb_accounts: DataFrame, ns_accounts: DataFrame, target: DataFram
         "hub_account_hk", "account_bk", target)
 
 
-def hub_transaction(utx: DataFrame, target: DataFrame | None = None):  # M19
+def hub_transaction(utx: DataFrame, target: DataFrame | None = None, deal_once: bool = False):  # M19
     return vault.hub([(utx, "transaction_unified_id", "@source_system", "_unified_at")],
-                     "hub_transaction_hk", "transaction_bk", target)
+                     "hub_transaction_hk", "transaction_bk", target, deal_once=deal_once)
 
 
 def lnk_customer_account(invoices: DataFrame, target: DataFrame | None = None,
@@ -47,14 +47,14 @@ def lnk_customer_account(invoices: DataFrame, target: DataFrame | None = None,
         F.lit("quickbooks"), F.col("_loaded_at"), target)
 
 
-def lnk_transaction_account(utx: DataFrame, target: DataFrame | None = None):  # M21
+def lnk_transaction_account(utx: DataFrame, target: DataFrame | None = None, deal_once: bool = False):  # M21
     # D7 kept: the account side hashes the transaction's entity id
     rel = utx.filter(F.col("source_entity_id").isNotNull())
     return vault.link(
         rel, "lnk_transaction_account_hk",
         {"hub_transaction_hk": surrogate_key("transaction_unified_id", "source_system"),
          "hub_account_hk": surrogate_key("source_entity_id", "source_system")},
-        F.col("source_system"), F.col("_unified_at"), target)
+        F.col("source_system"), F.col("_unified_at"), target, deal_once=deal_once)
 
 
 def _payload(names):
@@ -93,10 +93,12 @@ def sat_account_balance(qb_accounts: DataFrame, target: DataFrame | None = None,
                            F.col("_loaded_at"), target, compare)
 
 
-def sat_transaction_details(utx: DataFrame, target: DataFrame | None = None, compare: str = "any"):  # M25
+def sat_transaction_details(utx: DataFrame, target: DataFrame | None = None, compare: str = "any",
+                            deal_once: bool = False):  # M25
     hash_cols = ["transaction_type", "transaction_category", "amount", "status", "reference_number", "memo"]
     payload = _payload(["transaction_type", "transaction_category", "amount", "currency_code", "transaction_date",
                         "status", "reference_number", "memo"])
     return vault.satellite(utx, "sat_transaction_details_hk",
                            surrogate_key("transaction_unified_id", "source_system"), "hub_transaction_hk",
-                           hash_cols, payload, F.col("source_system"), F.col("_unified_at"), target, compare)
+                           hash_cols, payload, F.col("source_system"), F.col("_unified_at"), target, compare,
+                           deal_once=deal_once)

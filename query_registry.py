@@ -238,9 +238,9 @@ def _m18(m: Model) -> DataFrame:
     ("unified_transactions", "transaction_unified_id", "source_system", "_unified_at")]))
 def _m19(m: Model) -> DataFrame:
     """M19 hub_transaction (first run on rows loaded up to the cut-off)."""
-    first = m.utx.filter(F.col("_loaded_at") <= F.lit(CUTOFF).cast("timestamp"))
-    target = _vm.hub_transaction(first)
-    return target.unionByName(_vm.hub_transaction(m.utx, target=target))
+    first = m.spine.filter(F.col("_loaded_at") <= F.lit(CUTOFF).cast("timestamp"))
+    target = _vm.hub_transaction(first, deal_once=True)
+    return target.unionByName(_vm.hub_transaction(m.spine, target=target, deal_once=True))
 
 
 def _link_sql(key, names, src):
@@ -271,9 +271,9 @@ def _m20(m: Model) -> DataFrame:
     "_unified_at AS load_date FROM unified_transactions WHERE source_entity_id IS NOT NULL"))
 def _m21(m: Model) -> DataFrame:
     """M21 lnk_transaction_account, two incremental runs (split on _loaded_at)."""
-    first = m.utx.filter(F.col("_loaded_at") <= F.lit(CUTOFF).cast("timestamp"))
-    target = _vm.lnk_transaction_account(first)
-    return target.unionByName(_vm.lnk_transaction_account(m.utx, target=target))
+    first = m.spine.filter(F.col("_loaded_at") <= F.lit(CUTOFF).cast("timestamp"))
+    target = _vm.lnk_transaction_account(first, deal_once=True)
+    return target.unionByName(_vm.lnk_transaction_account(m.spine, target=target, deal_once=True))
 
 
 def _sat_sql(key, hub_key_expr, hub_key_name, hash_cols, payload, rs, ld, table):
@@ -332,9 +332,9 @@ def _m24(m: Model) -> DataFrame:
     "source_system", "_unified_at", "unified_transactions"))
 def _m25(m: Model) -> DataFrame:
     """M25 sat_transaction_details (first run on rows loaded up to the cut-off)."""
-    first = m.utx.filter(F.col("_loaded_at") <= F.lit(CUTOFF).cast("timestamp"))
-    target = _vm.sat_transaction_details(first)
-    return target.unionByName(_vm.sat_transaction_details(m.utx, target=target))
+    first = m.spine.filter(F.col("_loaded_at") <= F.lit(CUTOFF).cast("timestamp"))
+    target = _vm.sat_transaction_details(first, deal_once=True)
+    return target.unionByName(_vm.sat_transaction_details(m.spine, target=target, deal_once=True))
 
 
 # ---------------------------------------------------------------------------
