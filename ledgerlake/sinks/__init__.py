@@ -180,16 +180,18 @@ class KeyIndex:
         self.table = BucketedTable(spark, path.rstrip("/") + "__keys", keys)
 
     def add(self, rows: DataFrame) -> None:
-        pairs = rows.select(*self.keys, F.col(self.pcol).cast("string").alias("_partition")).distinct()
+        pairs = self.table.dealt(rows.select(*self.keys, F.col(self.pcol).cast("string").alias("_partition"))).distinct()
         known = self.table.read()
         if known is not None:
-            same = [pairs[k] == known[k] for k in self.keys] + [pairs["_partition"].eqNullSafe(known["_partition"])]
-            pairs = pairs.join(known, same, "left_anti")
-        self.table.append(pairs)
+            # the partitions are compared row by row, they are no join key: the buckets are dealt by the keys alone
+            new, old = pairs["_partition"], known["_partition"]
+            same = F.when(new.isNull(), old.isNull()).otherwise(F.coalesce(new == old, F.lit(False)))
+            pairs = pairs.join(known, [*[pairs[k] == known[k] for k in self.keys], same], "left_anti")
+        self.table.append(pairs, dealt=True)
 
     def partitions(self, keys: DataFrame) -> DataFrame:
         """The distinct partition values (as strings) under which ``keys`` may live."""
-        return self.table.read().join(keys, self.keys, "left_semi").select("_partition").distinct()
+        return self.table.read().join(self.table.dealt(keys).distinct(), self.keys, "left_semi").select("_partition").distinct()
 
 
 def _values(df: DataFrame) -> set:
@@ -259,7 +261,7 @@ def upsert(
     else:
         touched = _values(batch.select(pcol))
         if index is not None:
-            maybe = target.filter(_in(pcol, _values(index.partitions(batch_keys))))
+            maybe = target.filter(_in(pcol, _values(index.partitions(batch.select(*keys)))))
             touched |= _values(maybe.join(batch_keys, keys, "left_semi").select(pcol))
             index.add(batch)
         kept = target.filter(_in(pcol, touched)).join(batch_keys, keys, "left_anti")

@@ -52,13 +52,17 @@ class BucketedTable:
         self._register()
         return self.spark.table(self.name)
 
-    def append(self, rows: DataFrame) -> None:
-        """Add ``rows``; the first append makes the table with their schema."""
+    def dealt(self, rows: DataFrame) -> DataFrame:
+        """``rows`` dealt to the buckets: joined with the table, neither side is dealt again."""
+        return rows.repartition(self.buckets, *self.keys)
+
+    def append(self, rows: DataFrame, dealt: bool = False) -> None:
+        """Add ``rows``; the first append makes the table with their schema. ``dealt``: they come from ``dealt``."""
         if not self.exists():
             self.schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
             Files(self.spark, self.path).write(f"{self.path}/{LAYOUT_FILE}", f"{self.buckets} {','.join(self.keys)}\n{self.schema}")
         self._register()
         columns = self.spark.table(self.name).columns
-        (rows.select(*columns).repartition(self.buckets, *self.keys).sortWithinPartitions(*self.keys)
-         .write.insertInto(self.name))
+        rows = rows.select(*columns)
+        (rows if dealt else self.dealt(rows)).sortWithinPartitions(*self.keys).write.insertInto(self.name)
         self.spark.catalog.refreshTable(self.name)

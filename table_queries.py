@@ -64,10 +64,10 @@ def upsert_moved_and_null_dates(m: Model) -> DataFrame:
     path, key = _folder(m, "s16"), "transaction_unified_id"
     month, src, day = F.date_format("transaction_date", "yyyy-MM"), F.col("source_system"), F.col("transaction_date")
     undated = month.eqNullSafe("2018-06") & src.isin("netsuite", "quickbooks")
-    first = m.utx.filter(_by("_loaded_at")).withColumn("transaction_date", F.when(~undated, day))
-    late = m.utx.filter(~_by("_loaded_at") | (undated & (src == "quickbooks")) | (month == "2019-03"))
+    first = m.spine.filter(_by("_loaded_at")).withColumn("transaction_date", F.when(~undated, day))
+    late = m.spine.filter(~_by("_loaded_at") | (undated & (src == "quickbooks")) | (month == "2019-03"))
     second = late.withColumn("transaction_date", F.when(month == "2019-03", F.date_add(day, 40)).when(~(undated & (src == "netsuite")), day))
-    third = m.utx.filter((src == "quickbooks") & (month == "2020-05")).withColumn("transaction_date", F.lit(None).cast("date"))
+    third = m.spine.filter((src == "quickbooks") & (month == "2020-05")).withColumn("transaction_date", F.lit(None).cast("date"))
     for batch in (first, second, third):
         sinks.upsert(batch, path, key, SPINE_MONTH, ["source_system", "transaction_type"])
     return sinks.read_table(m.spark, path)
