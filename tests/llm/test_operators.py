@@ -397,6 +397,25 @@ def test_license_scan_weighs_lines_as_the_model_does(spark):
     assert few == {i for i in want if want[i][1][0] < 0.5}
 
 
+def test_license_scan_runs_no_python_on_executors(spark):
+    docs = spark.createDataFrame([(i, "some plain prose of a line\nReleased under the MIT License.") for i in range(20)], "doc_id long, text string")
+    plan = license_scan.scan(docs)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("MapInArrow|Python|Pandas", plan)
+
+
+def test_license_scan_bound_drops_no_line_the_model_keeps(spark):
+    notices = [(i, (n[:k] + ["word", "other", f"w{i}"] * j)) for i, n in enumerate(license_scan.TEMPLATES[f].split(" ") for f in license_scan.FAMILIES) for k in (3, 6, 12, 400) for j in (0, 1, 2, 5, 40)]
+    rows = spark.createDataFrame(notices + [(-1, []), (-2, ["word"])], "i long, words array<string>")
+    labelled = license_scan.template_rows(spark).withColumn("label", F.array_position(F.array(*[F.lit(f) for f in license_scan.FAMILIES]), F.col("family")).cast("double"))
+    prose = spark.createDataFrame([(0.0, ["word", "other", "prose", f"p{i}"]) for i in range(500)], "label double, words array<string>")
+    model = LogisticRegression(maxIter=5, regParam=1e-3, family="multinomial", standardization=False).fit(
+        license_scan.features(labelled.select("label", "words").unionByName(prose)))
+    every = license_scan.probable(rows, model).collect()
+    for least in (0.5, 0.9):
+        want = sorted((r.i, r.words) for r in every if r.p[0] < 1 - least)
+        assert sorted((r.i, r.words) for r in license_scan.probable(rows, model, least).collect()) == want and 0 < len(want) < len(every)
+
+
 def test_license_scan_finds_whole_texts_and_embedded_notices(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").filter("doc_id >= 60")
     prose = " ".join(x for _, x in texts(docs.filter("doc_id < 70")) if x).replace("\n", " ").split()
