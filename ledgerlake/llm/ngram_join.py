@@ -230,8 +230,8 @@ def described(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
         least = r["step"]
     top = top.filter(F.col("step") >= F.lit(least))
     return (both.filter("sid is not null").select("doc_id", "n", "sid", "vec"),
-            # as Arrow: a list of rows would hold 60 MB of the driver
-            np.sort(top.select("key").toArrow()["key"].to_numpy().view(np.uint64)))
+            # one list of numbers: as many rows would hold 60 MB of the driver
+            np.sort(np.array(top.agg(F.collect_list("key")).first()[0], np.int64).view(np.uint64)))
 
 
 def full_sets(docs: DataFrame, need: DataFrame, **cols) -> DataFrame:
