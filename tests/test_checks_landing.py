@@ -217,3 +217,15 @@ def test_a_batch_cut_off_leaves_no_half_of_itself(spark, tmp, monkeypatch):
     assert land(spark, tmp + "/b1", {"a.json": ['{"id": "y"}']}, target, at) == {"landed": 1, "quarantined": 0}
     assert [r.id for r in landing.read_landed(spark, target, LAND_SCHEMA).collect()] == ["y"]
     assert landing.read_quarantine(spark, target).collect() == []
+
+
+def test_suite_stores_only_what_several_scans_read(spark, monkeypatch):
+    from ledgerlake.plans import checks_suite as cs
+    from ledgerlake.plans.model import Model
+
+    m, kept, real = Model.from_driver(spark, "/root/testdata/sf0.001", fresh=True), [], cs.cut
+    monkeypatch.setattr(cs, "cut", lambda df: kept.append(df.columns) or real(df))
+    got = cs.stored(m, cs.suite(m.p))
+    assert kept == [["cash_flow_id", "cash_flow_date"], ["invoice_id", "aging_bucket", "total_amount", "balance_due"]]
+    assert "fct_revenue" not in got.__dict__ and "utx_by_month" not in got.__dict__
+    assert cs.columns_of(cs.suite(m.p)["fct_revenue"]) is None  # its conditions name other columns
