@@ -11,10 +11,11 @@
 
 No lakehouse format is bundled. Rebuilds, merges and snapshots write their
 new files beside the table and then put them in place (``publish``); an
-interrupted publish is finished or undone by the next call. Batches are cut
-from their lineage with ``DataFrame.checkpoint()`` into the cluster's shared
-``spark.checkpoint.dir`` -- never a machine-local folder -- so a batch is
-computed once and a lost executor re-reads it.
+interrupted publish is finished or undone by the next call. The batch of a
+merge is cut from its lineage into compressed Parquet files beside the table
+-- never in a machine-local folder -- so it is computed once and a lost
+executor re-reads it; they go when the merge ends. The batch that makes a
+table is stored nowhere else: its rows go straight to the table's files.
 """
 
 from __future__ import annotations
@@ -27,11 +28,11 @@ from collections.abc import Callable
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ledgerlake.operators.snapshot import VERSION_COLS, advance, first_snapshot
 from ledgerlake.session import checkpoint_dir
-from ledgerlake.sinks.bucketed import BucketedTable
+from ledgerlake.sinks.bucketed import BUCKETS, BucketedTable
 from ledgerlake.sinks.publish import (NULL_PARTITION, SCHEMA_FILE, Files, publish_folders, publish_whole, recover,
                                       staged_path)
 from ledgerlake.sinks.schemas import conform, reconciled, stored_schema
@@ -81,23 +82,25 @@ def view(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
-def _dealt(df: DataFrame, parts: list[str], cluster_by: list[str]) -> DataFrame:
+def _dealt(df: DataFrame, parts: list[str], cluster_by: list[str], seen: _Seen | None = None) -> DataFrame:
     """Rows of a partition value in few files, but many tasks: a range
     exchange over (partition, cluster columns) splits a large month by its
     cluster columns, a rebalance lets the runtime split it by size. The sort
-    gives tight parquet statistics."""
+    gives tight parquet statistics. ``seen`` counts the dealt rows, so that
+    a range exchange's sampling does not count them too."""
     if parts and cluster_by:
         df = df.repartitionByRange(*[F.col(c) for c in [*parts, *cluster_by]])
     elif parts:
         df = df.hint("rebalance", *parts)
+    df = seen.by(df) if seen else df
     if parts or cluster_by:
         df = df.sortWithinPartitions(*parts, *cluster_by)
     return df
 
 
 def _write(df: DataFrame, path: str, parts: list[str], cluster_by: list[str], mode: str,
-           finish: Callable[[DataFrame], DataFrame] | None = None) -> None:
-    out = _dealt(df, parts, cluster_by)
+           finish: Callable[[DataFrame], DataFrame] | None = None, seen: _Seen | None = None) -> None:
+    out = _dealt(df, parts, cluster_by, seen)
     w = (finish(out) if finish else out).write.mode(mode).option("partitionOverwriteMode", "static")
     if parts:
         w = w.partitionBy(*parts)
@@ -134,12 +137,19 @@ def write_table(
         if stored is None:
             Files(df.sparkSession, path).write(f"{path}/{SCHEMA_FILE}", _ordered(out.schema, parts).json())
         return
-    spark = df.sparkSession
-    recover(spark, path)
-    staged = staged_path(path)
-    _write(out, staged, parts, cluster_by or [], "overwrite", finish)
-    Files(spark, staged).write(f"{staged}/{SCHEMA_FILE}", _ordered((finish(out) if finish else out).schema, parts).json())
-    publish_whole(spark, path)
+    recover(df.sparkSession, path)
+    _stage(out, path, parts, cluster_by or [], finish)
+    publish_whole(df.sparkSession, path)
+
+
+def _stage(df: DataFrame, path: str, parts: list[str], cluster_by: list[str],
+           finish: Callable[[DataFrame], DataFrame] | None = None, seen: _Seen | None = None) -> DataFrame:
+    """Write the whole new table beside the old one; the rows as they lie there."""
+    spark, staged = df.sparkSession, staged_path(path)
+    _write(df, staged, parts, cluster_by, "overwrite", finish, seen)
+    schema = _ordered((finish(df) if finish else df).schema, parts)
+    Files(spark, staged).write(f"{staged}/{SCHEMA_FILE}", schema.json())
+    return spark.read.schema(schema).parquet(staged)
 
 
 def _ordered(schema: StructType, parts: list[str]) -> StructType:
@@ -175,9 +185,9 @@ class KeyIndex:
     named here hold every row of a key, whatever was interrupted, and a merge
     reads no key of any other partition of the target."""
 
-    def __init__(self, spark: SparkSession, path: str, keys: list[str], pcol: str):
+    def __init__(self, spark: SparkSession, path: str, keys: list[str], pcol: str, name: str = "__keys", buckets: int = BUCKETS):
         self.keys, self.pcol = keys, pcol
-        self.table = BucketedTable(spark, path.rstrip("/") + "__keys", keys)
+        self.table = BucketedTable(spark, path.rstrip("/") + name, keys, buckets)
 
     def add(self, rows: DataFrame) -> None:
         pairs = self.table.dealt(rows.select(*self.keys, F.col(self.pcol).cast("string").alias("_partition"))).distinct()
@@ -194,6 +204,41 @@ class KeyIndex:
         return self.table.read().join(self.table.dealt(keys).distinct(), self.keys, "left_semi").select("_partition").distinct()
 
 
+#: keys of a bucket of a new index: its sort stays in a task's memory
+BUCKET_KEYS = 2_000_000
+KEY_HASH = "_key"
+
+
+class HashedKeyIndex(KeyIndex):
+    """The same for keys of strings, by their 64-bit hash: a few bytes a key,
+    where ids that are themselves hashes in letters take five times that in
+    every shuffle and file. Two keys of one hash name a partition too many.
+
+    Strings stay strings (``schemas``), so a key's hash never changes. Rows
+    with a NULL key never match and are left out."""
+
+    def __init__(self, spark: SparkSession, path: str, keys: list[str], pcol: str, rows: int = 0):
+        super().__init__(spark, path, [KEY_HASH], pcol, "__keys_hashed", max(BUCKETS, -(-rows // BUCKET_KEYS)))
+        self.of = keys
+
+    def _hashed(self, rows: DataFrame) -> DataFrame:
+        given = rows.dropna(subset=self.of)
+        return given.withColumn(KEY_HASH, F.xxhash64(*self.of))
+
+    def add(self, rows: DataFrame) -> None:
+        super().add(self._hashed(rows))
+
+    def partitions(self, keys: DataFrame) -> DataFrame:
+        return super().partitions(self._hashed(keys).select(KEY_HASH))
+
+
+def _key_index(rows: DataFrame, path: str, keys: list[str], pcol: str, count: int = 0) -> KeyIndex:
+    """The index for the key columns of ``rows``; ``count`` sets the buckets of a new one."""
+    if all(isinstance(rows.schema[k].dataType, StringType) for k in keys):
+        return HashedKeyIndex(rows.sparkSession, path, keys, pcol, count)
+    return KeyIndex(rows.sparkSession, path, keys, pcol)
+
+
 def _values(df: DataFrame) -> set:
     """A column of partition values: one per month or day of the table, so few."""
     return {None if r[0] is None else str(r[0]) for r in df.distinct().collect()}
@@ -214,6 +259,7 @@ def upsert(
     cluster_by: list[str] | None = None,
     keys_may_move: bool = True,
     watermarks: list[tuple[str, str | None, list | None]] | None = None,
+    finish: Callable[[DataFrame], DataFrame] | None = None,
 ) -> str:
     """S16 merge on ``unique_key``; returns 'created', 'merged' or 'noop'.
 
@@ -226,28 +272,45 @@ def upsert(
 
     Columns and types may change by the rules of ``schemas``. Rows with a
     NULL key never match and are added. ``watermarks``: (column, by column,
-    values of it) to note, see ``watermark``.
+    values of it) to note, see ``watermark``. ``finish`` makes columns of the
+    batch row by row (the key may be one, a column to note not), as in ``write_table``.
     """
     spark = batch.sparkSession
     keys = [unique_key] if isinstance(unique_key, str) else list(unique_key)
     if checkpoint_dir(spark) is None:
         raise RuntimeError("spark.checkpoint.dir is not set; upsert needs a shared checkpoint folder")
-    first = not table_exists(spark, path)
-    batch, highs = _observed(batch, watermarks or [])
-    if batch.isEmpty() and not first:
+    pcol = f"{partition_by[0]}_{partition_by[1]}" if partition_by else None
+    if not table_exists(spark, path):
+        rows = partition_column(batch, *partition_by)[0] if partition_by else batch
+        seen = _Seen(watermarks or [])
+        made = _stage(rows, path, [pcol] if pcol else [], cluster_by or [], finish, seen)
+        if pcol and keys_may_move:
+            _key_index(made, path, keys, pcol, made.count()).add(made)
+        publish_whole(spark, path)
+        _note_watermarks(spark, path, seen.highs())
+        return "created"
+    stored = path.rstrip("/") + "__batch"
+    try:
+        return _merge(batch, stored, path, keys, partition_by, cluster_by or [], keys_may_move, _Seen(watermarks or []), finish)
+    finally:
+        Files(spark, stored).delete(stored)
+
+
+def _merge(batch: DataFrame, stored: str, path: str, keys: list[str], partition_by: tuple[str, str] | None, cluster_by: list[str],
+           keys_may_move: bool, seen: _Seen, finish: Callable[[DataFrame], DataFrame] | None) -> str:
+    spark, pcol = batch.sparkSession, None
+    whole = seen.by(finish(batch) if finish else batch)
+    whole.write.mode("overwrite").option("compression", "zstd").parquet(stored)
+    batch = spark.read.schema(whole.schema).parquet(stored)
+    if batch.isEmpty():
         return "noop"
-    pcol = None
     if partition_by:
         batch, pcol = partition_column(batch, *partition_by)
-    index = KeyIndex(spark, path, keys, pcol) if pcol and keys_may_move else None
-    if first:
-        if index is not None:
-            index.add(batch)
-        write_table(batch.drop(pcol) if pcol else batch, path, partition_by, cluster_by)
-        _note_watermarks(spark, path, highs)
-        return "created"
+    index = _key_index(batch, path, keys, pcol) if pcol and keys_may_move else None
     if index is not None and not index.table.exists():  # a table made without one
-        index.add(read_table(spark, path))
+        had = read_table(spark, path)
+        index = _key_index(batch, path, keys, pcol, had.count())
+        index.add(had)
     target = read_table(spark, path)
     schema = reconciled(target.schema, batch.schema)
     schema = _ordered(schema, [pcol] if pcol else [])
@@ -255,7 +318,7 @@ def upsert(
     batch_keys = batch.select(*keys).distinct()
     staged = staged_path(path)
     if pcol is None:
-        _write(target.join(batch_keys, keys, "left_anti").unionByName(batch), staged, [], cluster_by or [], "overwrite")
+        _write(target.join(batch_keys, keys, "left_anti").unionByName(batch), staged, [], cluster_by, "overwrite")
         Files(spark, staged).write(f"{staged}/{SCHEMA_FILE}", schema.json())
         publish_whole(spark, path)
     else:
@@ -265,32 +328,35 @@ def upsert(
             touched |= _values(maybe.join(batch_keys, keys, "left_semi").select(pcol))
             index.add(batch)
         kept = target.filter(_in(pcol, touched)).join(batch_keys, keys, "left_anti")
-        _write(kept.unionByName(batch), staged, [pcol], cluster_by or [], "overwrite")
+        _write(kept.unionByName(batch), staged, [pcol], cluster_by, "overwrite")
         names = [f"{pcol}={NULL_PARTITION if v is None else v}" for v in sorted(touched, key=str)]
         full = set(Files(spark, staged).folders(staged))
         publish_folders(spark, path, [n for n in names if n in full], [n for n in names if n not in full], schema.json())
-    _note_watermarks(spark, path, highs)
+    _note_watermarks(spark, path, seen.highs())
     return "merged"
 
 
 # ---------------------------------------------------------------------------
 # watermarks noted while writing
 # ---------------------------------------------------------------------------
-def _observed(batch: DataFrame, wanted: list[tuple[str, str | None, list | None]]) -> tuple[DataFrame, list]:
-    """The batch from a checkpoint, and [[column, group, high value], ...]
-    that Spark counted while it was written there."""
-    metrics, named = [], []
-    for col, by, values in wanted:
-        for v in values if by else [None]:
-            own = F.when(F.col(by) == F.lit(v), F.col(col)) if by else F.col(col)
-            metrics.append(F.max(own).cast("string").alias(f"m{len(metrics)}"))
-            named.append((col, v))
-    if not metrics:
-        return batch.checkpoint(eager=True), []
-    seen = Observation()
-    batch = batch.observe(seen, *metrics).checkpoint(eager=True)
-    got = seen.get
-    return batch, [[c, v, got[f"m{i}"]] for i, (c, v) in enumerate(named) if got.get(f"m{i}") is not None]
+class _Seen:
+    """High values that Spark counts while it writes a batch; ``wanted``: (column, by column, values of it)."""
+
+    def __init__(self, wanted: list[tuple[str, str | None, list | None]]):
+        self.wanted = [(col, by, v) for col, by, values in wanted for v in (values if by else [None])]
+        self.seen = None
+
+    def by(self, rows: DataFrame) -> DataFrame:
+        if not self.wanted:
+            return rows
+        own = [F.when(F.col(by) == F.lit(v), F.col(col)) if by else F.col(col) for col, by, v in self.wanted]
+        self.seen = Observation()
+        return rows.observe(self.seen, *[F.max(x).cast("string").alias(f"m{i}") for i, x in enumerate(own)])
+
+    def highs(self) -> list:
+        """[[column, group, high value], ...]"""
+        got = self.seen.get if self.seen else {}
+        return [[c, v, got[f"m{i}"]] for i, (c, _, v) in enumerate(self.wanted) if got.get(f"m{i}") is not None]
 
 
 def _watermark_file(path: str) -> str:

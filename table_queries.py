@@ -64,12 +64,14 @@ def upsert_moved_and_null_dates(m: Model) -> DataFrame:
     path, key = _folder(m, "s16"), "transaction_unified_id"
     month, src, day = F.date_format("transaction_date", "yyyy-MM"), F.col("source_system"), F.col("transaction_date")
     undated = month.eqNullSafe("2018-06") & src.isin("netsuite", "quickbooks")
-    first = m.spine.filter(_by("_loaded_at")).withColumn("transaction_date", F.when(~undated, day))
-    late = m.spine.filter(~_by("_loaded_at") | (undated & (src == "quickbooks")) | (month == "2019-03"))
+    # the spine's rows without the columns that follow from others: those are made once the rows are dealt
+    spine = m.spine_rows
+    first = spine.filter(_by("_loaded_at")).withColumn("transaction_date", F.when(~undated, day))
+    late = spine.filter(~_by("_loaded_at") | (undated & (src == "quickbooks")) | (month == "2019-03"))
     second = late.withColumn("transaction_date", F.when(month == "2019-03", F.date_add(day, 40)).when(~(undated & (src == "netsuite")), day))
-    third = m.spine.filter((src == "quickbooks") & (month == "2020-05")).withColumn("transaction_date", F.lit(None).cast("date"))
+    third = spine.filter((src == "quickbooks") & (month == "2020-05")).withColumn("transaction_date", F.lit(None).cast("date"))
     for batch in (first, second, third):
-        sinks.upsert(batch, path, key, SPINE_MONTH, ["source_system", "transaction_type"])
+        sinks.upsert(batch, path, key, SPINE_MONTH, ["source_system", "transaction_type"], finish=m._with_ids)
     return sinks.read_table(m.spark, path)
 
 
@@ -150,10 +152,11 @@ def noted_watermarks(m: Model) -> DataFrame:
     nothing is read for them. Result: the marks noted after both, per source."""
     path = _folder(m, "f11")
     marks = [("_loaded_at", "source_system", list(landing.SOURCES))]
-    first = intermediate.unified_transactions(m.stg, m.p).filter(_by("_loaded_at"))
-    sinks.upsert(first, path, "transaction_unified_id", SPINE_MONTH, watermarks=marks)
+    first = intermediate.spine_rows(m.stg, m.p).filter(_by("_loaded_at"))
+    sinks.upsert(first, path, "transaction_unified_id", SPINE_MONTH, watermarks=marks, finish=m._with_ids)
     noted = sinks.watermark(m.spark, path, "_loaded_at", by=True)
-    sinks.upsert(intermediate.unified_transactions(m.stg, m.p, watermarks=noted), path, "transaction_unified_id", SPINE_MONTH, watermarks=marks)
+    second = intermediate.spine_rows(m.stg, m.p, watermarks=noted)
+    sinks.upsert(second, path, "transaction_unified_id", SPINE_MONTH, watermarks=marks, finish=m._with_ids)
     noted = sinks.watermark(m.spark, path, "_loaded_at", by=True)
     table = sinks.read_table(m.spark, path).groupBy("source_system").agg(F.count("*").alias("n"))
     mark = F.create_map(*[F.lit(x) for s, w in noted.items() for x in (s, w)])
