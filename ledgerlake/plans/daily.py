@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake import sinks
+from ledgerlake.functions import lit_ts
 from ledgerlake.params import DEFAULT, RunParams
 from ledgerlake.plans import intermediate, marts, quality
 from ledgerlake.plans import vault_models as vm
@@ -82,11 +83,13 @@ def run_daily(spark: SparkSession, raw, warehouse: str, p: RunParams = DEFAULT,
 
     utx_path = t("unified_transactions")
     wm = sinks.watermark(spark, utx_path, "_loaded_at", by=True)
-    batch = intermediate.unified_transactions(stg, p, watermarks=wm)
+    # the ids follow from other columns: they are made once the rows are dealt; _unified_at is noted, so it comes along
+    batch = intermediate.spine_rows(stg, p, watermarks=wm).withColumn("_unified_at", lit_ts(p.run_ts))
     done["unified_transactions"] = sinks.upsert(
         batch, utx_path, "transaction_unified_id", partition_by=("transaction_date", "month"),
         cluster_by=["source_system", "transaction_type"],
-        watermarks=[("_loaded_at", "source_system", list(SOURCES)), ("_unified_at", None, None)])
+        watermarks=[("_loaded_at", "source_system", list(SOURCES)), ("_unified_at", None, None)],
+        finish=lambda df: intermediate.with_ids(df, p))
 
     coa = intermediate.unified_chart_of_accounts(stg.qb_accounts(), stg.ns_accounts(), seeds.chart_of_accounts(spark), p)
     sinks.write_table(coa, t("chart_of_accounts"))
