@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.functions import BASE, lit_ts, null_of, split_part, surrogate_key
@@ -271,9 +271,14 @@ def spine_rows(stg, p: RunParams = DEFAULT, watermarks: dict | None = None) -> D
     return reduce(DataFrame.unionByName, parts)
 
 
+def spine_id() -> Column:
+    """``transaction_unified_id`` from a row of ``spine_rows``."""
+    return surrogate_key("source_transaction_id", "_id_kind")
+
+
 def with_ids(rows: DataFrame, p: RunParams = DEFAULT) -> DataFrame:
     """The spine's columns from ``spine_rows``, then the columns that a job added to them."""
-    made = {"transaction_unified_id": surrogate_key("source_transaction_id", "_id_kind"), "_unified_at": lit_ts(p.run_ts)}
+    made = {"transaction_unified_id": spine_id(), "_unified_at": lit_ts(p.run_ts)}
     added = [c for c in rows.columns if c not in UTX_COLUMNS and c != "_id_kind"]
     return rows.select(*[made[c].alias(c) if c in made else F.col(c) for c in UTX_COLUMNS], *added)
 

@@ -166,11 +166,19 @@ def append(df: DataFrame, path: str, partition_by: tuple[str, str] | None = None
     return True
 
 
-def merge_frames(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
+def merge_frames(target: DataFrame, batch: DataFrame, keys: list[str], key_of: dict[str, Column] | None = None,
+                 finish: Callable[[DataFrame], DataFrame] | None = None, batch_keys: DataFrame | None = None) -> DataFrame:
     """S16 as a pure DataFrame op: target rows whose key is not in the batch,
-    plus the batch (new columns allowed, S18)."""
-    return target.join(batch.select(*keys).distinct(), keys, "left_anti").unionByName(
-        batch, allowMissingColumns=True)
+    plus the batch (new columns allowed, S18).
+
+    ``target`` may be the narrower rows that ``finish`` makes the target of,
+    each for itself: then the rows that the batch replaces go first, by
+    ``key_of`` (the key columns, from the narrower ones), and the columns that
+    follow from others are not shuffled. ``batch_keys``: the batch's keys, from
+    fewer steps than the batch."""
+    new = (batch if batch_keys is None else batch_keys).select(*keys).distinct()
+    stays = target.join(new, [key_of[k] == new[k] for k in keys] if key_of else keys, "left_anti")
+    return (finish(stays) if finish else stays).unionByName(batch, allowMissingColumns=True)
 
 
 # ---------------------------------------------------------------------------

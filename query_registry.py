@@ -555,13 +555,16 @@ def _f10(m: Model) -> DataFrame:
     with `_unified_at > max(_unified_at)` of the target and merged on transaction_key."""
     rows, p1, utx_table = _utx_two_runs(m)
     first_utx = _inter.with_ids(rows, p1)
-    fct1 = marts.fct_transactions(rows, m.golden, lambda df: _inter.with_ids(df, p1))
     # fct passes _unified_at through from the spine and keeps every spine row
-    # (left join), so max over the first run's spine = max over fct1
+    # (left join), so max over the first run's spine = max over its fct, and a batch has its spine rows' keys
     hwm = _sinks.high_watermark(first_utx, "_unified_at")
     new_rows = utx_table if hwm is None else utx_table.filter(F.col("_unified_at") > F.lit(hwm))
     fct_batch = marts.fct_transactions(new_rows, m.golden)
-    return _sinks.merge_frames(fct1, fct_batch, ["transaction_key"])
+    # a row of the first run's fct follows from its spine row: those the batch replaces go before the customer join
+    return _sinks.merge_frames(
+        rows, fct_batch, ["transaction_key"], key_of={"transaction_key": _inter.spine_id()},
+        finish=lambda df: marts.fct_transactions(df, m.golden, lambda joined: _inter.with_ids(joined, p1)),
+        batch_keys=new_rows.select(F.col("transaction_unified_id").alias("transaction_key")))
 
 
 @register("j6_a11_revenue_comparison", """

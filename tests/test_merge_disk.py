@@ -66,3 +66,25 @@ def test_the_merged_spine_is_dealt_without_its_ids(spark, monkeypatch):
         dealt.clear()
         query(m)
         assert "transaction_unified_id" not in dealt[0] and "_unified_at" not in dealt[0]
+
+
+def test_rows_that_a_batch_replaces_go_before_their_columns_are_made(spark):
+    rows = spark.createDataFrame([("a", 1), ("b", 2), ("b", 3), (None, 4)], "k string, v int")
+    finish = lambda df: df.select(F.md5("k").alias("id"), "v", (F.col("v") * 2).alias("twice"))
+    batch = finish(spark.createDataFrame([("b", 20), ("c", 30), (None, 40)], "k string, v int"))
+    got = sinks.merge_frames(rows, batch, ["id"], key_of={"id": F.md5("k")}, finish=finish, batch_keys=batch.select("id"))
+    want = sinks.merge_frames(finish(rows), batch, ["id"])
+    assert got.columns == want.columns and sorted(map(repr, got.collect())) == sorted(map(repr, want.collect())) and got.count() == 5
+
+
+def test_the_incremental_fact_table_is_joined_and_merged_on_narrow_rows(spark):
+    import query_registry
+
+    plan = query_registry.REGISTRY["f10_fct_transactions_incremental"].spark(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    lines = plan.splitlines()
+    anti = [i for i, line in enumerate(lines) if "Join LeftAnti" in line]
+    outer = [i for i, line in enumerate(lines) if "Join LeftOuter" in line]
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    # every merge lies below a customer join or beside it, none above: whole fact rows are not dealt again
+    assert anti and not any(depth(lines[i]) < depth(lines[j]) and i < j and all(depth(x) > depth(lines[i]) for x in lines[i + 1:j + 1])
+                            for i in anti for j in outer)
