@@ -480,3 +480,29 @@ def test_cells_and_overlaps_equal_plain_sets(monkeypatch):
                 rows = [(0, i * 3 + j, c, c % 3, 3, sets[c].tobytes()) for c in range(90) if c % 3 in (i, j)]
                 found += list(zip(*(x.tolist() for x in ngram_join._cell_links(rows))))
         assert len(found) == len(set(found)) and set(found) == want
+
+
+def test_license_scan_is_trained_on_every_paragraph(spark):
+    docs = spark.range(9000).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.lit("some plain words"), F.concat(F.lit("w"), F.col("id"))).alias("text"))
+    docs = docs.withColumn("text", F.concat_ws("\n", "text", F.lit("a second line of them"), F.lit("released under the mit license")))
+    model, lines, plain = license_scan.train(docs)
+    uids = [r.held for r in license_scan.paragraphs(docs, "doc_id", "text").filter("place = 0").select("held").collect()]
+    assert lines == 2 * sum(uids) and plain == 0 and 1500 < sum(uids) < 3000
+    # each paragraph of the other documents counts, those with licence talk do not
+    rows = license_scan.paragraphs(docs, "doc_id", "text").filter("not held and place < 2").select(F.explode(license_scan.grams(F.col("words"))).alias("b"))
+    want = np.full(license_scan.BUCKETS, license_scan.SMOOTH)
+    for b, n in rows.groupBy("b").count().collect():
+        want[b] += n
+    assert np.allclose(model.coefficientMatrix.toArray()[0], np.log(want / want.sum()))
+    assert license_scan.train(docs.filter("doc_id < 0"))[1:] == (0, 0)
+
+
+def test_license_scan_cutoffs_take_every_held_out_line(spark):
+    n, k = 1 + len(license_scan.FAMILIES), license_scan.FAMILIES.index("mit") + 1
+    p = lambda own: [1 - own, *[own if i == k else 0.0 for i in range(1, n)]]
+    rows = [(f"u{i}", 0, 0, True, True, p(0.4 + i / 200)) for i in range(100)] + [("t", 0, 0, False, False, p(0.999)), ("u1", 0, 1, True, True, p(0.999))]
+    weighed = spark.createDataFrame(rows, "uid string, place int, part int, plain boolean, calm boolean, p array<double>")
+    of, unsure = license_scan.cutoffs(weighed, 10000, 5000)  # ten lines and ten documents may pass
+    odds = np.log([x[5][k] / x[5][0] for x in rows[:100]])
+    assert 0 < sum(odds > of["mit"]) <= 10 and 0 < sum(odds > unsure) <= 10 and of["gpl"] == float("-inf")
+    assert license_scan.cutoffs(weighed, 200000, 100000) == ({f: float("-inf") for f in license_scan.FAMILIES}, 0.0)
